@@ -41,10 +41,15 @@ def steps_between(start: Column, end: Column, step: str) -> Column:
 def on_grid(ts: Column, origin: Column, step: str) -> Column:
     """Whether `ts` lies a whole number of steps from `origin`; null for a null time."""
 
-    def offset(c: Column) -> Column:
-        return c - (floor_to_hour(c) if step == "hour" else c.cast("date").cast("timestamp_ntz"))
+    def within_step(c: Column) -> Column:
+        parts = [F.minute(c), F.date_part(F.lit("SECONDS"), c)]
+        return F.struct(*parts) if step == "hour" else F.struct(F.hour(c), *parts)
 
-    return offset(ts) == offset(origin)
+    return ts.isNotNull() & (within_step(ts) == within_step(origin))
+
+
+def add_steps(ts: Column, count: Column, step: str) -> Column:
+    return ts + step_interval(step) * count
 
 
 def day_of_week(ts: Column) -> Column:

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.functions.numeric import cap_upper, clip_lower, nearest_rank, sum_or_zero
-from hourgrid.functions.timegrid import on_grid, step_interval
+from hourgrid.functions.timegrid import add_steps, on_grid, step_interval, steps_between
 from hourgrid.spec import LOWER_QUANTILE, UPPER_QUANTILE, DemandSpec
 
 COORDINATES = ("latitude", "longitude")
+FIRST = "_first_step"
 
 
 def _and(conditions: Iterable[Column]) -> Column:
@@ -72,78 +73,118 @@ def station_locations_of(rolled: DataFrame, spec: DemandSpec = DemandSpec()) ->
 
 
 def time_bounds(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
-    """One row: first and last step of the table."""
-    return df.agg(F.min(spec.ts).alias("min_ts"), F.max(spec.ts).alias("max_ts"))
+    """One row: first and last time of the table and the number of steps from the first to the last."""
+    bounds = df.agg(F.min(spec.ts).alias("min_ts"), F.max(spec.ts).alias("max_ts"))
+    steps = F.sequence("min_ts", "max_ts", step_interval(spec.step))
+    return bounds.withColumn("n_steps", F.size(steps).cast("bigint"))
 
 
 def stations(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     return df.select(*spec.station_keys).distinct()
 
 
-def _steps(low: Column, high: Column, spec: DemandSpec) -> Column:
-    return F.sequence(low, high, step_interval(spec.step))
+def _with_first_step(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The bound as a scalar subquery: it stays in the plan, without a join or a trip to the driver."""
+    return df.withColumn(FIRST, bounds.select("min_ts").scalar())
 
 
-def _first_step(bounds: DataFrame) -> Column:
-    """Scalar subquery, so the bound stays in the plan: no join, no trip to the driver."""
-    return bounds.select("min_ts").scalar()
+def _has_station(spec: DemandSpec) -> Column:
+    """Sums whose station has a null key match no station, as in any equi join."""
+    return _and(F.col(k).isNotNull() for k in spec.station_keys)
 
 
-def _last_step(bounds: DataFrame) -> Column:
-    return bounds.select("max_ts").scalar()
-
-
-def _step_count(bounds: DataFrame, spec: DemandSpec) -> Column:
-    steps = F.size(_steps(F.col("min_ts"), F.col("max_ts"), spec))
-    return bounds.select(steps.alias("n_steps")).scalar()
-
+def _anchors(station_rows: DataFrame, bounds: DataFrame, carried: list[str], spec: DemandSpec) -> DataFrame:
+    """An empty row per station at the start of each block of steps, with the carried values of its series."""
+    size = spec.block_steps
+    bounded = _with_first_step(station_rows, bounds).withColumn("_n", bounds.select("n_steps").scalar())
+    offsets = F.sequence(F.lit(0), F.col("_n") - 1, F.lit(size).cast("bigint"))
+    return bounded.withColumn("_offset", F.explode(offsets)).select(
+        *spec.station_keys,
+        add_steps(F.col(FIRST), F.col("_offset"), spec.step).alias(spec.ts),
+        F.lit(0).cast("bigint").alias(spec.target),
+        F.lit(0).cast("bigint").alias(spec.second_measure),
+        F.col("_offset"),
+        F.least(F.col("_offset") + size, F.col("_n")).alias("_block_end"),
+        *carried,
+    )
 
-def scaffold(station_rows: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
-    """Every station with every step of the range.
 
-    The steps are generated from each station row in place, so the wide product never needs a cross join.
-    """
-    # A few station rows turn into many grid rows. The explicit number keeps adaptive execution from packing them
-    # into one task by their small size before they grow.
-    tasks = int(station_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = station_rows.repartition(tasks, *spec.station_keys)
-    bounded = spread.withColumns({"_low": _first_step(bounds), "_high": _last_step(bounds)})
-    steps = _steps(F.col("_low"), F.col("_high"), spec)
-    return bounded.select(*spec.station_keys, F.explode(steps).alias(spec.ts))
+def reindex(
+    station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec(), carry: DataFrame | None = None
+) -> DataFrame:
+    """Complete the grid between the bounds for every station; missing steps count 0.
 
+    The result equals stations x steps left-joined with the sums, but the product is never shuffled: only the rows
+    that exist, and one anchor per station and block, are brought together. Each row then fills the steps up to the
+    next row of its block. Blocks keep a long series from being the work of one task.
 
-def reindex(station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
-    """Complete the grid between the bounds; missing steps count 0.
+    `carry` is a table of one row per series. Its columns are joined to the few anchors and copied to all rows of
+    their block, so the large grid is not joined with it.
 
-    Rows whose time is null or off the grid are not carried over.
+    Rows whose time is null or off the grid are not carried over; two rows for one step are refused.
     """
-    grid = scaffold(stations(station_step, spec), bounds, spec)
-    filled = grid.join(station_step, spec.keys, "left")
     measures = (spec.target, spec.second_measure)
-    return filled.select(*spec.keys, *(F.coalesce(m, F.lit(0)).cast("bigint").alias(m) for m in measures))
+    first = F.col(FIRST)
+    station_rows = stations(station_step, spec)
+    carried: dict[str, str] = {}
+    if carry is not None:
+        station_rows = station_rows.join(carry, spec.series_id, "left")
+        carried = {f.name: f.dataType.simpleString() for f in carry.schema if f.name != spec.series_id}
+    rows = _with_first_step(station_step.filter(_has_station(spec)), bounds)
+    rows = rows.filter(on_grid(F.col(spec.ts), first, spec.step)).select(
+        *spec.keys,
+        *(F.coalesce(m, F.lit(0)).cast("bigint").alias(m) for m in measures),
+        steps_between(first, F.col(spec.ts), spec.step).alias("_offset"),
+        F.lit(None).cast("bigint").alias("_block_end"),
+        *(F.lit(None).cast(kind).alias(name) for name, kind in carried.items()),
+    )
+    anchored = rows.unionByName(_anchors(station_rows, bounds, list(carried), spec)).withColumn(
+        "_block", F.floor(F.col("_offset") / spec.block_steps)
+    )
+    block = Window.partitionBy(*spec.station_keys, "_block").orderBy("_offset", F.col("_block_end").desc())
+    # The anchor sorts first, so its values are the first ones of the window.
+    windowed = {name: F.first(name).over(block) for name in carried}
+    following = F.coalesce(F.lead("_offset").over(block), F.first("_block_end").over(block))
+    windowed["_run"] = following - F.col("_offset")
+    run, k = F.col("_run"), F.col("_k")
+    # An anchor in front of a row for the same step fills nothing and disappears.
+    fills = F.when(run > 0, F.sequence(F.lit(0).cast("bigint"), run - 1)).when(
+        F.col("_block_end").isNull(), F.raise_error(F.concat(F.lit("two rows for one step of "), F.col(spec.series_id)))
+    )
+    filled = anchored.withColumns(windowed).withColumn("_k", F.explode(fills))
+    return filled.select(
+        *spec.station_keys,
+        add_steps(F.col(spec.ts), k, spec.step).alias(spec.ts),
+        *(F.when(k == 0, F.col(m)).otherwise(0).alias(m) for m in measures),
+        *carried,
+    )
 
 
 def clip_negative(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     return df.withColumns({m: clip_lower(F.col(m)) for m in (spec.target, spec.second_measure)})
 
 
-def _caps_from_histogram(histogram: DataFrame, spec: DemandSpec, min_cap: float | None) -> DataFrame:
-    """Exact nearest-rank quartiles from (series, value, n) rows.
+def _caps(histogram: DataFrame, spec: DemandSpec, min_cap: float | None) -> DataFrame:
+    """Exact nearest-rank quartiles from (series, value, n, n_zero) rows.
 
-    Only distinct values are sorted, at most one per step of the calendar and series. The running count is
-    compared with the wanted ranks; the first value that passes a rank is the quantile.
+    Only distinct values are sorted, at most one per step of the calendar. `n_zero` further steps of the series have
+    value 0 without being listed; all listed values are 0 or more, so they rank after those. The running count is
+    compared with the wanted rank, and the first value that passes it is the quantile.
     """
-    ordered = Window.partitionBy(spec.series_id).orderBy("value")
-    whole = Window.partitionBy(spec.series_id)
+    series = Window.partitionBy(spec.series_id)
+    running = series.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = histogram.select(
         spec.series_id,
         "value",
-        F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"),
-        F.sum("n").over(whole).alias("total"),
+        "n_zero",
+        (F.sum("n").over(running) + F.col("n_zero")).alias("upto"),
+        (F.sum("n").over(series) + F.col("n_zero")).alias("total"),
     )
 
     def quantile(q: float) -> Column:
-        return F.min(F.when(F.col("upto") > nearest_rank(F.col("total"), q), F.col("value"))).cast("double")
+        rank = nearest_rank(F.col("total"), q)
+        value = F.when(F.col("n_zero") > rank, 0).when(F.col("upto") > rank, F.col("value"))
+        return F.min(value).cast("double")
 
     caps = (
         ranked.groupBy(spec.series_id)
@@ -162,7 +203,7 @@ def iqr_caps(grid: DataFrame, spec: DemandSpec = DemandSpec(), min_cap: float |
     A series that is 0 for three quarters of its steps gets cap 0 and is flattened; `min_cap` can prevent that.
     """
     histogram = grid.groupBy(spec.series_id, F.col(spec.target).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return _caps_from_histogram(histogram, spec, min_cap)
+    return _caps(histogram.withColumn("n_zero", F.lit(0)), spec, min_cap)
 
 
 def iqr_caps_of_sums(
@@ -170,27 +211,23 @@ def iqr_caps_of_sums(
 ) -> DataFrame:
     """The same caps from the sums *before* the grid is completed.
 
-    Steps without taps are not generated to be counted: every station adds its number of steps to the count of
-    value 0, and each step that is present moves one of them to its own value.
+    Steps without taps are not generated to be counted: their number is the number of steps of all stations of the
+    series minus the sums that lie on the grid.
     """
-    attached = _and(F.col(k).isNotNull() for k in spec.station_keys)
-    on_step = on_grid(F.col(spec.ts), F.col("_low"), spec.step)
-    present = station_step.filter(attached).withColumn("_low", _first_step(bounds)).filter(on_step)
-    value = clip_lower(F.col(spec.target))
-    moves = present.select(
-        spec.series_id,
-        F.inline(F.array(F.struct(value.alias("value"), F.lit(1).alias("n")),
-                         F.struct(F.lit(0).cast("bigint").alias("value"), F.lit(-1).alias("n")))),
-    )
-    slots = stations(station_step, spec).select(
-        spec.series_id,
-        F.lit(0).cast("bigint").alias("value"),
-        _step_count(bounds, spec).alias("n"),
-    )
+    counted = _has_station(spec) & on_grid(F.col(spec.ts), F.col(FIRST), spec.step)
+    # Sums that the grid cannot hold are listed with count 0, so that their series still gets its zeros.
+    value = F.when(counted, clip_lower(F.coalesce(spec.target, F.lit(0)))).otherwise(0)
     histogram = (
-        moves.unionByName(slots).groupBy(spec.series_id, "value").agg(F.sum("n").alias("n")).filter("n > 0")
+        _with_first_step(station_step, bounds)
+        .withColumns({"value": value.cast("bigint"), "counted": counted})
+        .groupBy(*spec.station_keys, "value")
+        .agg(F.count_if("counted").alias("n"))
     )
-    return _caps_from_histogram(histogram, spec, min_cap)
+    series = Window.partitionBy(spec.series_id)
+    # Nearly always one station tuple per series, and never more than its attribute combinations.
+    tuples = F.size(F.collect_set(F.struct(*spec.attributes)).over(series))
+    slots = tuples * bounds.select("n_steps").scalar()
+    return _caps(histogram.withColumn("n_zero", slots - F.sum("n").over(series)), spec, min_cap)
 
 
 def cap_outliers(df: DataFrame, caps: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
@@ -198,23 +235,35 @@ def cap_outliers(df: DataFrame, caps: DataFrame, spec: DemandSpec = DemandSpec()
 
     Caps are one row per series; whether they are broadcast is left to the planner, which checks their size.
     """
-    capped = df.join(caps.select(spec.series_id, "upper_cap"), spec.series_id, "left")
+    return _capped(df.join(caps.select(spec.series_id, "upper_cap"), spec.series_id, "left"), spec)
+
+
+def _capped(df: DataFrame, spec: DemandSpec) -> DataFrame:
     target = cap_upper(F.col(spec.target), F.col("upper_cap")).alias(spec.target)
-    return capped.select(*spec.keys, target, spec.second_measure)
+    return df.select(*spec.keys, target, spec.second_measure)
 
 
-def cleaned_from(
+def grid_with_caps(
     station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec(), min_cap: float | None = None
 ) -> DataFrame:
-    """Sums to cleaned table: complete with 0, clip at 0, cap at the exact per-series bound."""
+    """Completed grid, not yet clipped, with the cap of each row's series."""
     caps = iqr_caps_of_sums(station_step, bounds, spec, min_cap)
-    return cap_outliers(clip_negative(reindex(station_step, bounds, spec), spec), caps, spec)
+    return reindex(station_step, bounds, spec, carry=caps.select(spec.series_id, "upper_cap"))
+
+
+def cleaned_from(
+    station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec(), min_cap: float | None = None
+) -> DataFrame:
+    """Sums to cleaned table: complete with 0, clip at 0, cap at the exact per-series bound.
+
+    The rows are shuffled once, for the grid; the caps travel with the anchors.
+    """
+    return _capped(clip_negative(grid_with_caps(station_step, bounds, spec, min_cap), spec), spec)
 
 
-def quality_counts(grid: DataFrame, caps: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
-    """One row: negative values and values above the cap in a completed, not yet clipped grid."""
-    joined = grid.join(caps.select(spec.series_id, "upper_cap"), spec.series_id, "left")
-    return joined.agg(
+def quality_counts(grid: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """One row: negative values, and values above the cap, in a completed, not yet clipped grid with caps."""
+    return grid.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(spec.target) < 0).alias("n_negative_entries"),
         F.count_if(F.col(spec.second_measure) < 0).alias("n_negative_transfers"),
@@ -229,8 +278,7 @@ def ambiguous_series(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFram
 
 def off_grid_rows(station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """One row: sums that the grid cannot hold, because their time is null or not a whole step from the first."""
-    on_step = F.coalesce(on_grid(F.col(spec.ts), F.col("_low"), spec.step), F.lit(False))
-    lost = station_step.withColumn("_low", _first_step(bounds)).filter(~on_step)
+    lost = _with_first_step(station_step, bounds).filter(~on_grid(F.col(spec.ts), F.col(FIRST), spec.step))
     return lost.agg(
         F.count(F.lit(1)).alias("n_off_grid"), sum_or_zero(F.col(spec.target)).alias("lost_entries")
     )

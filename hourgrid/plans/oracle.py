@@ -80,7 +80,7 @@ def _history(source: str, lags: tuple[int, ...], windows: tuple[int, ...], suffi
     for n in windows:
         frame = f"OVER (PARTITION BY station_complex_id ORDER BY transit_timestamp ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
         parts.append(
-            f"round(CASE WHEN count(entries) {frame} = {n} THEN avg(entries) {frame} END, 6) AS rolling_mean_{n}{suffix}"
+            f"CASE WHEN count(entries) {frame} = {n} THEN avg(entries) {frame} END AS rolling_mean_{n}{suffix}"
         )
     return f"""
 history AS (
@@ -123,6 +123,14 @@ DAILY_FEATURES = [*DAILY_CAPPED, _history("cleaned", (1, 7, 28), (3, 7), "d")]
 DAILY_SPLIT = [*DAILY_FEATURES, _split(DAILY_CUTS, "lag_28d", "rolling_mean_7d", "rolling_avg_7d")]
 
 
+def _rounded(columns: str) -> str:
+    return f"* REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in columns.split())})"
+
+
+HOURLY_ROLLING = _rounded("rolling_mean_3h rolling_mean_24h")
+LABELLED_ROLLING = HOURLY_ROLLING.replace("* REPLACE", "* EXCLUDE (split) REPLACE")
+
+
 def _with(parts: list[str], query: str) -> str:
     return f"WITH {','.join(parts)} {query}"
 
@@ -169,18 +177,20 @@ ORACLE: dict[str, str] = {
         count(*) AS n_grid, count(*) - (SELECT count(*) FROM sums) AS n_gaps_filled FROM grid"""),
     "iqr_caps": _with(HOURLY_CLEAN, CAPS),
     "iqr_caps_of_grid": _with(HOURLY_CLEAN, CAPS),
+    "cap_outliers": _with(HOURLY_CLEAN, "SELECT * FROM cleaned"),
     "cleaned": _with(HOURLY_CLEAN, "SELECT * FROM cleaned"),
     "table_summary": _with(HOURLY_CLEAN, f"""SELECT {SUMMARY}, min(transit_timestamp) AS min_ts,
         max(transit_timestamp) AS max_ts FROM cleaned"""),
     "lags": _with(HOURLY_FEATURES, f"SELECT {KEYS}, entries, transfers, lag_1h, lag_24h, lag_168h FROM history"),
     "rolling": _with(
-        HOURLY_FEATURES, f"SELECT {KEYS}, entries, transfers, rolling_mean_3h, rolling_mean_24h FROM history"
+        HOURLY_FEATURES, f"""SELECT {KEYS}, entries, transfers, round(rolling_mean_3h, 6) AS rolling_mean_3h,
+        round(rolling_mean_24h, 6) AS rolling_mean_24h FROM history"""
     ),
-    "features": _with(HOURLY_FEATURES, "SELECT * FROM features"),
+    "features": _with(HOURLY_FEATURES, f"SELECT {HOURLY_ROLLING} FROM features"),
     "features_by_row": _with(
-        [*HOURLY_SUMS, _history("sums", (1, 24, 168), (3, 24), "h")], "SELECT * FROM features"
+        [*HOURLY_SUMS, _history("sums", (1, 24, 168), (3, 24), "h")], f"SELECT {HOURLY_ROLLING} FROM features"
     ),
-    "features_range": _with(HOURLY_SPLIT, "SELECT * EXCLUDE (split) FROM labelled WHERE split = 'val'"),
+    "features_range": _with(HOURLY_SPLIT, f"SELECT {LABELLED_ROLLING} FROM labelled WHERE split = 'val'"),
     "split_counts": _with(HOURLY_SPLIT, SPLIT_COUNTS),
     "split_check": _with(HOURLY_SPLIT, """SELECT
         min(transit_timestamp) FILTER (split = 'train') AS train_first,
@@ -199,8 +209,8 @@ ORACLE: dict[str, str] = {
           date_diff('hour', min(transit_timestamp), max(transit_timestamp)) + 1 AS total_steps FROM features)"""),
     "daily_totals": _with(HOURLY_CLEAN, """SELECT CAST(transit_timestamp AS DATE) AS date,
         CAST(sum(entries) AS BIGINT) AS total_entries, count(*) AS n_rows FROM cleaned GROUP BY 1"""),
-    "train_val_union": _with(HOURLY_SPLIT, "SELECT * EXCLUDE (split) FROM labelled WHERE split IN ('train', 'val')"),
-    "baseline_predictions": _with(HOURLY_SPLIT, "SELECT * FROM predictions"),
+    "train_val_union": _with(HOURLY_SPLIT, f"SELECT {LABELLED_ROLLING} FROM labelled WHERE split IN ('train', 'val')"),
+    "baseline_predictions": _with(HOURLY_SPLIT, "SELECT * REPLACE (round(pred_rolling_avg_24h, 6) AS pred_rolling_avg_24h) FROM predictions"),
     "baseline_metrics": _with(HOURLY_SPLIT, f"SELECT model, {ERRORS} FROM long GROUP BY model"),
     "baseline_by_station": _with(
         HOURLY_SPLIT, f"SELECT station_complex, model, {ERRORS} FROM long GROUP BY station_complex, model"
@@ -273,7 +283,7 @@ ORACLE: dict[str, str] = {
     "daily_station_day": _with([DAILY_RAW, _prep("DAY")], "SELECT * FROM sums"),
     "daily_caps": _with(DAILY_CLEAN, CAPS),
     "daily_cleaned": _with(DAILY_CLEAN, "SELECT * FROM cleaned"),
-    "daily_features": _with(DAILY_FEATURES, "SELECT * FROM features"),
+    "daily_features": _with(DAILY_FEATURES, f"SELECT {_rounded('rolling_mean_3d rolling_mean_7d')} FROM features"),
     "daily_baseline_metrics": _with(DAILY_SPLIT, f"SELECT model, {ERRORS} FROM long GROUP BY model"),
     "daily_split_counts": _with(DAILY_SPLIT, SPLIT_COUNTS),
     "daily_volatility": _with(DAILY_CAPPED, VOLATILITY.format(key="station_complex_id")),

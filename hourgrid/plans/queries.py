@@ -87,7 +87,7 @@ def ambiguous_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality_counts(spark: SparkSession, folder: str) -> DataFrame:
     prepared = _prepared(spark, folder)
-    return clean.quality_counts(prepared.grid(), prepared.caps(), HOURLY)
+    return clean.quality_counts(clean.grid_with_caps(prepared.sums, prepared.bounds, HOURLY), HOURLY)
 
 
 def stage_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +117,12 @@ def iqr_caps_of_grid(spark: SparkSession, folder: str) -> DataFrame:
     return clean.iqr_caps(grid, HOURLY)
 
 
+def cap_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """The cap as a join with stored caps."""
+    prepared = _prepared(spark, folder)
+    return clean.cap_outliers(clean.clip_negative(prepared.grid(), HOURLY), prepared.caps(), HOURLY)
+
+
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return _cleaned(spark, folder)
 
@@ -396,7 +402,8 @@ def daily_volatility(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     **{f.__name__: f for f in (
         profile_raw, profile_rollup, exclude_rows, station_hour, station_locations, location_points, reindexed,
-        off_grid_rows, ambiguous_series, quality_counts, stage_counts, lineage, iqr_caps, iqr_caps_of_grid, cleaned,
+        off_grid_rows, ambiguous_series, quality_counts, stage_counts, lineage, iqr_caps, iqr_caps_of_grid,
+        cap_outliers, cleaned,
         table_summary, raw_csv_roundtrip,
         lags, rolling, features_by_row, features_range, split_counts, split_check, proportional_cuts, daily_totals,
         train_val_union,
