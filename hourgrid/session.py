@@ -18,6 +18,8 @@ def get_spark(app_name: str = "hourgrid", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column costs more than building the plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -72,18 +72,13 @@ def daily_units(spark: SparkSession, folder: str) -> DataFrame:
         .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
         .select("s_suppkey", "s_name", "n_name", "r_name")
     )
-    # Lines are summed per supplier and day before the join, so names are attached to the reduced rows only.
-    units = lines.groupBy("l_suppkey", "l_shipdate", "l_returnflag").agg(
-        F.sum(F.col("l_quantity").cast("bigint")).alias("ridership"),
-        F.sum(F.col("l_linenumber").cast("bigint")).alias("transfers"),
-    )
-    return units.join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    return lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_shipdate").cast("timestamp_ntz").alias("transit_timestamp"),
         F.col("n_name").alias("transit_mode"),
         F.col("s_suppkey").cast("string").alias("station_complex_id"),
         F.col("s_name").alias("station_complex"),
         F.col("r_name").alias("borough"),
         F.col("l_returnflag").alias("payment_method"),
-        "ridership",
-        "transfers",
+        F.col("l_quantity").cast("bigint").alias("ridership"),
+        F.col("l_linenumber").cast("bigint").alias("transfers"),
     )
