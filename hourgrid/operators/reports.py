@@ -139,9 +139,13 @@ def date_bounds(predictions: DataFrame, spec: DemandSpec = DemandSpec()) -> Data
 def station_slice(
     df: DataFrame, station: str, start: str, end: str, spec: DemandSpec = DemandSpec()
 ) -> DataFrame:
-    """Rows of one station name between two dates, both included, in time order."""
-    date = F.col(spec.ts).cast("date")
-    chosen = (F.col(spec.name) == station) & date.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    """Rows of one station name between two dates, both included, in time order.
+
+    The dates are turned into a half-open range of the stored column, which the scan can use.
+    """
+    ts = F.col(spec.ts)
+    first, last = (F.lit(str(d)).cast("date").cast("timestamp_ntz") for d in (start, end))
+    chosen = (F.col(spec.name) == station) & (ts >= first) & (ts < last + F.expr("INTERVAL 1 DAY"))
     return df.filter(chosen).orderBy(spec.ts, spec.series_id)
 
 

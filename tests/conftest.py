@@ -79,5 +79,11 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def scan_of(df):
+    """Plan text with complete scan details."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
 def values(df, *columns):
     return [tuple(r) for r in df.select(*columns).collect()]
