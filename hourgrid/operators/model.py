@@ -96,31 +96,28 @@ def feature_pipeline(
 ) -> FittedEncoder:
     """Index the text columns and assemble one feature vector.
 
-    Trees keep one histogram bin per category, so a column with more than `max_categories` values (a large network's
-    station names) is used by its frequency rank as a number instead of as a set of categories.
+    Trees keep one histogram bin per category, and an index keeps its labels on the driver, so both need a bound. A
+    column with more than `max_categories` values (a large network's station names) is hashed to that many buckets,
+    which are then its categories; the lags still tell its stations apart.
     """
-    indexed = [f"{c}_index" for c in spec.categorical]
-    indexer = StringIndexer(
-        inputCols=list(spec.categorical), outputCols=indexed, handleInvalid="keep", stringOrderType="frequencyDesc"
-    ).fit(df)
-    # Unknown values get a category of their own.
-    sizes = [len(labels) + 1 for labels in indexer.labelsArray]
-    stages: list = [indexer]
-    inputs = []
-    for column, index, size in zip(spec.categorical, indexed, sizes):
-        if size <= max_categories:
-            inputs.append(index)
+    sizes = df.agg(*(F.approx_count_distinct(c).alias(c) for c in spec.categorical)).first()
+    stages: list = []
+    labels = []
+    for column in spec.categorical:
+        if sizes[column] > max_categories:
+            bucket = f"{column}_bucket"
+            hashed = f"CAST(pmod(xxhash64({column}), {max_categories}) AS STRING) AS {bucket}"
+            stages.append(SQLTransformer(statement=f"SELECT *, {hashed} FROM __THIS__"))
+            labels.append(bucket)
         else:
-            rank = f"{column}_rank"
-            # Arithmetic drops the list of categories from the column's metadata.
-            stages.append(SQLTransformer(statement=f"SELECT *, {index} + 0.0D AS {rank} FROM __THIS__"))
-            inputs.append(rank)
-    stages.append(VectorAssembler(inputCols=[*spec.numeric_features, *inputs], outputCol=FEATURES))
-    kept = [s for s in sizes if s <= max_categories]
-    return FittedEncoder(
-        model=Pipeline(stages=stages).fit(df),
-        max_bins=max([32, *kept]),
-    )
+            labels.append(column)
+    indexed = [f"{c}_index" for c in labels]
+    stages.append(StringIndexer(inputCols=labels, outputCols=indexed, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[*spec.numeric_features, *indexed], outputCol=FEATURES))
+    fitted = Pipeline(stages=stages).fit(df)
+    # Unknown values get a category of their own.
+    categories = max(len(found) + 1 for found in fitted.stages[-2].labelsArray)
+    return FittedEncoder(model=fitted, max_bins=max(32, categories))
 
 
 def fit(

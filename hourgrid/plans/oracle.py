@@ -211,6 +211,11 @@ ORACLE: dict[str, str] = {
         CAST(sum(entries) AS BIGINT) AS total_entries, count(*) AS n_rows FROM cleaned GROUP BY 1"""),
     "train_val_union": _with(HOURLY_SPLIT, f"SELECT {LABELLED_ROLLING} FROM labelled WHERE split IN ('train', 'val')"),
     "baseline_predictions": _with(HOURLY_SPLIT, "SELECT * REPLACE (round(pred_rolling_avg_24h, 6) AS pred_rolling_avg_24h) FROM predictions"),
+    "attach_predictions": _with(HOURLY_SPLIT, """SELECT * EXCLUDE (split)
+        REPLACE (round(rolling_mean_3h, 6) AS rolling_mean_3h, round(rolling_mean_24h, 6) AS rolling_mean_24h),
+        CAST(lag_168h AS DOUBLE) AS pred_naive, round(rolling_mean_24h, 6) AS pred_rolling_avg_24h
+        FROM labelled WHERE split = 'test'"""),
+    "evaluate": _with(HOURLY_SPLIT, f"SELECT {ERRORS} FROM long WHERE model = 'naive'"),
     "baseline_metrics": _with(HOURLY_SPLIT, f"SELECT model, {ERRORS} FROM long GROUP BY model"),
     "baseline_by_station": _with(
         HOURLY_SPLIT, f"SELECT station_complex, model, {ERRORS} FROM long GROUP BY station_complex, model"

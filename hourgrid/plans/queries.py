@@ -196,6 +196,17 @@ def baseline_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_test_predictions(spark, folder), BASELINES[1])
 
 
+def attach_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored predictions joined back to the feature rows of the test range."""
+    test = stage(features.build_features(_cleaned(spark, folder), HOURLY, start=HOURLY.validation_end), "test")
+    predictions = stage(baseline.baseline_predictions(test, HOURLY), "predictions")
+    return rounded(model.attach_predictions(test, predictions, HOURLY), *HOURLY.rolling_columns, BASELINES[1])
+
+
+def evaluate(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(metrics.evaluate(_test_predictions(spark, folder), BASELINES[0], HOURLY), "mae", "rmse")
+
+
 def baseline_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.compare_models(_test_predictions(spark, folder), BASELINES, (), HOURLY), "mae", "rmse")
 
@@ -407,7 +418,7 @@ QUERIES: dict[str, Query] = {
         table_summary, raw_csv_roundtrip,
         lags, rolling, features_by_row, features_range, split_counts, split_check, proportional_cuts, daily_totals,
         train_val_union,
-        baseline_predictions, baseline_metrics, baseline_by_station, improvement, slice_metrics,
+        baseline_predictions, attach_predictions, evaluate, baseline_metrics, baseline_by_station, improvement, slice_metrics,
         hourly_profile, hourly_mean, weekday_hour_pivot, weekday_ratio, top_stations, top_stations_by_id,
         borough_totals, busiest_station, station_list, volatility, volatile_stations, summary, station_hourly,
         peak_hours, map_table, date_bounds, station_slice, crowding_alerts, baseline_series,
