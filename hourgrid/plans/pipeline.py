@@ -67,15 +67,14 @@ class Workspace:
         self._store(profile.profile_rollup(prepared.rolled, spec), "profile")
         if "latitude_sum" in prepared.rolled.columns:
             self._store(prepared.locations(), "station_locations")
-        cleaned = self._store(prepared.cleaned(), "cleaned", order_by=[spec.series_id, spec.ts])
+        cleaned = self._store(prepared.cleaned(), "cleaned")
         self._store(profile.lineage(prepared.rolled, prepared.sums, cleaned, spec), "lineage")
         return prepared
 
     def build_features(self) -> DataFrame:
         spec = self.spec
-        return self._store(
-            features.build_features(self.table("cleaned"), spec), "features", order_by=[spec.series_id, spec.ts]
-        )
+        # Both large tables leave their windows in the order of series and time, so they are stored sorted as they are.
+        return self._store(features.build_features(self.table("cleaned"), spec), "features")
 
     def parts(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in split.SPLITS}

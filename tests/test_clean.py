@@ -111,6 +111,18 @@ def test_stations_with_null_keys_match_nothing(spark):
     same_rows(caps, clean.iqr_caps(clean.clip_negative(clean.reindex(sums, bounds))))
 
 
+def test_grid_leaves_each_task_in_order(tmp_path, raw_table):
+    import pyarrow.parquet as pq
+
+    raw = raw_table([(h * 7 % 60, str(h % 9), 1, 0) for h in range(60)])
+    grid = clean.reindex(clean.to_station_step(raw), clean.time_bounds(raw), SPEC.with_(block_steps=16))
+    grid.write.parquet(str(tmp_path / "g"))
+    for file in tmp_path.glob("g/*.parquet"):
+        keys = pq.read_table(file, columns=["station_complex_id", "transit_timestamp"]).to_pylist()
+        pairs = [(k["station_complex_id"], k["transit_timestamp"]) for k in keys]
+        assert pairs == sorted(pairs)
+
+
 def test_doubled_steps_are_refused(spark, grid_table):
     once = grid_table(("1", 0, [1, 2]))
     with pytest.raises(Exception, match="two rows for one step"):
