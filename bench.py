@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of Parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local threads (default: all)
-BENCH_QUERIES  comma-separated names (default: all)
+BENCH_QUERIES  comma-separated names, or "all" (default: HEADLINE)
 
 Every query runs completely (all rows are produced and dropped), reading its tables anew. One untimed query warms up
 the JVM first.
@@ -17,6 +17,14 @@ import time
 from hourgrid.plans.queries import QUERIES
 from hourgrid.session import get_spark
 
+HEADLINE = (
+    "profile_raw", "raw_csv_roundtrip", "station_hour", "station_locations", "reindexed", "iqr_caps", "quality_counts",
+    "cleaned", "features", "features_range", "split_counts", "baseline_metrics", "baseline_by_station",
+    "hourly_profile", "weekday_hour_pivot", "top_stations", "volatility", "peak_hours", "map_table", "station_slice",
+    "crowding_alerts", "summary", "gbt_metrics", "gbt_trials",
+    "daily_station_day", "daily_caps", "daily_cleaned", "daily_features", "daily_baseline_metrics",
+)
+
 
 def run(query, spark, folder: str) -> float:
     start = time.perf_counter()
@@ -27,7 +35,8 @@ def run(query, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS") or os.cpu_count() or 4)
-    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
+    chosen = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(HEADLINE)
+    names = list(QUERIES) if chosen == ["all"] else chosen
     spark = get_spark(
         "bench",
         f"local[{cpus}]",

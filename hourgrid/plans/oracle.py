@@ -150,6 +150,17 @@ CAPS = "SELECT station_complex_id, q1, q3, iqr, upper_cap FROM caps"
 SPLIT_COUNTS = """SELECT split, count(*) AS n_rows, min(transit_timestamp) AS min_ts, max(transit_timestamp) AS max_ts,
   round(count(*) * 100.0 / (SELECT count(*) FROM labelled), 1) AS pct FROM labelled GROUP BY split"""
 
+QUALITY = """SELECT count(*) AS n_rows,
+  count(*) FILTER (entries < 0) AS n_negative_entries, count(*) FILTER (transfers < 0) AS n_negative_transfers,
+  count(*) FILTER (greatest(entries, 0) > upper_cap) AS n_capped,
+  round(count(*) FILTER (greatest(entries, 0) > upper_cap) * 100.0 / count(*), 4) AS pct_capped
+  FROM grid JOIN caps USING (station_complex_id)"""
+LINEAGE = """SELECT (SELECT count(*) FROM raw) AS n_raw, (SELECT count(*) FROM sums) AS n_station_step,
+  count(*) AS n_grid, count(*) - (SELECT count(*) FROM sums) AS n_gaps_filled FROM grid"""
+TOTAL = "SELECT {key}, CAST(sum(entries) AS BIGINT) AS total_entries FROM cleaned GROUP BY 1"
+DATE_TOTALS = """SELECT CAST(transit_timestamp AS DATE) AS date, CAST(sum(entries) AS BIGINT) AS total_entries,
+  count(*) AS n_rows FROM cleaned GROUP BY 1"""
+
 ORACLE: dict[str, str] = {
     "profile_raw": _with([HOURLY_RAW], PROFILE),
     "profile_rollup": _with([HOURLY_RAW], PROFILE),
@@ -166,15 +177,10 @@ ORACLE: dict[str, str] = {
         FROM sums WHERE transit_timestamp IS NULL OR transit_timestamp NOT IN (SELECT transit_timestamp FROM steps)"""),
     "ambiguous_series": _with([HOURLY_RAW], f"""SELECT station_complex_id, count(*) AS n_tuples
         FROM (SELECT DISTINCT {STATION} FROM raw) GROUP BY station_complex_id HAVING count(*) > 1"""),
-    "quality_counts": _with(HOURLY_CLEAN, """SELECT count(*) AS n_rows,
-        count(*) FILTER (entries < 0) AS n_negative_entries, count(*) FILTER (transfers < 0) AS n_negative_transfers,
-        count(*) FILTER (greatest(entries, 0) > upper_cap) AS n_capped,
-        round(count(*) FILTER (greatest(entries, 0) > upper_cap) * 100.0 / count(*), 4) AS pct_capped
-        FROM grid JOIN caps USING (station_complex_id)"""),
+    "quality_counts": _with(HOURLY_CLEAN, QUALITY),
     "stage_counts": _with(HOURLY_FEATURES, f"""SELECT 0 AS seq, 'station_hour' AS stage, {SUMMARY} FROM sums
         UNION ALL SELECT 1, 'cleaned', {SUMMARY} FROM cleaned UNION ALL SELECT 2, 'features', {SUMMARY} FROM features"""),
-    "lineage": _with(HOURLY_SUMS, """SELECT (SELECT count(*) FROM raw) AS n_raw, (SELECT count(*) FROM sums) AS n_station_step,
-        count(*) AS n_grid, count(*) - (SELECT count(*) FROM sums) AS n_gaps_filled FROM grid"""),
+    "lineage": _with(HOURLY_SUMS, LINEAGE),
     "iqr_caps": _with(HOURLY_CLEAN, CAPS),
     "iqr_caps_of_grid": _with(HOURLY_CLEAN, CAPS),
     "cap_outliers": _with(HOURLY_CLEAN, "SELECT * FROM cleaned"),
@@ -207,8 +213,7 @@ ORACLE: dict[str, str] = {
         min_ts + to_hours(CAST(floor(round(total_steps * 0.9, 6)) AS BIGINT)) AS validation_end
         FROM (SELECT min(transit_timestamp) AS min_ts, max(transit_timestamp) AS max_ts,
           date_diff('hour', min(transit_timestamp), max(transit_timestamp)) + 1 AS total_steps FROM features)"""),
-    "daily_totals": _with(HOURLY_CLEAN, """SELECT CAST(transit_timestamp AS DATE) AS date,
-        CAST(sum(entries) AS BIGINT) AS total_entries, count(*) AS n_rows FROM cleaned GROUP BY 1"""),
+    "daily_totals": _with(HOURLY_CLEAN, DATE_TOTALS),
     "train_val_union": _with(HOURLY_SPLIT, f"SELECT {LABELLED_ROLLING} FROM labelled WHERE split IN ('train', 'val')"),
     "baseline_predictions": _with(HOURLY_SPLIT, "SELECT * REPLACE (round(pred_rolling_avg_24h, 6) AS pred_rolling_avg_24h) FROM predictions"),
     "attach_predictions": _with(HOURLY_SPLIT, """SELECT * EXCLUDE (split)
@@ -237,15 +242,10 @@ ORACLE: dict[str, str] = {
     "weekday_ratio": _with(HOURLY_CLEAN, f"""SELECT round(avg(entries) FILTER (NOT {WEEKEND}), 6) AS weekday_mean,
         round(avg(entries) FILTER ({WEEKEND}), 6) AS weekend_mean,
         round(avg(entries) FILTER (NOT {WEEKEND}) / avg(entries) FILTER ({WEEKEND}), 6) AS ratio FROM cleaned"""),
-    "top_stations": _with(HOURLY_CLEAN, """SELECT station_complex, CAST(sum(entries) AS BIGINT) AS total_entries
-        FROM cleaned GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20"""),
-    "top_stations_by_id": _with(HOURLY_CLEAN, """SELECT station_complex_id, CAST(sum(entries) AS BIGINT) AS total_entries
-        FROM cleaned GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"""),
-    "borough_totals": _with(
-        HOURLY_CLEAN, "SELECT borough, CAST(sum(entries) AS BIGINT) AS total_entries FROM cleaned GROUP BY 1"
-    ),
-    "busiest_station": _with(HOURLY_CLEAN, """SELECT station_complex, CAST(sum(entries) AS BIGINT) AS total_entries
-        FROM cleaned GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1"""),
+    "top_stations": _with(HOURLY_CLEAN, TOTAL.format(key="station_complex") + " ORDER BY 2 DESC, 1 LIMIT 20"),
+    "top_stations_by_id": _with(HOURLY_CLEAN, TOTAL.format(key="station_complex_id") + " ORDER BY 2 DESC, 1 LIMIT 8"),
+    "borough_totals": _with(HOURLY_CLEAN, TOTAL.format(key="borough")),
+    "busiest_station": _with(HOURLY_CLEAN, TOTAL.format(key="station_complex") + " ORDER BY 2 DESC, 1 LIMIT 1"),
     "station_list": _with(HOURLY_CLEAN, "SELECT DISTINCT station_complex FROM cleaned"),
     "volatility": _with(HOURLY_CLEAN, VOLATILITY.format(key="station_complex")),
     "volatile_stations": _with(
@@ -290,6 +290,16 @@ ORACLE: dict[str, str] = {
     "daily_cleaned": _with(DAILY_CLEAN, "SELECT * FROM cleaned"),
     "daily_features": _with(DAILY_FEATURES, f"SELECT {_rounded('rolling_mean_3d rolling_mean_7d')} FROM features"),
     "daily_baseline_metrics": _with(DAILY_SPLIT, f"SELECT model, {ERRORS} FROM long GROUP BY model"),
+    "daily_baseline_by_station": _with(
+        DAILY_SPLIT, f"SELECT station_complex_id, model, {ERRORS} FROM long GROUP BY station_complex_id, model"
+    ),
+    "daily_quality_counts": _with(DAILY_CAPPED, QUALITY),
+    "daily_lineage": _with(DAILY_CAPPED, LINEAGE),
+    "daily_top_stations": _with(
+        DAILY_CAPPED, TOTAL.format(key="station_complex_id") + " ORDER BY 2 DESC, 1 LIMIT 20"
+    ),
+    "daily_borough_totals": _with(DAILY_CAPPED, TOTAL.format(key="borough")),
+    "daily_network_totals": _with(DAILY_CAPPED, DATE_TOTALS),
     "daily_split_counts": _with(DAILY_SPLIT, SPLIT_COUNTS),
     "daily_volatility": _with(DAILY_CAPPED, VOLATILITY.format(key="station_complex_id")),
 }

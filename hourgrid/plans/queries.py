@@ -401,6 +401,35 @@ def daily_baseline_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.compare_models(predictions, columns, (), DAILY), "mae", "rmse")
 
 
+def daily_baseline_by_station(spark: SparkSession, folder: str) -> DataFrame:
+    test = features.build_features(_daily_capped(spark, folder), DAILY, start=DAILY.validation_end)
+    columns = [baseline.naive_column(), baseline.rolling_column(DAILY)]
+    predictions = baseline.baseline_predictions(test, DAILY)
+    return rounded(metrics.compare_models(predictions, columns, [DAILY.series_id], DAILY), "mae", "rmse")
+
+
+def daily_quality_counts(spark: SparkSession, folder: str) -> DataFrame:
+    prepared = _daily(spark, folder)
+    return clean.quality_counts(clean.grid_with_caps(prepared.sums, prepared.bounds, DAILY, min_cap=60.0), DAILY)
+
+
+def daily_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    prepared = _daily(spark, folder)
+    return profile.lineage(prepared.rolled, prepared.sums, prepared.grid(), DAILY)
+
+
+def daily_top_stations(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.top_stations(_daily_capped(spark, folder), key=DAILY.series_id, spec=DAILY)
+
+
+def daily_borough_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.borough_totals(_daily_capped(spark, folder), DAILY)
+
+
+def daily_network_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return split.daily_totals(_daily_capped(spark, folder), DAILY)
+
+
 def daily_split_counts(spark: SparkSession, folder: str) -> DataFrame:
     return split.split_counts(stage(features.build_features(_daily_capped(spark, folder), DAILY), "features"), DAILY)
 
@@ -424,7 +453,8 @@ QUERIES: dict[str, Query] = {
         peak_hours, map_table, date_bounds, station_slice, crowding_alerts, baseline_series,
         gbt_metrics, gbt_trials, gbt_importance, gbt_predictions, actual_vs_predicted,
         daily_station_day, daily_caps, daily_cleaned, daily_features, daily_baseline_metrics, daily_split_counts,
-        daily_volatility,
+        daily_volatility, daily_baseline_by_station, daily_quality_counts, daily_lineage, daily_top_stations,
+        daily_borough_totals, daily_network_totals,
     )},
     "features": feature_table,
 }

@@ -48,6 +48,9 @@ class DemandSpec:
             raise ValueError(f"step must be one of {sorted(STEP_SUFFIX)}, got {self.step!r}")
         if not self.lags or min(self.lags) < 1 or (self.windows and min(self.windows) < 1):
             raise ValueError("lags and windows must be positive")
+        # The rules are applied to sums, which are kept per station tuple.
+        if not {k for rule in self.exclude for k in rule} <= set(self.station_keys):
+            raise ValueError("exclusion rules can only name the series id and its attributes")
 
     @property
     def station_keys(self) -> list[str]:

@@ -153,3 +153,5 @@ def test_spec_rejects_unknown_steps():
         SPEC.with_(step="minute")
     with pytest.raises(ValueError):
         SPEC.with_(lags=(0,))
+    with pytest.raises(ValueError):
+        SPEC.with_(exclude=({"payment_method": "cash"},))
