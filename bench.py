@@ -16,6 +16,7 @@ import time
 
 from hourgrid.plans.queries import QUERIES
 from hourgrid.session import get_spark
+from hourgrid.staging import release
 
 HEADLINE = (
     "profile_raw", "raw_csv_roundtrip", "station_hour", "station_locations", "reindexed", "iqr_caps", "quality_counts",
@@ -45,6 +46,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     run(QUERIES["features"], spark, folder)
     times = {name: round(run(QUERIES[name], spark, folder), 3) for name in names}
+    release(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total_query_time",

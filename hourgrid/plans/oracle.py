@@ -163,6 +163,8 @@ DATE_TOTALS = """SELECT CAST(transit_timestamp AS DATE) AS date, CAST(sum(entrie
 
 ORACLE: dict[str, str] = {
     "profile_raw": _with([HOURLY_RAW], PROFILE),
+    "parsed_times": """SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS parsed
+        FROM events""",
     "profile_rollup": _with([HOURLY_RAW], PROFILE),
     "exclude_rows": _with([HOURLY_RAW], "SELECT * EXCLUDE (latitude, longitude) FROM good"),
     "station_hour": _with(HOURLY_SUMS, "SELECT * FROM sums"),

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourgrid.functions.timegrid import parse_timestamp
 from hourgrid.operators import baseline, clean, features, metrics, model, profile, reports, split
 from hourgrid.plans.pipeline import Prepared
-from hourgrid.sources.raw import compact_raw, read_raw, write_raw_csv
+from hourgrid.sources.raw import WRITTEN_TIMESTAMP_FORMAT, compact_raw, read_raw, write_raw_csv
 from hourgrid.sources.views import DAILY, HOURLY, daily_units, hourly_taps
 from hourgrid.staging import scratch_path, stage
 
@@ -51,6 +52,14 @@ def profile_raw(spark: SparkSession, folder: str) -> DataFrame:
     return profile.profile_raw(hourly_taps(spark, folder), HOURLY)
 
 
+def parsed_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Event times as text in the raw format and back; damaged text becomes null."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    written = F.date_format("ts", WRITTEN_TIMESTAMP_FORMAT)
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit("x"), written)).otherwise(written)
+    return events.select("event_id", parse_timestamp(text).alias("parsed"))
+
+
 def profile_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return profile.profile_rollup(clean.rollup(hourly_taps(spark, folder), HOURLY), HOURLY)
 
@@ -441,7 +450,7 @@ def daily_volatility(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     **{f.__name__: f for f in (
-        profile_raw, profile_rollup, exclude_rows, station_hour, station_locations, location_points, reindexed,
+        profile_raw, parsed_times, profile_rollup, exclude_rows, station_hour, station_locations, location_points, reindexed,
         off_grid_rows, ambiguous_series, quality_counts, stage_counts, lineage, iqr_caps, iqr_caps_of_grid,
         cap_outliers, cleaned,
         table_summary, raw_csv_roundtrip,

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_created: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +33,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/hourgrid-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/hourgrid-{label}-{uuid.uuid4().hex}"
+    _created.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process staged; results that still read them must be finished."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    count = 0
+    while _created:
+        path = jvm.org.apache.hadoop.fs.Path(_created.pop())
+        count += bool(path.getFileSystem(conf).delete(path, True))
+    return count
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -8,6 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from hourgrid.session import get_spark  # noqa: E402
 from hourgrid.spec import DemandSpec  # noqa: E402
+from hourgrid.staging import release  # noqa: E402
 
 DATA = os.environ.get("HOURGRID_TESTDATA", "/root/testdata")
 START = datetime(2024, 1, 1)
@@ -26,6 +27,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
