@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.operators.clean import time_bounds
 from hourgrid.spec import DemandSpec
 
 
@@ -68,7 +67,3 @@ def lineage(rolled: DataFrame, station_step: DataFrame, grid: DataFrame, spec: D
         "n_grid",
     ).withColumn("n_gaps_filled", F.col("n_grid") - F.col("n_station_step"))
 
-
-__all__ = [
-    "distinct_with_null", "lineage", "profile_raw", "profile_rollup", "stage_counts", "table_summary", "time_bounds",
-]

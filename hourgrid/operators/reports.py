@@ -224,8 +224,8 @@ def summary(
     return profile.unionByName(largest).unionByName(boroughs)
 
 
-def location_points(locations: DataFrame) -> DataFrame:
+def location_points(locations: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """Coordinates for a map, to four decimals."""
     return locations.select(
-        "station_complex_id", F.round("longitude", 4).alias("longitude"), F.round("latitude", 4).alias("latitude")
+        spec.series_id, F.round("longitude", 4).alias("longitude"), F.round("latitude", 4).alias("latitude")
     )

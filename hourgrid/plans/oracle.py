@@ -1,4 +1,4 @@
-"""The same queries as plain SQL for an independent engine, written without looking back at the Spark plans.
+"""The same queries as plain SQL for an independent engine: the definitions, without regard to speed.
 
 Shared text is kept in named common table expressions; a query lists only its own last step.
 """

@@ -24,24 +24,35 @@ RAW_FIELDS = (
     ("longitude", "double"),
     ("Georeference", "string"),
 )
-RAW_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RAW_FIELDS)
 WRITTEN_TIMESTAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 CORRUPT = "_corrupt"
 
 
-def read_raw(spark: SparkSession, path: str, keep_corrupt: bool = False, schema: str = RAW_SCHEMA) -> DataFrame:
-    """Scan raw CSV with a fixed schema.
+def schema_by_header(spark: SparkSession, path: str, spec: DemandSpec = DemandSpec()) -> str:
+    """Types by column name, in the order of the header. Only the header line is read; unknown columns stay text."""
+    names = [(cell or "").strip() for cell in spark.read.option("header", False).csv(path).first()]
+    missing = {*spec.keys, spec.raw_measure, spec.second_measure} - set(names)
+    if missing:
+        raise ValueError(f"{path} lacks the columns {sorted(missing)}")
+    types = dict(RAW_FIELDS)
+    return ", ".join(f"`{name}` {types.get(name, 'string')}" for name in names)
 
-    Nothing is inferred, so the text is read once. Timestamps are parsed by the reader itself; a cell that does not
-    parse becomes null, short rows are padded with nulls and surplus cells are ignored. With `keep_corrupt` the
-    text of such rows is kept in `_corrupt`, at the price of parsing every column.
+
+def read_raw(
+    spark: SparkSession, path: str, keep_corrupt: bool = False, spec: DemandSpec = DemandSpec()
+) -> DataFrame:
+    """Scan raw CSV with header and fixed types.
+
+    No type is inferred, so the text is read once, and only the columns a query needs are parsed. Timestamps are
+    parsed by the reader itself; a cell that does not parse becomes null, short rows are padded with nulls and surplus
+    cells are ignored. With `keep_corrupt` the text of such rows is kept in `_corrupt`, at the price of parsing every
+    column.
     """
+    schema = schema_by_header(spark, path, spec)
     reader = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("timestampNTZFormat", RAW_TIMESTAMP_FORMAT)
-        # The header is trusted by position: only the first file of many may carry exactly these names.
-        .option("enforceSchema", True)
     )
     if keep_corrupt:
         schema = f"{schema}, {CORRUPT} string"

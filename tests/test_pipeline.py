@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
+from hourgrid.__main__ import main
 from hourgrid.operators import model
 from hourgrid.plans.pipeline import Workspace
 from hourgrid.sources.raw import read_raw, write_raw_csv
@@ -40,6 +41,19 @@ def test_all_stages_from_csv_to_reports(spark, tmp_path):
     assert work.build_features().agg(F.sum("entries")).first() == work.table("features").agg(F.sum("entries")).first()
 
 
+def test_command_line(spark, tmp_path, capsys):
+    rows = hourly_taps(spark, f"{DATA}/sf0.001")
+    write_raw_csv(rows, str(tmp_path / "csv"))
+    out = str(tmp_path / "work")
+    for stage_name in ("prepare", "features"):
+        main([stage_name, "--out", out, "--raw", str(tmp_path / "csv")])
+    main(["report", "--out", out, "--name", "borough_totals"])
+    shown = capsys.readouterr().out
+    assert "n_gaps_filled" in shown and "AFRICA" in shown
+    with pytest.raises(SystemExit):
+        main(["prepare", "--out", out])
+
+
 def test_staged_tables_live_in_the_shared_folder(spark):
     staged = stage(spark.range(3), "probe")
     assert staged.inputFiles()[0].replace("file://", "").startswith(shared_folder(spark))

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, values
+from conftest import plan_of, scan_of, values
 from hourgrid.functions.timegrid import parse_timestamp
 from hourgrid.operators import clean, profile
 from hourgrid.sources import raw, tables
@@ -35,6 +35,22 @@ def test_csv_scan_is_tolerant(spark, csv_path):
     assert rows[4]["station_complex"] == "A, St"
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    rows = ["ridership,transfers,extra,station_complex_id,transit_mode,station_complex,borough,transit_timestamp",
+            "5,1,z,9,subway,A St,Queens,05/15/2022 09:00:00 AM"]
+    (tmp_path / "a.csv").write_text("\n".join(rows) + "\n")
+    row = raw.read_raw(spark, str(tmp_path)).first()
+    assert (row["ridership"], row["station_complex_id"], row["extra"]) == (5, "9", "z")
+    assert row["transit_timestamp"] == datetime(2022, 5, 15, 9)
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="lacks the columns"):
+        raw.read_raw(spark, str(tmp_path))
+
+
+def test_only_needed_columns_are_parsed(spark, csv_path):
+    assert "ReadSchema: struct<ridership:bigint>" in scan_of(raw.read_raw(spark, csv_path).select("ridership"))
+
+
 def test_corrupt_text_is_kept_on_request(spark, csv_path):
     rows = raw.read_raw(spark, csv_path, keep_corrupt=True).collect()
     assert [r[raw.CORRUPT] is not None for r in rows] == [False, False, True, True, True]
