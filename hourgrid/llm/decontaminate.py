@@ -163,8 +163,8 @@ def _same(id_a: str, key_a: str, id_b: str, key_b: str) -> Column:
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of `documents` without a benchmark phrase, as they are."""
     phrases = stage(phrases_of(benchmark, window), "phrases")
-    hit = phrase_matches(documents, phrases).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    hit = phrase_matches(documents, phrases).select(F.col("doc_id").alias("_hit_id"), F.col("key").alias("_hit_key")).distinct()
     hit = stage(hit, "contaminated")
     few = hit.count() <= BROADCAST_KEYS
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (F.xxhash64("text") == F.col("_hit_key"))
     return documents.join(F.broadcast(hit) if few else hit, same, "left_anti")

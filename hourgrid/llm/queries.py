@@ -4,20 +4,130 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourgrid.llm import ngram_join
+from hourgrid.llm import (
+    decontaminate,
+    host_reputation,
+    html_text,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    surrogates,
+    warc_fixity,
+)
 from hourgrid.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: On production the key is a secret of the caller.
+KEY = "corpus"
+ENCODER = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
+#: Hosts are blocked if more than this share of their pages is bad, by the lower posterior bound.
+LIMIT = 0.3
+RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op1_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replace(read(spark, folder, "documents"), KEY).select("doc_id", "text", "n_entities")
+
+
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeated_passages(read(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = ngram_join.ngram_components(read(spark, folder, "documents"), words=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica of `pages` with bytes changed, records cut short, lost and added, all by page_id."""
+    page, html = F.col("page_id"), F.col("html")
+    changed = (
+        F.when(page % 97 == 13, F.concat(F.lit("#"), F.substr(html, F.lit(2))))
+        .when(page % 389 == 11, F.substr(html, F.lit(1), F.floor(F.length(html) / 2).cast("int")))
+        .otherwise(html)
+    )
+    kept = pages.where("page_id % 211 != 7").select("page_id", "url", changed.alias("html"))
+    added = pages.where("page_id % 307 = 5").select((-page - 1).alias("page_id"), "url", "html")
+    return kept.unionByName(added)
+
+
+def op4_merkle_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    return warc_fixity.audit(warc_fixity.records(pages), warc_fixity.records(damaged(pages)))
+
+
+def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(read(spark, folder, "documents"))
+    shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *shown)
+
+
+def op6_composite_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read(spark, folder, "pages"))
+
+
+def page_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """(page_id, bad) of the pages whose document has labels; the number in a url's path names the document."""
+    pages = read(spark, folder, "pages")
+    number = F.regexp_extract(host_reputation.path_of(F.col("url")), r"/([0-9]+)", 1)
+    placed = pages.select("page_id", number.alias("number"))
+    placed = placed.select("page_id", F.expr("try_cast(number as bigint)").alias("doc_id"))
+    labels = read(spark, folder, "labels")
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad")
+    return placed.join(labels.select("doc_id", bad), "doc_id").select("page_id", "bad")
+
+
+def op7_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    judged = host_reputation.judge(read(spark, folder, "pages"), page_outcomes(spark, folder), RULES, limit=LIMIT)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), ENCODER)
+
+
+def op9_minimax_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(read(spark, folder, "documents"), shards=16)
+
+
+def op10_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"), window=10)
+    items = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
+    count = F.size("items").cast("bigint").alias("n_items")
+    return found.select("doc_id", "n_words", "n_hit", count, items, "contaminated")
+
+
 QUERIES: dict[str, Query] = {
-    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_pii_surrogates,
+        op2_substring_dedup,
+        op3_ngram_jaccard_join,
+        op4_merkle_fixity_audit,
+        op5_robust_outliers,
+        op6_composite_text_density,
+        op7_host_reputation,
+        op8_best_fit_packing,
+        op9_minimax_sharding,
+        op10_positional_index,
+    )
 }
 ORACLE: dict[str, str] = {}
