@@ -13,6 +13,7 @@ from hourgrid.llm import (
     host_reputation,
     html_text,
     ngram_join,
+    oracle,
     packing,
     quality,
     sharding,
@@ -33,6 +34,7 @@ ENCODER = (
 )
 #: Hosts are blocked if more than this share of their pages is bad, by the lower posterior bound.
 LIMIT = 0.3
+Z = 1.645
 RULES = [
     ("allow", "com/"),
     ("block", "example.com/en/"),
@@ -96,7 +98,7 @@ def page_outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
-    judged = host_reputation.judge(read(spark, folder, "pages"), page_outcomes(spark, folder), RULES, limit=LIMIT)
+    judged = host_reputation.judge(read(spark, folder, "pages"), page_outcomes(spark, folder), RULES, LIMIT, Z)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -130,4 +132,13 @@ QUERIES: dict[str, Query] = {
         op10_positional_index,
     )
 }
-ORACLE: dict[str, str] = {}
+#: Packing, sharding, extraction, surrogates and robust estimates have no plain counterpart: tests use brute force.
+ORACLE: dict[str, str] = {
+    "op2_substring_dedup": oracle.OP2,
+    "op3_ngram_jaccard_join": oracle.OP3,
+    "op4_merkle_fixity_audit": oracle.OP4,
+    "op7_host_reputation": oracle.op7(
+        RULES, LIMIT, Z, host_reputation.STRENGTH_RANGE, host_reputation.TWO_LABEL_SUFFIXES
+    ),
+    "op10_positional_index": oracle.OP10,
+}
