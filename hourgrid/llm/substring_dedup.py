@@ -94,6 +94,8 @@ class Block:
         rows = []
         for chosen, settled in ((needed, False), (hit, True)):
             at = np.flatnonzero(chosen)
+            if not len(at):
+                continue
             if settled:
                 part[at] = self.parts + (owner[at] % self.parts).astype(np.int32)
             at = at[np.argsort(part[at], kind="stable")]
