@@ -1,8 +1,8 @@
 """URL filter: explicit rules, else an empirical-Bayes reputation of the host from labelled pages.
 
 Page outcomes are bad or not. Counts are summed per host, registered domain and suffix. Each level's share of bad pages
-is shrunk towards its parent's by a beta-binomial prior whose strength is estimated, level by level, from how much the
-groups differ beyond chance. A host is blocked if even the lower posterior bound of its share is above the limit.
+is shrunk towards that of the rest of its parent by a beta-binomial prior whose strength is estimated, level by level, from
+how much the groups differ beyond chance; a group's own pages never count in its prior. A host is blocked if even the lower posterior bound of its share is above the limit.
 
 Only DataFrame functions are used; every sum is partial before its shuffle.
 """
@@ -97,21 +97,23 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataF
     seen = outcomes.where("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     counted = stage(named.join(seen, "host", "left").fillna(0, ["n", "bad"]), "hosts")
 
-    parent = counted.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1)).alias("prior")).select(
-        F.coalesce("prior", F.lit(0.5)).alias("prior")
-    )
+    # The share of all pages has a weak prior of one half.
+    parent = counted.agg(F.sum("n").alias("n_above"), F.sum("bad").alias("bad_above"))
+    parent = parent.withColumns({"prior_above": F.lit(0.5), "strength_above": F.lit(1.0)})
     keys: list[str] = []
     for level in LEVELS:
         above = list(keys)
         keys = [*LEVELS[: LEVELS.index(level) + 1]]
         groups = counted.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         groups = groups.join(parent, above) if above else groups.join(parent)
+        rest_bad = F.col("bad_above") - F.col("bad") + F.col("strength_above") * F.col("prior_above")
+        prior = rest_bad / (F.col("n_above") - F.col("n") + F.col("strength_above"))
+        groups = stage(groups.select(*keys, "n", "bad", prior.alias("prior")), level)
         strength = _strength(groups.where("n > 0"), F.lit(STRENGTH_RANGE[1]))
-        shrunk = groups.join(strength).withColumn("a", F.col("bad") + F.col("strength") * F.col("prior"))
-        shrunk = shrunk.withColumn("size", F.col("n") + F.col("strength"))
-        shrunk = shrunk.withColumn("mean", F.col("a") / F.col("size"))
-        shrunk = stage(shrunk.select(*keys, "n", "bad", "mean", "size"), level)
-        parent = shrunk.select(*keys, F.col("mean").alias("prior"))
+        known = groups.join(strength)
+        parent = known.withColumnsRenamed({c: f"{c}_above" for c in ("n", "bad", "prior", "strength")})
+    size = F.col("n") + F.col("strength")
+    shrunk = known.withColumns({"size": size, "mean": (F.col("bad") + F.col("strength") * F.col("prior")) / size})
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("size") + 1))
     return shrunk.select(*keys, "n", "bad", "mean", (F.col("mean") - z * deviation).alias("low"))
 

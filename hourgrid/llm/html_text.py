@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,11 +33,13 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
-#: Elements that hold no text of the article.
-FURNITURE = frozenset(
-    "aside audio button canvas datalist dialog fieldset footer form head iframe input legend map menu nav noscript object "
-    "option progress script select style svg template textarea title video".split()
+#: Elements without text of the article that may stand inside a line.
+SILENT = frozenset(
+    "audio button canvas datalist iframe input legend map noscript object option progress script select style svg "
+    "template textarea video".split()
 )
+#: All elements that hold no text of the article.
+FURNITURE = SILENT | frozenset("aside dialog fieldset footer form head label menu nav title".split())
 RAW = frozenset("iframe noscript script style textarea title xmp".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 _NAMES = (
@@ -64,7 +67,8 @@ class Page:
         self.tags, self.parents = ["#page"], [-1]
         self.chars, self.links, self.linked = [0], [0], [0]
         self.blocks: list[tuple[int, str]] = []
-        self.stack = [0]
+        self.stack, self.block_stack = [0], [0]
+        self.open: Counter[str] = Counter()
         self.skipped: list[str] = []
         self.held: list[str] = []
         self.links_open = 0
@@ -74,10 +78,7 @@ class Page:
         text = " ".join("".join(self.held).split())
         self.held = []
         if text:
-            self.blocks.append((self._block(), text))
-
-    def _block(self) -> int:
-        return next(i for i in reversed(self.stack) if self.tags[i] not in INLINE)
+            self.blocks.append((self.block_stack[-1], text))
 
     def _text(self, piece: str) -> None:
         if not piece or self.skipped:
@@ -92,11 +93,17 @@ class Page:
 
     def _close_to(self, place: int) -> None:
         """Close every open element from `place` of the stack on."""
-        for i in self.stack[place:]:
-            self.links_open -= self.tags[i] == "a"
+        for i in reversed(self.stack[place:]):
+            tag = self.tags[i]
+            self.open[tag] -= 1
+            self.links_open -= tag == "a"
+            if i == self.block_stack[-1]:
+                self.block_stack.pop()
         del self.stack[place:]
 
     def _open_place(self, wanted, limits) -> int | None:
+        if not any(self.open[tag] for tag in wanted):
+            return None
         for place in range(len(self.stack) - 1, 0, -1):
             tag = self.tags[self.stack[place]]
             if tag in wanted:
@@ -108,7 +115,7 @@ class Page:
     def _furniture(self, tag: str, rest: str) -> bool:
         if tag in FURNITURE:
             return True
-        inside = any(self.tags[i] in ARTICLE for i in self.stack)
+        inside = any(self.open[a] for a in ARTICLE)
         if tag == "header" and not inside:
             return True
         if tag in ("html", "body") or tag in ARTICLE or not rest:
@@ -129,7 +136,7 @@ class Page:
             if not closed:
                 self.skipped.append(tag)
             return
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in SILENT:
             self._flush()
             place = self._open_place(("p",), ())
             if place and tag not in VOID:
@@ -149,23 +156,26 @@ class Page:
         self.links.append(int(tag == "a" or self.links_open > 0))
         if not closed:
             self.stack.append(len(self.tags) - 1)
+            self.open[tag] += 1
             self.links_open += tag == "a"
+            if tag not in INLINE:
+                self.block_stack.append(len(self.tags) - 1)
 
     def _end(self, tag: str) -> None:
         if self.skipped:
             if tag in self.skipped:
                 while self.skipped.pop() != tag:
                     pass
-            elif any(self.tags[i] == tag and tag not in INLINE for i in self.stack[1:]):
+            elif tag not in INLINE and self.open[tag] > 0:
                 # The end of an element around the skipped one ends that as well.
                 self.skipped = []
                 self._end(tag)
             return
         if tag in INLINE:
-            block = self._block()
             place = self._open_place((tag,), ())
-            if place and self.stack[place] > block:
+            if place and self.stack[place] > self.block_stack[-1]:
                 del self.stack[place]
+                self.open[tag] -= 1
                 self.links_open -= tag == "a"
             return
         self._flush()

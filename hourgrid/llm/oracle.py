@@ -98,9 +98,13 @@ def op7(rules: list[tuple[str, str]], limit: float, z: float, strengths: tuple[f
     for level in ("suffix", "domain", "host"):
         upper, keys = list(keys), [*keys, level]
         k = ", ".join(keys)
-        join = f"JOIN {above} USING ({', '.join(upper)})" if upper else f"CROSS JOIN {above}"
+        same = " AND ".join(f"g.{c} = u.{c}" for c in upper) or "true"
         parts.append(f"""
-g_{level} AS (SELECT {k}, n, bad, prior FROM (SELECT {k}, sum(n) AS n, sum(bad) AS bad FROM counted GROUP BY {k}) {join}),
+g_{level} AS (
+  SELECT {", ".join("g." + c for c in keys)}, g.n, g.bad,
+         (u.bad - g.bad + u.strength * u.prior) / (u.n - g.n + u.strength) AS prior
+  FROM (SELECT {k}, sum(n) AS n, sum(bad) AS bad FROM counted GROUP BY {k}) g JOIN {above} u ON {same}
+),
 s_{level} AS (
   SELECT least(greatest(coalesce(CASE WHEN weight > chance THEN
            CASE WHEN scatter <= chance THEN {high} ELSE (weight - chance) / (scatter - chance) - 1 END END, {high}),
@@ -108,10 +112,8 @@ s_{level} AS (
   FROM (SELECT sum(n * power(bad / n - prior, 2)) AS scatter, sum(prior * (1 - prior)) AS chance,
                sum(n * prior * (1 - prior)) AS weight FROM g_{level} WHERE n > 0)
 ),
-m_{level} AS (
-  SELECT {k}, (bad + strength * prior) / (n + strength) AS prior, n + strength AS size FROM g_{level} CROSS JOIN s_{level}
-)""")
-        above = f"m_{level}" if level == "host" else f"(SELECT {k}, prior FROM m_{level})"
+k_{level} AS (SELECT * FROM g_{level} CROSS JOIN s_{level})""")
+        above = f"k_{level}"
     return rf"""
 WITH p AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
@@ -137,7 +139,8 @@ seen AS (
   WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY host
 ),
 counted AS (SELECT host, domain, suffix, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad FROM placed LEFT JOIN seen USING (host)),
-everything AS (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) AS prior FROM counted),{",".join(parts)},
+everything AS (SELECT sum(n) AS n, sum(bad) AS bad, 0.5::DOUBLE AS prior, 1.0::DOUBLE AS strength FROM counted),{",".join(parts)},
+m_host AS (SELECT host, (bad + strength * prior) / (n + strength) AS prior, n + strength AS size FROM k_host),
 rules AS ({" UNION ALL ".join(fits)}),
 best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM rules GROUP BY page_id)
 SELECT page_id, host, path, rule,
