@@ -132,8 +132,8 @@ def _splitter(groups: DataFrame):
         sums = wanted.withColumn("b", bits).groupBy(cell.alias("start"), "b").agg(
             F.sum("weight").alias("weight"), F.count("*").alias("groups")
         )
-        found = sums.toPandas()
-        return tuple(found[c].to_numpy(np.int64) for c in ("start", "b", "weight", "groups"))
+        found = sums.toArrow()
+        return tuple(found.column(c).to_numpy().astype(np.int64) for c in ("start", "b", "weight", "groups"))
 
     return split
 

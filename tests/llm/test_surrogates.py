@@ -24,7 +24,7 @@ def test_formats(spark):
         "phone": "+1 (988) 555-2485",
         "address": "42.144.35.254",
         "card": "4111 1111 1111 1111",
-        "bad card": "4041894974608795",
+        "bad card": "4041894974608796",
         "identity": "123-45-6789",
         "account": "DE89 3704 0044 0532 0130 00",
         "plain phone": "212-555-0187",
