@@ -38,14 +38,20 @@ def steps_between(start: Column, end: Column, step: str) -> Column:
     return step_index(end, step) - step_index(start, step)
 
 
+def _within_step(ts: Column, step: str) -> Column:
+    parts = [F.minute(ts), F.date_part(F.lit("SECONDS"), ts)]
+    return F.struct(*parts) if step == "hour" else F.struct(F.hour(ts), *parts)
+
+
 def on_grid(ts: Column, origin: Column, step: str) -> Column:
     """Whether `ts` lies a whole number of steps from `origin`; null for a null time."""
+    return ts.isNotNull() & (_within_step(ts, step) == _within_step(origin, step))
 
-    def within_step(c: Column) -> Column:
-        parts = [F.minute(c), F.date_part(F.lit("SECONDS"), c)]
-        return F.struct(*parts) if step == "hour" else F.struct(F.hour(c), *parts)
 
-    return ts.isNotNull() & (within_step(ts) == within_step(origin))
+def complete_steps(start: Column, end: Column, step: str) -> Column:
+    """Steps that are complete between two times, which need not lie on one grid."""
+    begun = F.when(_within_step(end, step) < _within_step(start, step), 1).otherwise(0)
+    return steps_between(start, end, step) - begun
 
 
 def add_steps(ts: Column, count: Column, step: str) -> Column:

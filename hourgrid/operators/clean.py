@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.functions.numeric import cap_upper, clip_lower, nearest_rank, sum_or_zero
-from hourgrid.functions.timegrid import add_steps, on_grid, step_interval, steps_between
+from hourgrid.functions.timegrid import add_steps, complete_steps, on_grid, steps_between
 from hourgrid.spec import LOWER_QUANTILE, UPPER_QUANTILE, DemandSpec
 
 COORDINATES = ("latitude", "longitude")
@@ -46,6 +46,7 @@ def rollup(raw: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
         sum_or_zero(F.col(spec.raw_measure)).alias(spec.target),
         sum_or_zero(F.col(spec.second_measure)).alias(spec.second_measure),
         F.count(F.lit(1)).alias("n_raw"),
+        F.count_if(F.col(spec.raw_measure).isNull()).alias("n_unread"),
     ]
     for column in COORDINATES:
         if column in raw.columns:
@@ -75,8 +76,7 @@ def station_locations_of(rolled: DataFrame, spec: DemandSpec = DemandSpec()) ->
 def time_bounds(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """One row: first and last time of the table and the number of steps from the first to the last."""
     bounds = df.agg(F.min(spec.ts).alias("min_ts"), F.max(spec.ts).alias("max_ts"))
-    steps = F.sequence("min_ts", "max_ts", step_interval(spec.step))
-    return bounds.withColumn("n_steps", F.size(steps).cast("bigint"))
+    return bounds.withColumn("n_steps", complete_steps(F.col("min_ts"), F.col("max_ts"), spec.step) + 1)
 
 
 def stations(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
@@ -223,11 +223,11 @@ def iqr_caps_of_sums(
         .groupBy(*spec.station_keys, "value")
         .agg(F.count_if("counted").alias("n"))
     )
-    series = Window.partitionBy(spec.series_id)
-    # Nearly always one station tuple per series, and never more than its attribute combinations.
-    tuples = F.size(F.collect_set(F.struct(*spec.attributes)).over(series))
-    slots = tuples * bounds.select("n_steps").scalar()
-    return _caps(histogram.withColumn("n_zero", slots - F.sum("n").over(series)), spec, min_cap)
+    # Stations of a series and its counted sums, in two levels so that no series is one task's work.
+    per_station = histogram.groupBy(*spec.station_keys).agg(F.sum("n").alias("n"))
+    per_series = per_station.groupBy(spec.series_id).agg(F.count(F.lit(1)).alias("tuples"), F.sum("n").alias("counted"))
+    zeros = (F.col("tuples") * bounds.select("n_steps").scalar() - F.col("counted")).alias("n_zero")
+    return _caps(histogram.join(per_series.select(spec.series_id, zeros), spec.series_id), spec, min_cap)
 
 
 def cap_outliers(df: DataFrame, caps: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:

@@ -5,19 +5,19 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, fields
+from dataclasses import asdict, dataclass, fields, replace
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.operators import baseline
 from hourgrid.spec import DemandSpec
-from hourgrid.staging import ensure_checkpoint_dir
+from hourgrid.staging import ensure_checkpoint_dir, stage
 
 LABEL, FEATURES, PREDICTION = "_label", "_features", "pred_model"
 
@@ -36,6 +36,11 @@ SEARCH_RANGES = {
 }
 LOG_UNIFORM = ("learning_rate",)
 
+# Histogram bins per feature; all features are numbers, so no category needs a bin of its own.
+MAX_BINS = 64
+# Rows of the overall mean that are added to each value's own in the target means.
+SMOOTHING = 20.0
+
 PARAMS_SCHEMA = (
     "num_leaves int, max_depth int, learning_rate double, n_estimators int, min_data_in_leaf int, "
     "feature_fraction double, bagging_fraction double"
@@ -62,7 +67,7 @@ class BoostingParams:
     def depth(self) -> int:
         return max(1, min(self.max_depth, math.ceil(math.log2(self.num_leaves))))
 
-    def regressor(self, max_bins: int, seed: int = SEED) -> GBTRegressor:
+    def regressor(self, seed: int = SEED) -> GBTRegressor:
         return GBTRegressor(
             labelCol=LABEL,
             featuresCol=FEATURES,
@@ -73,7 +78,7 @@ class BoostingParams:
             minInstancesPerNode=self.min_data_in_leaf,
             featureSubsetStrategy="all" if self.feature_fraction >= 1.0 else str(self.feature_fraction),
             subsamplingRate=self.bagging_fraction,
-            maxBins=max_bins,
+            maxBins=MAX_BINS,
             # Residuals are cut from their lineage every few trees, through the shared folder.
             checkpointInterval=10,
             seed=seed,
@@ -81,65 +86,95 @@ class BoostingParams:
 
 
 @dataclass(frozen=True)
-class FittedEncoder:
-    """Fitted encoding and the bin count its largest category needs."""
+class Encoder:
+    """Smoothed target means of the text columns: `means` has feature, value and mean; unknown values get `prior`."""
+
+    means: DataFrame
+    prior: float
+
+    def columns(self, df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
+        """`df` with a number in place of each text column, under the name `<column>_mean`.
+
+        The means are joined per column; whether they are broadcast is left to the planner, which checks their size.
+        """
+
+        def joined(rows: DataFrame, column: str) -> DataFrame:
+            own = self.means.where(F.col("feature") == column).select(
+                F.col("value").alias("_value"), F.col("mean").alias(f"{column}_mean")
+            )
+            return rows.join(own, rows[column].eqNullSafe(own["_value"]), "left").drop("_value")
+
+        encoded = reduce(joined, spec.categorical, df)
+        return encoded.fillna(self.prior, [f"{c}_mean" for c in spec.categorical])
 
-    model: PipelineModel
-    max_bins: int
+    def vectors(self, df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
+        inputs = [*spec.numeric_features, *(f"{c}_mean" for c in spec.categorical)]
+        return VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(self.columns(df, spec))
 
     def encode(self, df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
-        return self.model.transform(df).select(F.col(spec.target).cast("double").alias(LABEL), FEATURES)
+        """Label and feature vector of the training rows."""
+        return self.vectors(df, spec).select(F.col(spec.target).cast("double").alias(LABEL), FEATURES)
 
 
-def feature_pipeline(
-    df: DataFrame, spec: DemandSpec = DemandSpec(), max_categories: int = 1024
-) -> FittedEncoder:
-    """Index the text columns and assemble one feature vector.
+@dataclass(frozen=True)
+class DemandModel:
+    """Encoder and trees, which together score feature rows."""
+
+    encoder: Encoder
+    booster: GBTRegressionModel
+
 
-    Trees keep one histogram bin per category, and an index keeps its labels on the driver, so both need a bound. A
-    column with more than `max_categories` values (a large network's station names) is hashed to that many buckets,
-    which are then its categories; the lags still tell its stations apart.
+def target_means(df: DataFrame, prior: float, spec: DemandSpec = DemandSpec(), smoothing: float = SMOOTHING) -> DataFrame:
+    """(feature, value, mean): the mean target of each value, drawn to the overall mean by `smoothing` rows of it.
+
+    Sums are partial before the shuffle and the result stays distributed, so the same encoding serves ten stations and
+    ten million.
     """
-    sizes = df.agg(*(F.approx_count_distinct(c).alias(c) for c in spec.categorical)).first()
-    stages: list = []
-    labels = []
-    for column in spec.categorical:
-        if sizes[column] > max_categories:
-            bucket = f"{column}_bucket"
-            hashed = f"CAST(pmod(xxhash64({column}), {max_categories}) AS STRING) AS {bucket}"
-            stages.append(SQLTransformer(statement=f"SELECT *, {hashed} FROM __THIS__"))
-            labels.append(bucket)
-        else:
-            labels.append(column)
-    indexed = [f"{c}_index" for c in labels]
-    stages.append(StringIndexer(inputCols=labels, outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[*spec.numeric_features, *indexed], outputCol=FEATURES))
-    fitted = Pipeline(stages=stages).fit(df)
-    # Unknown values get a category of their own.
-    categories = max(len(found) + 1 for found in fitted.stages[-2].labelsArray)
-    return FittedEncoder(model=fitted, max_bins=max(32, categories))
+    values = F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in spec.categorical)))
+    sums = df.select(values.alias("v"), F.col(spec.target).alias("y")).groupBy("v.feature", "v.value").agg(
+        F.sum("y").alias("total"), F.count("y").alias("n")
+    )
+    mean = (F.col("total") + smoothing * prior) / (F.col("n") + smoothing)
+    return sums.select("feature", "value", mean.alias("mean"))
+
+
+def fit_encoder(df: DataFrame, spec: DemandSpec = DemandSpec(), smoothing: float = SMOOTHING) -> Encoder:
+    """Target means of the training rows; one number comes to the driver."""
+    prior = float(df.agg(F.avg(spec.target)).first()[0] or 0.0)
+    return Encoder(stage(target_means(df, prior, spec, smoothing), "means"), prior)
 
 
 def fit(
     train: DataFrame, params: BoostingParams = BoostingParams(), spec: DemandSpec = DemandSpec(), seed: int = SEED
-) -> PipelineModel:
+) -> DemandModel:
     """Encoder and trees in one model that scores feature rows."""
     ensure_checkpoint_dir(train.sparkSession)
-    encoder = feature_pipeline(train, spec)
-    booster = params.regressor(encoder.max_bins, seed).fit(encoder.encode(train, spec))
-    return PipelineModel(stages=[*encoder.model.stages, booster])
+    encoder = fit_encoder(train, spec)
+    # Every tree passes over the encoded rows once per level.
+    rows = stage(encoder.encode(train, spec), "encoded").persist()
+    try:
+        return DemandModel(encoder, params.regressor(seed).fit(rows))
+    finally:
+        rows.unpersist()
 
 
-def fit_default(train_val: DataFrame, spec: DemandSpec = DemandSpec(), seed: int = SEED, **overrides) -> PipelineModel:
+def fit_default(train_val: DataFrame, spec: DemandSpec = DemandSpec(), seed: int = SEED, **overrides) -> DemandModel:
     """The comparator before tuning."""
     return fit(train_val, BoostingParams(**overrides), spec, seed)
 
 
 def fit_final(
-    train_val: DataFrame, params: BoostingParams, spec: DemandSpec = DemandSpec(), seed: int = SEED
-) -> PipelineModel:
-    """Refit on train and validation with the best parameters; `n_estimators` is the early-stopped tree count."""
-    return fit(train_val, params, spec, seed)
+    train_val: DataFrame,
+    params: BoostingParams,
+    spec: DemandSpec = DemandSpec(),
+    seed: int = SEED,
+    bagging: bool = False,
+) -> DemandModel:
+    """Refit on train and validation with the best parameters; `n_estimators` is the early-stopped tree count.
+
+    Rows are sampled per tree only in the trials, unless `bagging` asks for it here as well.
+    """
+    return fit(train_val, params if bagging else replace(params, bagging_fraction=1.0), spec, seed)
 
 
 def best_iteration(curve: Sequence[float], patience: int = PATIENCE) -> int:
@@ -157,19 +192,24 @@ def fit_trial(
     train: DataFrame,
     validation: DataFrame,
     params: BoostingParams,
-    max_bins: int,
     patience: int = PATIENCE,
     seed: int = SEED,
 ) -> dict:
     """Fit encoded rows and stop by the validation MAE.
 
-    One pass over the validation rows gives the error after every tree. The reported errors are those of the best
-    tree count, so the surplus trees change nothing.
+    Trees are grown to twice the patience first, and to twice as many each time the best count is still within the
+    patience of the end. The first trees of a larger fit are those of a smaller one, so the result is that of growing
+    all `n_estimators` trees, and a trial that peaks early costs few of them.
     """
-    booster = params.regressor(max_bins, seed).fit(train)
-    absolute = booster.evaluateEachIteration(validation, "absolute")
+    size = min(2 * patience, params.n_estimators)
+    while True:
+        booster = replace(params, n_estimators=size).regressor(seed).fit(train)
+        absolute = booster.evaluateEachIteration(validation, "absolute")
+        count = best_iteration(absolute, patience)
+        if size == params.n_estimators or count + patience <= size:
+            break
+        size = min(2 * size, params.n_estimators)
     squared = booster.evaluateEachIteration(validation, "squared")
-    count = best_iteration(absolute, patience)
     return {
         **asdict(params),
         "best_iteration": count,
@@ -214,13 +254,12 @@ def search(
     """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
-    encoder = feature_pipeline(train, spec)
-    rows = encoder.encode(train, spec).persist()
-    checks = encoder.encode(validation, spec).persist()
+    encoder = fit_encoder(train, spec)
+    rows, checks = (stage(encoder.encode(df, spec), "encoded").persist() for df in (train, validation))
 
     def run(item: tuple[int, BoostingParams]) -> dict:
         number, params = item
-        return {"trial": number, **fit_trial(rows, checks, params, encoder.max_bins, patience, seed)}
+        return {"trial": number, **fit_trial(rows, checks, params, patience, seed)}
 
     try:
         with ThreadPool(max(1, parallelism)) as pool:
@@ -251,19 +290,19 @@ def params_of(row_table: DataFrame) -> BoostingParams:
     return BoostingParams(**{f.name: row[f.name] for f in fields(BoostingParams)})
 
 
-def score(model: PipelineModel, df: DataFrame, column: str = PREDICTION) -> DataFrame:
+def score(model: DemandModel, df: DataFrame, column: str = PREDICTION, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """Add the prediction; helper columns of the model are dropped."""
-    scored = model.transform(df)
+    scored = model.booster.transform(model.encoder.vectors(df, spec))
     return scored.select(*df.columns, F.col(PREDICTION).alias(column))
 
 
 def prediction_table(
-    models: dict[str, PipelineModel], test: DataFrame, spec: DemandSpec = DemandSpec()
+    models: dict[str, DemandModel], test: DataFrame, spec: DemandSpec = DemandSpec()
 ) -> DataFrame:
     """Keys, actual value, one column per model, and the two baselines."""
     scored = test
     for column, model in models.items():
-        scored = score(model, scored, column)
+        scored = score(model, scored, column, spec)
     chosen = [*spec.keys, spec.target, *models]
     return baseline.with_baselines(scored, spec).select(
         *chosen, baseline.naive_column(), baseline.rolling_column(spec)
@@ -276,20 +315,25 @@ def attach_predictions(df: DataFrame, predictions: DataFrame, spec: DemandSpec =
     return df.join(predictions.select(spec.series_id, spec.ts, *columns), [spec.series_id, spec.ts], "inner")
 
 
-def importance(model: PipelineModel, spec: DemandSpec = DemandSpec()) -> DataFrame:
+def importance(model: DemandModel, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """Share of the total gain per feature, smallest first."""
-    booster = model.stages[-1]
-    if not isinstance(booster, GBTRegressionModel):
-        raise TypeError("the last stage is not a boosted-tree model")
     names = spec.feature_columns
-    rows = [(name, float(value)) for name, value in zip(names, booster.featureImportances.toArray())]
+    rows = [(name, float(value)) for name, value in zip(names, model.booster.featureImportances.toArray(), strict=True)]
     spark = SparkSession.active()
     return spark.createDataFrame(rows, "feature string, importance double").orderBy("importance", "feature")
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save(model: DemandModel, path: str) -> None:
+    """Trees, target means and the overall mean, each in its own folder under `path`."""
+    model.booster.write().overwrite().save(f"{path}/trees")
+    prior = F.lit(model.encoder.prior).alias("prior")
+    model.encoder.means.write.mode("overwrite").parquet(f"{path}/means")
+    SparkSession.active().range(1).select(prior).write.mode("overwrite").parquet(f"{path}/prior")
 
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load(path: str) -> DemandModel:
+    spark = SparkSession.active()
+    prior = spark.read.parquet(f"{path}/prior").first()["prior"]
+    return DemandModel(
+        Encoder(spark.read.parquet(f"{path}/means"), prior), GBTRegressionModel.load(f"{path}/trees")
+    )

@@ -139,14 +139,16 @@ def date_bounds(predictions: DataFrame, spec: DemandSpec = DemandSpec()) -> Data
 def station_slice(
     df: DataFrame, station: str, start: str, end: str, spec: DemandSpec = DemandSpec()
 ) -> DataFrame:
-    """Rows of one station name between two dates, both included, in time order.
+    """Rows of one station name between two dates, both included, in time order."""
+    return _slice(df, station, start, end, spec).orderBy(spec.ts, spec.series_id)
 
-    The dates are turned into a half-open range of the stored column, which the scan can use.
-    """
+
+def _slice(df: DataFrame, station: str, start: str, end: str, spec: DemandSpec) -> DataFrame:
+    """The dates are turned into a half-open range of the stored column, which the scan can use."""
     ts = F.col(spec.ts)
     first, last = (F.lit(str(d)).cast("date").cast("timestamp_ntz") for d in (start, end))
     chosen = (F.col(spec.name) == station) & (ts >= first) & (ts < last + F.expr("INTERVAL 1 DAY"))
-    return df.filter(chosen).orderBy(spec.ts, spec.series_id)
+    return df.filter(chosen)
 
 
 def slice_metrics(
@@ -158,7 +160,7 @@ def slice_metrics(
     spec: DemandSpec = DemandSpec(),
 ) -> DataFrame:
     """Errors of each model over one slice; no rows for an empty slice."""
-    return metrics.compare_models(station_slice(predictions, station, start, end, spec), columns, (), spec)
+    return metrics.compare_models(_slice(predictions, station, start, end, spec), columns, (), spec)
 
 
 def actual_vs_predicted(

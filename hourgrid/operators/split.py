@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,26 +43,38 @@ def train_and_validation(parts: dict[str, DataFrame]) -> DataFrame:
     return parts["train"].unionByName(parts["val"])
 
 
-def split_ranges(parts: dict[str, DataFrame], spec: DemandSpec = DemandSpec()) -> DataFrame:
-    """One row with first and last time of each part."""
-    ranges = None
-    for name, part in parts.items():
-        row = part.agg(F.min(spec.ts).alias("first"), F.max(spec.ts).alias("last")).select(
-            F.lit(name).alias("split"), "first", "last"
-        )
-        ranges = row if ranges is None else ranges.unionByName(row)
-    bounds = [
-        F.max(F.when(F.col("split") == name, F.col(end))).alias(f"{name}_{end}")
+def _ranges(name_of: Column, ts: str) -> list[Column]:
+    return [
+        (F.min if end == "first" else F.max)(F.when(name_of == name, F.col(ts))).alias(f"{name}_{end}")
         for name in SPLITS
         for end in ("first", "last")
     ]
-    return ranges.agg(*bounds)
+
+
+def split_ranges(parts: dict[str, DataFrame], spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """One row with first and last time of each stored part, in one pass over all of them."""
+    marked = [part.select(spec.ts, F.lit(name).alias("split")) for name, part in parts.items()]
+    return reduce(DataFrame.unionByName, marked).agg(*_ranges(F.col("split"), spec.ts))
+
+
+def table_ranges(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """The same row from one scan of a table that is not split yet."""
+    return df.agg(*_ranges(split_label(spec), spec.ts))
+
+
+def _checked(ranges: DataFrame) -> DataFrame:
+    ordered = (F.col("train_last") < F.col("val_first")) & (F.col("val_last") < F.col("test_first"))
+    return ranges.withColumn("chronological", F.coalesce(ordered, F.lit(False)))
+
+
+def table_check(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """One row: the ranges that the cuts give and whether all three parts have rows."""
+    return _checked(table_ranges(df, spec))
 
 
 def leak_check(parts: dict[str, DataFrame], spec: DemandSpec = DemandSpec()) -> DataFrame:
     """One row: the ranges and whether train < val < test without overlap."""
-    ordered = (F.col("train_last") < F.col("val_first")) & (F.col("val_last") < F.col("test_first"))
-    return split_ranges(parts, spec).withColumn("chronological", F.coalesce(ordered, F.lit(False)))
+    return _checked(split_ranges(parts, spec))
 
 
 def assert_chronological(parts: dict[str, DataFrame], spec: DemandSpec = DemandSpec()) -> None:

@@ -23,16 +23,23 @@ raw AS (
 good AS (SELECT * FROM raw WHERE NOT (station_complex_id = '3' AND transit_mode = 'tram'))
 """
 
-DAILY_RAW = """
+
+
+def _shipped(series: str, name: str, mode: str) -> str:
+    return f"""
 raw AS (
-  SELECT l.l_shipdate AS transit_timestamp, n.n_name AS transit_mode, CAST(s.s_suppkey AS VARCHAR) AS station_complex_id,
-    s.s_name AS station_complex, r.r_name AS borough,
+  SELECT l.l_shipdate AS transit_timestamp, {mode} AS transit_mode, CAST({series} AS VARCHAR) AS station_complex_id,
+    {name} AS station_complex, r.r_name AS borough,
     CAST(l.l_quantity AS BIGINT) AS ridership, CAST(l.l_linenumber AS BIGINT) AS transfers
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey),
 good AS (SELECT * FROM raw)
 """
 
+
+DAILY_RAW = _shipped("n.n_nationkey", "n.n_name", "r.r_name")
+SUPPLIER_RAW = _shipped("s.s_suppkey", "s.s_name", "n.n_name")
+
 STATION = "station_complex_id, station_complex, borough, transit_mode"
 KEYS = f"{STATION}, transit_timestamp"
 
@@ -62,12 +69,9 @@ quartiles AS (
 """
 
 
-def _caps(min_cap: float | None = None) -> str:
-    cap = "q3 + 3.0 * (q3 - q1)"
-    if min_cap is not None:
-        cap = f"greatest({cap}, {min_cap})"
-    return f"""
-caps AS (SELECT station_complex_id, q1, q3, q3 - q1 AS iqr, CAST({cap} AS DOUBLE) AS upper_cap FROM quartiles),
+CAPPED = f"""
+caps AS (
+  SELECT station_complex_id, q1, q3, q3 - q1 AS iqr, CAST(q3 + 3.0 * (q3 - q1) AS DOUBLE) AS upper_cap FROM quartiles),
 cleaned AS (
   SELECT {KEYS}, CAST(round(CASE WHEN entries > upper_cap THEN upper_cap ELSE entries END) AS BIGINT) AS entries,
     transfers
@@ -114,12 +118,11 @@ long AS (
 
 
 HOURLY_SUMS = [HOURLY_RAW, _prep("HOUR")]
-HOURLY_CLEAN = [*HOURLY_SUMS, _caps()]
+HOURLY_CLEAN = [*HOURLY_SUMS, CAPPED]
 HOURLY_FEATURES = [*HOURLY_CLEAN, _history("cleaned", (1, 24, 168), (3, 24), "h")]
 HOURLY_SPLIT = [*HOURLY_FEATURES, _split(HOURLY_CUTS, "lag_168h", "rolling_mean_24h", "rolling_avg_24h")]
-DAILY_CLEAN = [DAILY_RAW, _prep("DAY"), _caps()]
-DAILY_CAPPED = [DAILY_RAW, _prep("DAY"), _caps(60.0)]
-DAILY_FEATURES = [*DAILY_CAPPED, _history("cleaned", (1, 7, 28), (3, 7), "d")]
+DAILY_CLEAN = [DAILY_RAW, _prep("DAY"), CAPPED]
+DAILY_FEATURES = [*DAILY_CLEAN, _history("cleaned", (1, 7, 28), (3, 7), "d")]
 DAILY_SPLIT = [*DAILY_FEATURES, _split(DAILY_CUTS, "lag_28d", "rolling_mean_7d", "rolling_avg_7d")]
 
 
@@ -161,6 +164,24 @@ TOTAL = "SELECT {key}, CAST(sum(entries) AS BIGINT) AS total_entries FROM cleane
 DATE_TOTALS = """SELECT CAST(transit_timestamp AS DATE) AS date, CAST(sum(entries) AS BIGINT) AS total_entries,
   count(*) AS n_rows FROM cleaned GROUP BY 1"""
 
+SPLIT_CHECK = _with(HOURLY_SPLIT, """SELECT
+        min(transit_timestamp) FILTER (split = 'train') AS train_first,
+        max(transit_timestamp) FILTER (split = 'train') AS train_last,
+        min(transit_timestamp) FILTER (split = 'val') AS val_first,
+        max(transit_timestamp) FILTER (split = 'val') AS val_last,
+        min(transit_timestamp) FILTER (split = 'test') AS test_first,
+        max(transit_timestamp) FILTER (split = 'test') AS test_last,
+        max(transit_timestamp) FILTER (split = 'train') < min(transit_timestamp) FILTER (split = 'val')
+        AND max(transit_timestamp) FILTER (split = 'val') < min(transit_timestamp) FILTER (split = 'test')
+        AS chronological FROM labelled""")
+BEST_TRIAL = """SELECT num_leaves, max_depth, learning_rate, n_estimators, min_data_in_leaf, feature_fraction, bagging_fraction
+  FROM (SELECT CAST(l_partkey % 50 AS INT) AS trial, CAST(max(l_linenumber) AS INT) AS num_leaves,
+          CAST(min(l_linenumber) AS INT) AS max_depth, CAST(max(l_discount) AS DOUBLE) AS learning_rate,
+          CAST(count(*) % 97 AS INT) AS n_estimators, CAST(max(l_quantity) AS INT) AS min_data_in_leaf,
+          CAST(max(l_tax) AS DOUBLE) AS feature_fraction, CAST(min(l_tax) AS DOUBLE) AS bagging_fraction,
+          round(avg(l_quantity), 3) AS val_mae FROM lineitem GROUP BY 1)
+  ORDER BY val_mae, trial LIMIT 1"""
+
 ORACLE: dict[str, str] = {
     "profile_raw": _with([HOURLY_RAW], PROFILE),
     "parsed_times": """SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS parsed
@@ -200,16 +221,8 @@ ORACLE: dict[str, str] = {
     ),
     "features_range": _with(HOURLY_SPLIT, f"SELECT {LABELLED_ROLLING} FROM labelled WHERE split = 'val'"),
     "split_counts": _with(HOURLY_SPLIT, SPLIT_COUNTS),
-    "split_check": _with(HOURLY_SPLIT, """SELECT
-        min(transit_timestamp) FILTER (split = 'train') AS train_first,
-        max(transit_timestamp) FILTER (split = 'train') AS train_last,
-        min(transit_timestamp) FILTER (split = 'val') AS val_first,
-        max(transit_timestamp) FILTER (split = 'val') AS val_last,
-        min(transit_timestamp) FILTER (split = 'test') AS test_first,
-        max(transit_timestamp) FILTER (split = 'test') AS test_last,
-        max(transit_timestamp) FILTER (split = 'train') < min(transit_timestamp) FILTER (split = 'val')
-        AND max(transit_timestamp) FILTER (split = 'val') < min(transit_timestamp) FILTER (split = 'test')
-        AS chronological FROM labelled"""),
+    "split_check": SPLIT_CHECK,
+    "split_check_of_parts": SPLIT_CHECK,
     "proportional_cuts": _with(HOURLY_FEATURES, """SELECT *,
         min_ts + to_hours(CAST(floor(round(total_steps * 0.8, 6)) AS BIGINT)) AS train_end,
         min_ts + to_hours(CAST(floor(round(total_steps * 0.9, 6)) AS BIGINT)) AS validation_end
@@ -287,6 +300,56 @@ ORACLE: dict[str, str] = {
               UNION ALL SELECT {KEYS}, model, p FROM long)
         WHERE station_complex = (SELECT station_complex FROM predictions GROUP BY 1
                                  ORDER BY sum(entries) DESC, station_complex LIMIT 1)"""),
+    "raw_losses": """SELECT count(*) AS n_rows, 0::BIGINT AS n_damaged_rows, 0::BIGINT AS n_without_time,
+          count(*) FILTER (t IS NULL) AS n_ridership_missing, count(*) FILTER (t = 'n/a') AS n_ridership_unreadable,
+          0::BIGINT AS n_transfers_missing, 0::BIGINT AS n_transfers_unreadable,
+          CAST(sum(CASE WHEN t = 'n/a' THEN NULL WHEN t = 'k' THEN v * 1000 WHEN t IS NOT NULL THEN v END) AS BIGINT) AS total_read
+        FROM (SELECT CAST(round(value) AS BIGINT) AS v, CASE WHEN event_id % 13 = 1 THEN 'n/a' WHEN event_id % 17 = 2 THEN NULL
+                WHEN event_id % 10 = 3 THEN '.0' WHEN event_id % 10 = 4 THEN 'k' ELSE '' END AS t FROM events)""",
+    "gbt_encoding": _with([*HOURLY_SPLIT, """
+fit AS (SELECT * FROM labelled WHERE split <> 'test'),
+prior AS (SELECT avg(entries) AS p FROM fit)"""], "SELECT " + KEYS + ", " + ", ".join(
+        f"""round((SELECT (sum(f.entries) + 20.0::DOUBLE * any_value(p)) / (count(*) + 20.0::DOUBLE) FROM fit f CROSS JOIN prior
+        WHERE f.{c} = labelled.{c}), 6) AS {c}_mean""" for c in ("station_complex", "borough", "transit_mode")
+    ) + " FROM labelled WHERE split = 'test'"),
+    "gbt_encoding_of_many": """WITH o AS (SELECT o_custkey::VARCHAR AS station_complex, o_orderpriority AS borough,
+          o_orderstatus AS transit_mode, floor(o_totalprice)::BIGINT AS entries FROM orders),
+        long AS (SELECT 'station_complex' AS feature, station_complex AS value, entries FROM o
+          UNION ALL SELECT 'borough', borough, entries FROM o UNION ALL SELECT 'transit_mode', transit_mode, entries FROM o)
+        SELECT feature, value, round((sum(entries) + 20.0::DOUBLE * (SELECT avg(entries) FROM o)) / (count(*) + 20.0::DOUBLE), 4) AS mean
+        FROM long GROUP BY feature, value""",
+    "gbt_stump": _with([*HOURLY_SPLIT, """
+fit AS (SELECT hour_of_day, day_of_week, month, is_weekend, entries FROM labelled WHERE split <> 'test'),
+calendar AS (
+  SELECT 'hour_of_day' AS f, hour_of_day::INT AS x, entries FROM fit UNION ALL SELECT 'day_of_week', day_of_week, entries FROM fit
+  UNION ALL SELECT 'month', month, entries FROM fit UNION ALL SELECT 'is_weekend', is_weekend::INT, entries FROM fit),
+cells AS (SELECT f, x, count(*)::DOUBLE AS n, sum(entries)::DOUBLE AS s FROM calendar GROUP BY f, x),
+cuts AS (
+  SELECT f, x, sum(n) OVER u AS n, sum(s) OVER u AS s, sum(n) OVER a AS n_all, sum(s) OVER a AS s_all
+  FROM cells WINDOW u AS (PARTITION BY f ORDER BY x), a AS (PARTITION BY f)),
+best AS (
+  SELECT f, x, s / n AS low, (s_all - s) / (n_all - n) AS high FROM cuts WHERE n < n_all
+  ORDER BY s * s / n + (s_all - s) * (s_all - s) / (n_all - n) DESC LIMIT 1)"""],
+        """SELECT DISTINCT hour_of_day, day_of_week, month, is_weekend, round(CASE WHEN
+            CASE f WHEN 'hour_of_day' THEN hour_of_day WHEN 'day_of_week' THEN day_of_week WHEN 'month' THEN month
+              ELSE is_weekend::INT END <= x THEN low ELSE high END, 6) AS pred_model FROM fit CROSS JOIN best"""),
+    "gbt_prediction_rows": _with(HOURLY_SPLIT, """SELECT * REPLACE (round(pred_rolling_avg_24h, 6) AS pred_rolling_avg_24h),
+        true AS predicted FROM predictions"""),
+    "gbt_best_trial": BEST_TRIAL,
+    "stored_params": BEST_TRIAL,
+    "gbt_early_stop": """WITH c AS (
+          SELECT o_orderstatus, round(avg(o_totalprice), 2) AS e,
+            row_number() OVER (PARTITION BY o_orderstatus ORDER BY date_trunc('month', o_orderdate)) AS i
+          FROM orders GROUP BY o_orderstatus, date_trunc('month', o_orderdate)),
+        r AS (SELECT *, min(e) OVER (PARTITION BY o_orderstatus ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM c),
+        b AS (SELECT o_orderstatus, i, lead(i) OVER (PARTITION BY o_orderstatus ORDER BY i) AS next FROM r WHERE m IS NULL OR e < m)
+        SELECT o_orderstatus, CAST(min(i) AS INT) AS best_iteration FROM b WHERE next IS NULL OR next - i > 10 GROUP BY 1""",
+    "stored_features": _with(HOURLY_SPLIT, f"SELECT {KEYS}, entries FROM labelled WHERE split = 'test'"),
+    "stored_metrics": _with(HOURLY_SPLIT, f"SELECT model, {ERRORS} FROM long GROUP BY model"),
+    "stored_model": _with(HOURLY_SPLIT, "SELECT count(*) AS n_rows, 0::BIGINT AS n_changed FROM predictions"),
+    "supplier_lineage": _with([SUPPLIER_RAW, _prep("DAY")], LINEAGE),
+    "supplier_grid_totals": _with([SUPPLIER_RAW, _prep("DAY")], """SELECT station_complex_id, count(*) AS n_days,
+        count(*) FILTER (entries = 0) AS n_empty, CAST(sum(entries) AS BIGINT) AS total_entries FROM grid GROUP BY 1"""),
     "daily_station_day": _with([DAILY_RAW, _prep("DAY")], "SELECT * FROM sums"),
     "daily_caps": _with(DAILY_CLEAN, CAPS),
     "daily_cleaned": _with(DAILY_CLEAN, "SELECT * FROM cleaned"),
@@ -295,13 +358,13 @@ ORACLE: dict[str, str] = {
     "daily_baseline_by_station": _with(
         DAILY_SPLIT, f"SELECT station_complex_id, model, {ERRORS} FROM long GROUP BY station_complex_id, model"
     ),
-    "daily_quality_counts": _with(DAILY_CAPPED, QUALITY),
-    "daily_lineage": _with(DAILY_CAPPED, LINEAGE),
+    "daily_quality_counts": _with(DAILY_CLEAN, QUALITY),
+    "daily_lineage": _with(DAILY_CLEAN, LINEAGE),
     "daily_top_stations": _with(
-        DAILY_CAPPED, TOTAL.format(key="station_complex_id") + " ORDER BY 2 DESC, 1 LIMIT 20"
+        DAILY_CLEAN, TOTAL.format(key="station_complex_id") + " ORDER BY 2 DESC, 1 LIMIT 20"
     ),
-    "daily_borough_totals": _with(DAILY_CAPPED, TOTAL.format(key="borough")),
-    "daily_network_totals": _with(DAILY_CAPPED, DATE_TOTALS),
+    "daily_borough_totals": _with(DAILY_CLEAN, TOTAL.format(key="borough")),
+    "daily_network_totals": _with(DAILY_CLEAN, DATE_TOTALS),
     "daily_split_counts": _with(DAILY_SPLIT, SPLIT_COUNTS),
-    "daily_volatility": _with(DAILY_CAPPED, VOLATILITY.format(key="station_complex_id")),
+    "daily_volatility": _with(DAILY_CLEAN, VOLATILITY.format(key="station_complex_id")),
 }

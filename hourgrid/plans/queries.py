@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.functions.timegrid import parse_timestamp
 from hourgrid.operators import baseline, clean, features, metrics, model, profile, reports, split
 from hourgrid.plans.pipeline import Prepared
+from hourgrid.sources import raw as raw_source
+from hourgrid.sources import tables
 from hourgrid.sources.raw import WRITTEN_TIMESTAMP_FORMAT, compact_raw, read_raw, write_raw_csv
-from hourgrid.sources.views import DAILY, HOURLY, daily_units, hourly_taps
+from hourgrid.sources.views import DAILY, HOURLY, daily_units, hourly_taps, order_values, supplier_units
 from hourgrid.staging import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BASELINES = [baseline.naive_column(), baseline.rolling_column(HOURLY)]
-# Small trees keep the model queries short; the real ranges are in `model.SEARCH_RANGES`.
-QUERY_PARAMS = model.BoostingParams(num_leaves=15, n_estimators=8, min_data_in_leaf=20)
-QUERY_RANGES = {"n_estimators": (3, 6), "max_depth": (2, 4), "num_leaves": (4, 15)}
+# Trials have up to 1,000 trees each: the README gives the time that the whole budget takes.
+QUERY_TRIALS = 2
+# One split: what SQL can follow.
+STUMP = model.BoostingParams(num_leaves=2, max_depth=1, n_estimators=1, min_data_in_leaf=1)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -148,6 +152,29 @@ def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return clean.to_station_step(compact, HOURLY)
 
 
+def raw_losses(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw text with measures such as 12.0 and 1,234, unreadable and missing ones: what was lost is counted."""
+    rows = hourly_taps(spark, folder)
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "value")
+    value = F.round("value").cast("bigint")
+    text = (
+        F.when(F.col("event_id") % 13 == 1, "n/a")
+        .when(F.col("event_id") % 17 == 2, F.lit(None))
+        .when(F.col("event_id") % 10 == 3, F.concat(value.cast("string"), F.lit(".0")))
+        .when(F.col("event_id") % 10 == 4, F.format_number(value * 1000, 0))
+        .otherwise(value.cast("string"))
+    )
+    numbered = events.select("event_id", text.alias("ridership"), F.lit("1").alias("transfers"))
+    times = spark.read.parquet(f"{folder}/events.parquet").select("event_id", F.col("ts").alias("transit_timestamp"))
+    damaged = numbered.join(times, "event_id").withColumns(
+        {c: F.lit("x") for c in ("transit_mode", "station_complex_id", "station_complex", "borough")}
+    )
+    path = scratch_path(spark, "damaged")
+    write_raw_csv(damaged, path)
+    read = read_raw(spark, path).agg(F.sum("ridership").alias("total_read"))
+    return raw_source.raw_losses(spark, path).withColumn("total_read", read.scalar())
+
+
 # Features and split
 
 
@@ -182,6 +209,11 @@ def split_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_check(spark: SparkSession, folder: str) -> DataFrame:
+    return split.table_check(_features(spark, folder), HOURLY)
+
+
+def split_check_of_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same check over parts as they are stored."""
     return split.leak_check(split.by_time(stage(_features(spark, folder), "features"), HOURLY), HOURLY)
 
 
@@ -336,51 +368,173 @@ def _parts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return split.by_time(stage(_features(spark, folder), "features"), HOURLY)
 
 
-def _gbt_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    parts = _parts(spark, folder)
-    train_val = split.train_and_validation(parts)
-    fitted = {model.PREDICTION: model.fit_final(train_val, QUERY_PARAMS, HOURLY)}
-    return model.prediction_table(fitted, parts["test"], HOURLY)
+def _trials(parts: dict[str, DataFrame]) -> DataFrame:
+    """Trials with the published ranges and patience. A query draws `QUERY_TRIALS`; the budget is `model.N_TRIALS`."""
+    return stage(model.search(parts["train"], parts["val"], HOURLY, n_trials=QUERY_TRIALS, parallelism=2), "trials")
 
 
-def gbt_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return _gbt_predictions(spark, folder)
+def _tuned(parts: dict[str, DataFrame]) -> model.DemandModel:
+    best = model.params_of(model.best_params(_trials(parts)))
+    return model.fit_final(split.train_and_validation(parts), best, HOURLY)
 
 
 def gbt_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Default and tuned parameters against both baselines."""
+    """Default model and the best of a search against both baselines."""
     parts = _parts(spark, folder)
-    train_val = split.train_and_validation(parts)
     fitted = {
-        "pred_model_default": model.fit_default(train_val, HOURLY, n_estimators=4, max_depth=3),
-        model.PREDICTION: model.fit_final(train_val, QUERY_PARAMS, HOURLY),
+        "pred_model_default": model.fit_default(split.train_and_validation(parts), HOURLY),
+        model.PREDICTION: _tuned(parts),
     }
     predictions = stage(model.prediction_table(fitted, parts["test"], HOURLY), "predictions")
     return metrics.compare_models(predictions, [*fitted, *BASELINES], (), HOURLY)
 
 
 def gbt_trials(spark: SparkSession, folder: str) -> DataFrame:
+    return _trials(_parts(spark, folder))
+
+
+def _default_model(parts: dict[str, DataFrame]) -> model.DemandModel:
+    return model.fit_default(split.train_and_validation(parts), HOURLY)
+
+
+def gbt_predictions(spark: SparkSession, folder: str) -> DataFrame:
     parts = _parts(spark, folder)
-    return model.search(parts["train"], parts["val"], HOURLY, n_trials=3, ranges=QUERY_RANGES, parallelism=3)
+    return model.prediction_table({model.PREDICTION: _default_model(parts)}, parts["test"], HOURLY)
 
 
 def gbt_importance(spark: SparkSession, folder: str) -> DataFrame:
-    train_val = split.train_and_validation(_parts(spark, folder))
-    return model.importance(model.fit_final(train_val, QUERY_PARAMS, HOURLY), HOURLY)
+    return model.importance(_default_model(_parts(spark, folder)), HOURLY)
 
 
 def actual_vs_predicted(spark: SparkSession, folder: str) -> DataFrame:
-    predictions = stage(_gbt_predictions(spark, folder), "predictions")
+    predictions = stage(gbt_predictions(spark, folder), "predictions")
     return reports.actual_vs_predicted(predictions, [model.PREDICTION, *BASELINES], HOURLY)
 
 
-# Daily units per supplier: the same operators on another key, step and set of lags
+def gbt_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """Target means of the training rows, on the rows of the test range."""
+    parts = _parts(spark, folder)
+    encoder = model.fit_encoder(split.train_and_validation(parts), HOURLY)
+    means = [f"{c}_mean" for c in HOURLY.categorical]
+    return rounded(encoder.columns(parts["test"], HOURLY).select(*HOURLY.keys, *means), *means)
+
+
+def gbt_encoding_of_many(spark: SparkSession, folder: str) -> DataFrame:
+    """The same encoding of a column with as many values as there are customers."""
+    rows = order_values(spark, folder)
+    prior = rows.agg(F.avg("entries")).first()[0]
+    return rounded(model.target_means(rows, prior, HOURLY), "mean", digits=4)
+
+
+def _stump(parts: dict[str, DataFrame]) -> model.DemandModel:
+    return model.fit_final(split.train_and_validation(parts), STUMP, HOURLY)
+
+
+def gbt_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """One tree of one split over calendar columns: the two means that the best split by squared error gives."""
+    train = split.train_and_validation(_parts(spark, folder))
+    names = HOURLY.calendar_columns
+    rows = VectorAssembler(inputCols=names, outputCol=model.FEATURES).transform(
+        train.withColumn(model.LABEL, F.col(HOURLY.target).cast("double"))
+    )
+    fitted = STUMP.regressor().fit(rows.select(model.LABEL, model.FEATURES))
+    scored = fitted.transform(rows).select(*names, model.PREDICTION).distinct()
+    return rounded(scored, model.PREDICTION)
+
+
+def gbt_prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys, actual value and baselines of a prediction table with a model in it, and whether its value is there."""
+    parts = _parts(spark, folder)
+    table = model.prediction_table({model.PREDICTION: _stump(parts)}, parts["test"], HOURLY)
+    return rounded(table.withColumn("predicted", F.col(model.PREDICTION).isNotNull()).drop(model.PREDICTION), BASELINES[1])
+
+
+def gbt_best_trial(spark: SparkSession, folder: str) -> DataFrame:
+    """The winner of a trial log that is made from order lines."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    log = lines.groupBy((F.col("l_partkey") % 50).cast("int").alias("trial")).agg(
+        F.max("l_linenumber").cast("int").alias("num_leaves"),
+        F.min("l_linenumber").cast("int").alias("max_depth"),
+        F.max("l_discount").cast("double").alias("learning_rate"),
+        F.count(F.lit(1)).cast("int").alias("n_estimators"),
+        F.max("l_quantity").cast("int").alias("min_data_in_leaf"),
+        F.max("l_tax").cast("double").alias("feature_fraction"),
+        F.min("l_tax").cast("double").alias("bagging_fraction"),
+        (F.count(F.lit(1)) % 97).cast("int").alias("best_iteration"),
+        F.round(F.avg("l_quantity"), 3).alias("val_mae"),
+        F.round(F.max("l_quantity"), 3).cast("double").alias("val_rmse"),
+    )
+    return model.best_params(log)
+
+
+def gbt_early_stop(spark: SparkSession, folder: str) -> DataFrame:
+    """Where patience ends a validation curve, for the daily totals of every order status as curves."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    curve = orders.groupBy("o_orderstatus", F.date_trunc("month", "o_orderdate").alias("m")).agg(
+        F.round(F.avg("o_totalprice"), 2).alias("e")
+    )
+    curves = curve.groupBy("o_orderstatus").agg(F.sort_array(F.collect_list(F.struct("m", "e"))).alias("c")).collect()
+    found = [(r.o_orderstatus, model.best_iteration([x.e for x in r.c], 10)) for r in curves]
+    return spark.createDataFrame(found, "o_orderstatus string, best_iteration int")
+
+
+# Stored tables
+
+
+def stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features written in folders per part and read back, test part and two columns only."""
+    path = scratch_path(spark, "features")
+    tables.write_table(split.with_split(_features(spark, folder), HOURLY), path, ["split"], [HOURLY.series_id, HOURLY.ts])
+    return tables.read_table(spark, path, [*HOURLY.keys, "entries", "split"]).where("split = 'test'").drop("split")
+
+
+def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "metrics")
+    tables.write_metrics(baseline_metrics(spark, folder), path)
+    return tables.read_metrics(spark, path)
+
+
+def stored_params(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "params")
+    tables.write_json(gbt_best_trial(spark, folder), path)
+    return tables.read_json(spark, path, model.PARAMS_SCHEMA)
+
+
+def stored_model(spark: SparkSession, folder: str) -> DataFrame:
+    """A model saved and loaded scores every row as before: rows, and rows whose score differs."""
+    parts, path = _parts(spark, folder), scratch_path(spark, "model")
+    fitted = _stump(parts)
+    model.save(fitted, path)
+    both = model.score(model.load(path), model.score(fitted, parts["test"], "a", HOURLY), "b", HOURLY)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_changed"))
+
+
+# Daily units per nation or supplier: the same operators on another key, step and set of lags
 
 
 def _daily(spark: SparkSession, folder: str) -> Prepared:
     return Prepared.of(stage(clean.rollup(daily_units(spark, folder), DAILY), "daily"), DAILY)
 
 
+def _sparse(spark: SparkSession, folder: str) -> Prepared:
+    return Prepared.of(stage(clean.rollup(supplier_units(spark, folder), DAILY), "suppliers"), DAILY)
+
+
+def supplier_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Sparse series: most rows of the grid are filled."""
+    prepared = _sparse(spark, folder)
+    return profile.lineage(prepared.rolled, prepared.sums, prepared.grid(), DAILY)
+
+
+def supplier_grid_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Days, days without sales and units per supplier of the completed grid."""
+    return _sparse(spark, folder).grid().groupBy(DAILY.series_id).agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.count_if(F.col("entries") == 0).alias("n_empty"),
+        F.sum("entries").alias("total_entries"),
+    )
+
+
 def daily_station_day(spark: SparkSession, folder: str) -> DataFrame:
     return clean.to_station_step(daily_units(spark, folder), DAILY)
 
@@ -394,9 +548,7 @@ def daily_cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _daily_capped(spark: SparkSession, folder: str) -> DataFrame:
-    # Sales are sparse, so their quartiles are 0: a lower bound on the cap keeps the series.
-    prepared = _daily(spark, folder)
-    return clean.cleaned_from(prepared.sums, prepared.bounds, DAILY, min_cap=60.0)
+    return _daily(spark, folder).cleaned()
 
 
 def daily_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -419,7 +571,7 @@ def daily_baseline_by_station(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_quality_counts(spark: SparkSession, folder: str) -> DataFrame:
     prepared = _daily(spark, folder)
-    return clean.quality_counts(clean.grid_with_caps(prepared.sums, prepared.bounds, DAILY, min_cap=60.0), DAILY)
+    return clean.quality_counts(clean.grid_with_caps(prepared.sums, prepared.bounds, DAILY), DAILY)
 
 
 def daily_lineage(spark: SparkSession, folder: str) -> DataFrame:
@@ -453,14 +605,17 @@ QUERIES: dict[str, Query] = {
         profile_raw, parsed_times, profile_rollup, exclude_rows, station_hour, station_locations, location_points, reindexed,
         off_grid_rows, ambiguous_series, quality_counts, stage_counts, lineage, iqr_caps, iqr_caps_of_grid,
         cap_outliers, cleaned,
-        table_summary, raw_csv_roundtrip,
-        lags, rolling, features_by_row, features_range, split_counts, split_check, proportional_cuts, daily_totals,
+        table_summary, raw_csv_roundtrip, raw_losses,
+        lags, rolling, features_by_row, features_range, split_counts, split_check, split_check_of_parts, proportional_cuts, daily_totals,
         train_val_union,
         baseline_predictions, attach_predictions, evaluate, baseline_metrics, baseline_by_station, improvement, slice_metrics,
         hourly_profile, hourly_mean, weekday_hour_pivot, weekday_ratio, top_stations, top_stations_by_id,
         borough_totals, busiest_station, station_list, volatility, volatile_stations, summary, station_hourly,
         peak_hours, map_table, date_bounds, station_slice, crowding_alerts, baseline_series,
         gbt_metrics, gbt_trials, gbt_importance, gbt_predictions, actual_vs_predicted,
+        gbt_encoding, gbt_encoding_of_many, gbt_stump, gbt_prediction_rows, gbt_best_trial, gbt_early_stop,
+        stored_features, stored_metrics, stored_params, stored_model,
+        supplier_lineage, supplier_grid_totals,
         daily_station_day, daily_caps, daily_cleaned, daily_features, daily_baseline_metrics, daily_split_counts,
         daily_volatility, daily_baseline_by_station, daily_quality_counts, daily_lineage, daily_top_stations,
         daily_borough_totals, daily_network_totals,

@@ -1,6 +1,6 @@
 """Raw demand views over general event and order tables.
 
-Two shapes: taps per hour from an event stream, and units shipped per supplier and day from order lines.
+Taps per hour from an event stream, and units shipped per day from order lines, by nation (dense) or supplier (sparse).
 """
 
 from __future__ import annotations
@@ -61,24 +61,45 @@ def hourly_taps(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def daily_units(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines as units per supplier: one row per line, station = supplier."""
+def _shipped(spark: SparkSession, folder: str) -> DataFrame:
     lines = _table(spark, folder, "lineitem")
-    suppliers = _table(spark, folder, "supplier")
-    nations = _table(spark, folder, "nation")
-    regions = _table(spark, folder, "region")
     places = (
-        suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "s_name", "n_name", "r_name")
+        _table(spark, folder, "supplier")
+        .join(_table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("s_suppkey", "s_name", "n_nationkey", "n_name", "r_name")
     )
-    return lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    return lines.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def _units(shipped: DataFrame, mode: str, series: str, name: str) -> DataFrame:
+    return shipped.select(
         F.col("l_shipdate").cast("timestamp_ntz").alias("transit_timestamp"),
-        F.col("n_name").alias("transit_mode"),
-        F.col("s_suppkey").cast("string").alias("station_complex_id"),
-        F.col("s_name").alias("station_complex"),
+        F.col(mode).alias("transit_mode"),
+        F.col(series).cast("string").alias("station_complex_id"),
+        F.col(name).alias("station_complex"),
         F.col("r_name").alias("borough"),
         F.col("l_returnflag").alias("payment_method"),
         F.col("l_quantity").cast("bigint").alias("ridership"),
         F.col("l_linenumber").cast("bigint").alias("transfers"),
     )
+
+
+def daily_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as units per nation: one row per line, station = nation. Most days of a nation have sales."""
+    return _units(_shipped(spark, folder), "r_name", "n_nationkey", "n_name")
+
+
+def supplier_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as units per supplier: sparse series, in which most days are gaps."""
+    return _units(_shipped(spark, folder), "n_name", "s_suppkey", "s_name")
+
+
+def order_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as rows with many names: station = customer, borough = priority, mode = status, entries = rounded value."""
+    return _table(spark, folder, "orders").select(
+        F.col("o_custkey").cast("string").alias("station_complex"),
+        F.col("o_orderpriority").alias("borough"),
+        F.col("o_orderstatus").alias("transit_mode"),
+        F.floor("o_totalprice").cast("bigint").alias("entries"),
+    )

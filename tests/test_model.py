@@ -57,13 +57,13 @@ def test_trees_learn_the_daily_shape(fitted, parts):
 
 def test_the_same_seed_gives_the_same_trees(fitted, parts):
     again = model.fit_final(split.train_and_validation(parts), TINY, SPEC)
-    both = model.score(again, model.score(fitted, parts["test"], "a"), "b")
+    both = model.score(again, model.score(fitted, parts["test"], "a", SPEC), "b", SPEC)
     assert both.filter("a <> b").count() == 0
 
 
 def test_model_store(tmp_path, fitted, parts):
     model.save(fitted, str(tmp_path / "m"))
-    both = model.score(model.load(str(tmp_path / "m")), model.score(fitted, parts["test"], "a"), "b")
+    both = model.score(model.load(str(tmp_path / "m")), model.score(fitted, parts["test"], "a", SPEC), "b", SPEC)
     assert both.filter("a <> b").count() == 0
 
 
@@ -76,15 +76,42 @@ def test_importance_covers_all_features(fitted):
 
 def test_unknown_categories_are_scored(fitted, parts):
     moved = parts["test"].withColumn("station_complex", F.lit("never seen"))
-    assert model.score(fitted, moved).filter("pred_model IS NULL").count() == 0
+    assert model.score(fitted, moved, spec=SPEC).filter("pred_model IS NULL").count() == 0
 
 
-def test_many_categories_are_hashed_to_a_bounded_number(parts):
-    encoder = model.feature_pipeline(parts["train"], SPEC, max_categories=3)
-    attributes = encoder.encode(parts["train"], SPEC).schema[model.FEATURES].metadata["ml_attr"]["attrs"]["nominal"]
-    names = {a["name"]: len(a["vals"]) for a in attributes}
-    assert set(names) == {"station_complex_bucket_index", "borough_index", "transit_mode_index"}
-    assert names["station_complex_bucket_index"] <= 4 and encoder.max_bins == 32
+def test_target_means(spark):
+    rows = [("a", "x", "m", 10), ("a", "x", "m", 20), ("b", "x", None, 40), (None, "y", "m", 0)]
+    frame = spark.createDataFrame(rows, "station_complex string, borough string, transit_mode string, entries bigint")
+    got = {(r.feature, r.value): r["mean"] for r in model.target_means(frame, 17.5, SPEC, smoothing=2).collect()}
+    assert got[("station_complex", "a")] == (30 + 35) / 4 and got[("station_complex", None)] == 35 / 3
+    assert got[("borough", "x")] == (70 + 35) / 5 and got[("transit_mode", None)] == (40 + 35) / 3
+    encoder = model.fit_encoder(frame, SPEC, smoothing=2)
+    new = spark.createDataFrame([("zzz", None, "m")], "station_complex string, borough string, transit_mode string")
+    assert encoder.prior == 17.5 and encoder.columns(new, SPEC).first().station_complex_mean == 17.5
+
+
+def test_many_stations_take_the_same_encoding(spark):
+    rows = spark.range(5000).select(
+        F.concat(F.lit("s"), F.col("id") % 2000).alias("station_complex"), F.lit("b").alias("borough"),
+        F.lit("m").alias("transit_mode"), (F.col("id") % 2000).alias("entries"),
+    )
+    encoder = model.fit_encoder(rows, SPEC)
+    assert encoder.means.count() == 2002
+    assert encoder.columns(rows, SPEC).select("station_complex_mean").distinct().count() > 1900
+
+
+def test_growing_by_doubling_gives_the_whole_trial(parts):
+    encoder = model.fit_encoder(parts["train"], SPEC)
+    rows, checks = (encoder.encode(parts[p], SPEC).persist() for p in ("train", "val"))
+    params = model.BoostingParams(num_leaves=8, n_estimators=14, min_data_in_leaf=5, learning_rate=0.5)
+    whole = model.fit_trial(rows, checks, params, patience=14)
+    assert model.fit_trial(rows, checks, params, patience=3)["best_iteration"] <= 14
+    curve = params.regressor().fit(rows).evaluateEachIteration(checks, "absolute")
+    for patience in (1, 2, 3, 14):
+        got = model.fit_trial(rows, checks, params, patience=patience)
+        assert got["best_iteration"] == model.best_iteration(curve, patience)
+        assert got["val_mae"] == pytest.approx(curve[got["best_iteration"] - 1])
+    assert whole["val_mae"] == pytest.approx(min(curve))
 
 
 def test_patience():
@@ -115,11 +142,11 @@ def test_search_logs_trials_and_best_parameters_survive_a_file(spark, tmp_path,
 
 
 def test_an_indented_parameter_file_is_read(spark, tmp_path):
-    stored = {"num_leaves": 215, "max_depth": 11, "learning_rate": 0.06, "n_estimators": 890, "min_data_in_leaf": 48,
-              "feature_fraction": 0.62, "bagging_fraction": 0.92}
+    stored = {"num_leaves": 12, "max_depth": 7, "learning_rate": 0.25, "n_estimators": 33, "min_data_in_leaf": 5,
+              "feature_fraction": 0.75, "bagging_fraction": 0.5}
     (tmp_path / "best.json").write_text(json.dumps(stored, indent=2))
     params = model.params_of(tables.read_json(spark, str(tmp_path / "best.json"), model.PARAMS_SCHEMA))
-    assert params == model.BoostingParams(**stored) and params.depth == 8
+    assert params == model.BoostingParams(**stored) and params.depth == 4
 
 
 def test_stored_predictions_join_back(fitted, parts):
