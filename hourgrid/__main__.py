@@ -4,13 +4,27 @@ from __future__ import annotations
 
 import argparse
 
+from hourgrid.operators.split import spec_with_cuts
 from hourgrid.plans.pipeline import Workspace
 from hourgrid.session import get_spark
 from hourgrid.sources.raw import read_raw
+from hourgrid.spec import DemandSpec
 
 STAGES = ("prepare", "features", "split", "tune", "train", "baseline", "predict", "evaluate", "report")
 
 
+def _spec(args: argparse.Namespace) -> DemandSpec:
+    """The default spec with the cuts and rules that were given."""
+    changes: dict[str, object] = {}
+    if args.train_end:
+        changes["train_end"] = args.train_end
+    if args.validation_end:
+        changes["validation_end"] = args.validation_end
+    if args.exclude is not None:
+        changes["exclude"] = tuple(dict(pair.split("=", 1) for pair in rule.split(",") if pair) for rule in args.exclude if rule)
+    return DemandSpec().with_(**changes)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="hourgrid")
     parser.add_argument("stage", choices=STAGES)
@@ -19,19 +33,31 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--name", default="summary", help="report name (stage report)")
     parser.add_argument("--trials", type=int, default=18, help="search budget (stage tune)")
     parser.add_argument("--parallelism", type=int, default=1, help="trials at the same time (stage tune)")
+    parser.add_argument("--station", help="station name (reports of one station)")
+    parser.add_argument("--start", help="first date (reports of one station)")
+    parser.add_argument("--end", help="last date (reports of one station)")
+    parser.add_argument("--train-end", help="first time after the training part")
+    parser.add_argument("--validation-end", help="first time after the validation part")
+    parser.add_argument("--proportional", action="store_true", help="cut points by shares of the time range (stage split)")
+    parser.add_argument("--exclude", action="append", metavar="COLUMN=VALUE,...", help="rows to drop; replaces the default")
+    parser.add_argument("--latest-attributes", action="store_true", help="ids take the attributes of their latest step")
     args = parser.parse_args(argv)
     spark = get_spark()
-    work = Workspace(spark, args.out)
+    work = Workspace(spark, args.out, _spec(args))
     if args.stage == "prepare":
         if not args.raw:
             parser.error("--raw is needed for prepare")
-        work.prepare(read_raw(spark, args.raw))
-        work.table("profile").show(truncate=False)
-        work.table("lineage").show(truncate=False)
+        work.prepare(read_raw(spark, args.raw, spec=work.spec), args.latest_attributes)
+        for name in ("profile", "unread", "ambiguous", "off_grid", "quality", "lineage"):
+            work.table(name).show(truncate=False)
     elif args.stage == "features":
         work.build_features()
+        work.table("feature_counts").show(truncate=False)
     elif args.stage == "split":
+        if args.proportional:
+            work.spec = spec_with_cuts(work.table("features"), spec=work.spec, train_end=args.train_end)
         work.split()
+        work.table("split_counts").show(truncate=False)
     elif args.stage == "tune":
         work.tune(n_trials=args.trials, parallelism=args.parallelism).show(truncate=False)
     elif args.stage == "train":
@@ -44,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.stage == "evaluate":
         work.evaluate().show(truncate=False)
     else:
-        work.report(args.name).show(50, truncate=False)
+        work.report(args.name, args.station, args.start, args.end).show(50, truncate=False)
 
 
 if __name__ == "__main__":

@@ -59,6 +59,17 @@ def station_step_of(rolled: DataFrame, spec: DemandSpec = DemandSpec()) -> DataF
     return exclude_rows(rolled, spec.exclude).select(*spec.keys, spec.target, spec.second_measure)
 
 
+def with_latest_attributes(rolled: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """A rollup in which every id has the attributes of its latest step; rows that fall together are summed."""
+    latest = rolled.groupBy(spec.series_id).agg(
+        F.max_by(F.struct(*spec.attributes), F.struct(F.col(spec.ts), *spec.attributes)).alias("_latest")
+    ).withColumnRenamed(spec.series_id, "_sid")
+    same = F.col(spec.series_id).eqNullSafe(F.col("_sid"))
+    renamed = rolled.join(latest, same).withColumns({a: F.col(f"_latest.{a}") for a in spec.attributes})
+    sums = [c for c in rolled.columns if c not in spec.keys]
+    return renamed.groupBy(*spec.keys).agg(*(F.sum(c).alias(c) for c in sums))
+
+
 def station_locations(raw: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """Mean coordinates per station tuple, weighted by raw rows."""
     return exclude_rows(raw, spec.exclude).groupBy(*spec.station_keys).agg(

@@ -39,6 +39,11 @@ def profile_rollup(rolled: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFr
     )
 
 
+def unread_cells(rolled: DataFrame) -> DataFrame:
+    """One row: raw rows, and those whose measure was missing or unreadable and counts as 0."""
+    return rolled.agg(F.sum("n_raw").alias("n_rows"), F.sum("n_unread").alias("n_unread"))
+
+
 def table_summary(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """One row: rows, distinct series, time range of a cleaned or feature table."""
     return df.agg(

@@ -58,7 +58,8 @@ def _scan(spark: SparkSession, path: str, keep_corrupt: bool, spec: DemandSpec)
     )
     if keep_corrupt:
         schema = f"{schema}, {CORRUPT} string"
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        # A row is known to be short only if all its cells are looked at.
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
     return reader.schema(schema).csv(path)
 
 

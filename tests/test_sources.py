@@ -120,3 +120,26 @@ def test_metrics_csv_and_parameter_json(spark, tmp_path):
     metrics = spark.createDataFrame([("naive", 1.5, 2.25), ("tuned", 0.5, 1.0)], tables.METRICS_SCHEMA)
     tables.write_metrics(metrics, str(tmp_path / "m"))
     assert sorted(tables.read_metrics(spark, str(tmp_path / "m")).collect()) == sorted(metrics.collect())
+
+
+def test_measures_with_decimals_and_thousands_are_read_and_losses_counted(spark, tmp_path):
+    head = "transit_timestamp,transit_mode,station_complex_id,station_complex,borough,ridership,transfers"
+    cells = ["12.0", '"1,234"', "7", "n/a", "", " 5 ", "-3", "2.6"]
+    lines = [f"05/15/2022 09:00:00 AM,subway,1,A,M,{c},0" for c in cells] + ["05/15/2022 09:00:00 AM,subway,1"]
+    (tmp_path / "a.csv").write_text("\n".join([head, *lines, "bad,subway,1,A,M,4,x"]))
+    read = [r["ridership"] for r in raw.read_raw(spark, str(tmp_path)).collect()]
+    assert read == [12, 1234, 7, None, None, 5, -3, 3, None, 4]
+    lost = raw.raw_losses(spark, str(tmp_path)).first().asDict()
+    assert lost == {
+        "n_rows": 10, "n_damaged_rows": 2, "n_without_time": 1, "n_ridership_missing": 2, "n_ridership_unreadable": 1,
+        "n_transfers_missing": 1, "n_transfers_unreadable": 1,
+    }
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    head = "transit_timestamp,transit_mode,station_complex_id,station_complex,borough,ridership,transfers"
+    swapped = head.replace("ridership,transfers", "transfers,ridership")
+    (tmp_path / "a.csv").write_text(f"{head}\n05/15/2022 09:00:00 AM,subway,1,A,M,12,1")
+    (tmp_path / "b.csv").write_text(f"{swapped}\n05/15/2022 09:00:00 AM,subway,1,A,M,1,12")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.read_raw(spark, str(tmp_path)).collect()
