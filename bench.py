@@ -22,8 +22,9 @@ HEADLINE = (
     "profile_raw", "raw_csv_roundtrip", "station_hour", "station_locations", "reindexed", "iqr_caps", "quality_counts",
     "cleaned", "features", "features_range", "split_counts", "baseline_metrics", "baseline_by_station",
     "hourly_profile", "weekday_hour_pivot", "top_stations", "volatility", "peak_hours", "map_table", "station_slice",
-    "crowding_alerts", "summary", "gbt_metrics", "gbt_trials",
-    "daily_station_day", "daily_caps", "daily_cleaned", "daily_features", "daily_baseline_metrics",
+    "crowding_alerts", "summary", "gbt_predictions", "gbt_encoding_of_many",
+    "daily_station_day", "daily_caps", "daily_cleaned", "daily_features", "daily_baseline_metrics", "daily_volatility",
+    "daily_borough_totals", "supplier_grid_totals",
 )
 
 
