@@ -47,7 +47,7 @@ def test_rows_agree(spark, other_engine, name):
     assert list(ours.columns) == list(theirs.columns)
     pandas.testing.assert_frame_equal(ours, theirs, check_dtype=False, rtol=0, atol=1e-6)
     # Zeros against zeros would prove nothing.
-    for column in MEASURES & set(ours.columns):
+    for column in MEASURES & set(ours.select_dtypes("number").columns):
         assert len(ours) == 1 or ours[column].nunique() > 1, f"all values of {column} are equal"
         assert ours[column].abs().max() > 0
 
