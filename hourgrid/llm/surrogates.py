@@ -27,7 +27,8 @@ PATTERNS = {
     "mail": r"(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])",
     "account": r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])",
     "address": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\w]|\.[0-9])",
-    "card": r"(?<![\w.+-])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\w-])",
+    "card": r"(?<![\w.+-])(?:(?:4[0-9]{3}|5[1-5][0-9]{2}|2[2-7][0-9]{2}|35[0-9]{2}|6[045][0-9]{2})(?:[ -]?[0-9]{4}){3}"
+    r"|4[0-9]{12}(?:[0-9]{6})?|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}|3[068][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{4})(?![\w-])",
     "identity": r"(?<![\w.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "phone": r"(?<![\w.+-])(?:(?:\+1 ?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
     r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}|\+[0-9]{8,15})(?![\w-])",
@@ -38,6 +39,9 @@ ANY = "|".join(PATTERNS.values())
 HINT = rf"[@0-9]|(?=[{''.join(sorted({t[0] for t in MALE + FEMALE}))}])(?:{_TITLES})\.? \p{{Lu}}"
 ATTEMPTS = 24
 
+#: Parts that stay as they are.
+KEPT = ("title", "other")
+
 #: Syllables of made-up names by script (fixed values), and their endings by gender.
 SCRIPTS = {
     "latin": ("b d f g k l m n p r s t v z br tr".split(), "a e i o u ai ei ou".split()),
@@ -58,14 +62,14 @@ def spans(text: Column) -> Column:
 
 
 def kind_of(value: Column) -> Column:
-    """What a detected string is."""
+    """What a detected string is; `other` if its check digits show that it is no card or account number after all."""
     # The patterns look around themselves, so a string is told by its shape alone.
     return (
         F.when(value.contains("@"), "mail")
         .when(value.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "address")
-        .when(value.rlike(r"^[A-Z]{2}[0-9]{2}"), "account")
+        .when(value.rlike(r"^[A-Z]{2}[0-9]{2}"), F.when(_account_rest(value) == 1, "account").otherwise("other"))
         .when(value.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "identity")
-        .when(value.rlike(r"^[0-9 -]{13,}$") & value.rlike(r"^[3-6]([ -]?[0-9]){11,}$"), "card")
+        .when(value.rlike("^[0-9]([ -]?[0-9]){12,18}$"), F.when(_luhn(value) == 0, "card").otherwise("other"))
         .when(value.rlike(r"^[+(0-9]"), "phone")
         .otherwise("name")
     )
@@ -149,21 +153,26 @@ def _luhn(number: Column) -> Column:
 
 
 def _card(value: Column, hexes: Column) -> Column:
-    """The issuer's digit stays, and a valid number stays valid, an invalid one invalid."""
-    drawn = F.concat(F.substring(value, 1, 1), F.substr(_like(value, hexes), F.lit(2)))
+    """The issuer's digits stay, and the check digit fits the rest."""
+    issuer = F.when(value.startswith("4"), 1).otherwise(4)
+    drawn = F.concat(F.substr(value, F.lit(1), issuer), F.substr(_like(value, hexes), issuer + 1))
     body = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
-    due = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))), F.lit(10))
-    off = F.when(_luhn(value) == 0, 0).otherwise(1 + _draw(hexes, F.lit(41), 9))
-    return F.concat(body, F.pmod(due + off, F.lit(10)).cast("string"))
+    return F.concat(body, F.pmod(10 - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
+
+
+def _account_rest(value: Column) -> Column:
+    """Remainder by 97 of an account number with its first four characters last, 1 if valid."""
+    plain = F.regexp_replace(value, " ", "")
+    turned = F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))
+    values = F.transform(F.split(turned, ""), lambda c: F.conv(c, 36, 10).cast("int"))
+    return F.aggregate(values, F.lit(0), lambda a, x: F.pmod(F.when(x > 9, a * 100 + x).otherwise(a * 10 + x), F.lit(97)))
 
 
 def _account(value: Column, hexes: Column) -> Column:
     """Country stays; the check digits fit the rest."""
-    tail = F.substr(_like(value, hexes), F.lit(5))
-    plain = F.concat(F.regexp_replace(tail, " ", ""), F.substring(value, 1, 2), F.lit("00"))
-    values = F.transform(F.split(plain, ""), lambda c: F.conv(c, 36, 10).cast("int"))
-    rest = F.aggregate(values, F.lit(0), lambda a, x: F.pmod(F.when(x > 9, a * 100 + x).otherwise(a * 10 + x), F.lit(97)))
-    return F.concat(F.substring(value, 1, 2), F.lpad((98 - rest).cast("string"), 2, "0"), tail)
+    country, tail = F.substring(value, 1, 2), F.substr(_like(value, hexes), F.lit(5))
+    rest = _account_rest(F.concat(country, F.lit("00"), tail))
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), tail)
 
 
 def _phone(value: Column, hexes: Column) -> Column:
@@ -206,7 +215,7 @@ def _name(kind: Column, value: Column, hexes: Column, attempt: Column) -> Column
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     hexes = _digits(key, kind, value, attempt)
     return (
-        F.when(kind == "title", value)
+        F.when(kind.isin(*KEPT), value)
         .when(kind == "mail", _mail(value, hexes))
         .when(kind == "address", _address(value, hexes))
         .when(kind == "card", _card(value, hexes))
@@ -224,7 +233,7 @@ def values_of(documents: DataFrame) -> DataFrame:
     """Distinct (kind, value) of all texts."""
     found = documents.select(F.explode(spans(F.col("text"))).alias("span")).groupBy("span").count().select("span")
     parts = found.select(F.explode(parts_of(F.col("span"))).alias("p")).select("p.kind", "p.value")
-    return parts.where("kind != 'title'").distinct()
+    return parts.where(~F.col("kind").isin(*KEPT)).distinct()
 
 
 def attempts_of(values: DataFrame, key: str) -> DataFrame:
@@ -264,6 +273,7 @@ def replace(documents: DataFrame, key: str) -> DataFrame:
     """`documents` with surrogates in `text`, and `n_entities`, the number of strings replaced.
 
     Texts without personal data, empty and null ones stay as they are (null with 0 entities), and all other columns too.
+    Long numbers whose check digits are wrong are no cards or accounts and stay.
     Repeated rows stay repeated and alike. An empty table gives no rows. A column that is named n_entities already is
     replaced.
     """
@@ -271,7 +281,6 @@ def replace(documents: DataFrame, key: str) -> DataFrame:
     moved = attempts_of(stage(values_of(documents), "values"), key)
     moved = stage(moved, "moved")
     found = spans(F.col("text"))
-    count = F.size(found)
     base = documents.select(*names, "text", found.alias("_found"))
 
     def first(kind: Column, value: Column) -> Column:
@@ -279,7 +288,8 @@ def replace(documents: DataFrame, key: str) -> DataFrame:
 
     def shown(df: DataFrame, made) -> DataFrame:
         text = F.when(F.size("_found") > 0, _rewritten(F.col("text"), F.col("_found"), made)).otherwise(F.col("text"))
-        return df.select(*names, text.alias("text"), F.size("_found").alias("n_entities"))
+        count = F.size(F.filter("_found", lambda s: kind_of(s) != "other"))
+        return df.select(*names, text.alias("text"), count.alias("n_entities"))
 
     if moved.isEmpty():
         return shown(base, first)
