@@ -144,3 +144,22 @@ def test_junk_goes_and_clean_text_stays(spark):
     joined = judged.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
     clean, junk = ([r.kept for r in joined if r.quality == q] for q in (1, 0))
     assert sum(clean) >= 0.99 * len(clean) and not any(junk) and junk
+
+
+@pytest.mark.parametrize("part", ["lines", "word length", "words"])
+def test_groups_own_scatter_decides(spark, part):
+    rng = random.Random(8)
+    lines = lambda: [prose(rng, 12) for _ in range(10)]
+    rows = [(i, "\n".join(lines()), "en", "a") for i in range(200)]
+    odd = {
+        # Nine further copies of a short line: half of 18 lines, few of the words.
+        "lines": "\n".join([*(prose(rng, 30) for _ in range(8)), *["so be it"] * 10]),
+        # Words a quarter longer than elsewhere.
+        "word length": "\n".join(" ".join(w + "jj"[: i % 3] for i, w in enumerate(x.split())) for x in lines()),
+        # Almost half of the words are repeats, on one line each.
+        "words": " ".join([prose(rng, 60), *["one two three"] * 18]),
+    }[part]
+    rows.append((200, odd, "en", "a"))
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not got[200].base_failed and not got[200].kept
+    assert sum(got[i].kept for i in range(200)) >= 195
