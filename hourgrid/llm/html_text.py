@@ -3,7 +3,9 @@
 Every element gets the number of characters and tags below it and the part of both inside links. Its density is
 characters per tag, lowered by links with a logarithm whose base grows with the page's own share of link text. The
 element whose children have the largest sum of densities holds the text; it is widened to its ancestors as long as they
-are at least as dense as the body is, up to the enclosing article.
+are at least as dense as the body is, up to the enclosing article. Text may stand in several elements: the smallest
+density on the path from that element to the body is the threshold, and other articles, or without articles other
+elements of the body, that reach it give their text as well.
 
 Pages are read one by one, in a single pass over their markup; nothing grows with the table.
 """
@@ -204,14 +206,15 @@ class Page:
         below = self._subtree(self._main())
         return "\n".join(text for i, text in self.blocks if i in below)
 
-    def _subtree(self, top: int) -> set[int]:
-        inside = {top}
-        for i in range(top + 1, len(self.tags)):
+    def _subtree(self, tops: set[int]) -> set[int]:
+        inside = set(tops)
+        for i in range(min(tops) + 1, len(self.tags)):
             if self.parents[i] in inside:
                 inside.add(i)
         return inside
 
-    def _main(self) -> int:
+    def _main(self) -> set[int]:
+        """The elements whose text is the page's."""
         n = len(self.tags)
         chars, linked, links, marks = self.chars[:], self.linked[:], self.links[:], [0] * n
         for i in range(n - 1, 0, -1):
@@ -240,17 +243,36 @@ class Page:
         best = max((i for i in range(n) if self.tags[i] not in INLINE), key=lambda i: (sums[i], dense[i], -i))
         if not sums[best] and best:
             best = body
-        articles, place = None, best
-        while place > 0:
-            if self.tags[place] in ARTICLE:
-                articles = place
-            place = self.parents[place]
-        if articles is not None:
-            return articles
-        # Ancestors below the body that are no thinner than it.
-        while self.parents[best] > 0 and self.parents[best] != body and dense[self.parents[best]] >= dense[body]:
-            best = self.parents[best]
-        return best
+        path = [best]
+        while path[-1] not in (0, body):
+            path.append(self.parents[path[-1]])
+        root, least = path[-1], min(dense[i] for i in path)
+        # From the top: the outermost article around each element, and its ancestors below the body no thinner than it.
+        article, wide = [0] * n, list(range(n))
+        for i in range(1, n):
+            p = self.parents[i]
+            article[i] = article[p] or (i if self.tags[i] in ARTICLE else 0)
+            if p > 0 and p != body and dense[p] >= dense[body]:
+                wide[i] = wide[p]
+        if article[best]:
+            return {article[best]} | {i for i in range(1, n) if article[i] == i and chars[i] and dense[i] >= least}
+        if best == root:
+            return {best}
+        # From the bottom: the element of the largest sum in each.
+        top = list(range(n))
+        for i in range(n - 1, 0, -1):
+            p = self.parents[i]
+            if self.tags[i] not in INLINE:
+                top[p] = max(top[p], top[i], key=lambda j: (sums[j], dense[j], -j))
+        chosen, reached = {wide[best]}, {root}
+        for i in range(root + 1, n):
+            if self.parents[i] in reached and self.tags[i] not in INLINE and chars[i] and dense[i] >= least:
+                reached.add(i)
+                chosen.add(wide[top[i]])
+        # Nothing left out: text between the elements belongs to them.
+        if all(i in chosen for i in range(root + 1, n) if self.parents[i] == root and chars[i]):
+            return {root}
+        return chosen
 
 
 def main_text(source: str | None) -> str:

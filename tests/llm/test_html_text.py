@@ -73,3 +73,24 @@ def test_odd_markup_takes_no_long_time(source):
     start = time.process_time()
     html_text.main_text(source)
     assert time.process_time() - start < 10
+
+
+LINKS = "<div><ul>" + "".join(f"<li><a href='/{i}'>link number {i}</a></li>" for i in range(40)) + "</ul></div>"
+
+
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+@pytest.mark.parametrize("inner", ["{}", "<div>{}</div>"])
+@pytest.mark.parametrize("around", ["", LINKS])
+@pytest.mark.parametrize("start", ["<html><body>", ""])
+def test_text_in_several_elements_of_the_body(tag, inner, around, start):
+    paragraphs = [f"{i} " + "words of a paragraph " * 19 + "end" for i in range(8)]
+    halves = ["".join(f"<p>{p}</p>" for p in half) for half in (paragraphs[:4], paragraphs[4:])]
+    page = start + around + "".join(f"<{tag}>{inner.format(half)}</{tag}>" for half in halves) + around
+    assert html_text.main_text(page).split("\n") == paragraphs
+
+
+def test_text_between_the_elements_of_the_body():
+    paragraph = "words of a paragraph " * 20
+    block = f"<div>{f'<p>{paragraph}</p>' * 4}</div>"
+    got = html_text.main_text(f"<html><body>{block}Loose text.{block}</body></html>")
+    assert got.split("\n") == [paragraph.strip()] * 4 + ["Loose text."] + [paragraph.strip()] * 4
