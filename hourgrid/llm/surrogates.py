@@ -4,7 +4,7 @@ Mail addresses, phone numbers, network addresses, payment cards, bank accounts,
 are found by patterns. Every distinct value gets a surrogate from a keyed hash, so it is the same wherever the value
 stands; parts of names are values of their own, so a later mention by family name matches. Checks over the distinct
 values make sure that no two values share a surrogate and that none is itself a value of the data: the values
-concerned take the next attempt.
+concerned take the next attempt. After some attempts surrogates grow, so there always is a free one.
 
 Only DataFrame functions are used. Texts are rewritten where they are read; only values that needed a further attempt
 are joined, to the texts that hold them.
@@ -12,6 +12,8 @@ are joined, to the texts that hold them.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +39,8 @@ PATTERNS = {
 ANY = "|".join(PATTERNS.values())
 #: Texts without this have nothing to find; it costs a fraction of the patterns.
 HINT = rf"[@0-9]|(?=[{''.join(sorted({t[0] for t in MALE + FEMALE}))}])(?:{_TITLES})\.? \p{{Lu}}"
-ATTEMPTS = 24
+#: Attempts in the exact shape of the value; further ones use more digits or letters, so no space is ever full.
+SHAPED = 8
 
 #: Parts that stay as they are.
 KEPT = ("title", "other")
@@ -141,6 +144,23 @@ def _address(value: Column, hexes: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"\."), one), ".")
 
 
+def _long_address(hexes: Column) -> Column:
+    """An address of the next version of the protocol, in its range for examples."""
+    groups = [F.substring(hexes, 4 * i + 1, 4) for i in range(6)]
+    return F.concat_ws(":", F.lit("2001:db8"), *groups)
+
+
+def _pattern(kind: Column, value: Column, attempt: Column) -> Column:
+    """What a surrogate is shaped after: the value, with more room from attempt `SHAPED` on."""
+    more = attempt - SHAPED + 4
+    wide = (
+        F.when(kind == "mail", F.concat(F.substring_index(value, "@", 1), F.repeat(F.lit("a"), more), F.lit("@"), F.substring_index(value, "@", -1)))
+        .when(kind == "address", F.lit("100.100.100.100"))
+        .otherwise(F.concat(value, F.repeat(F.lit("0"), more)))
+    )
+    return F.when(attempt < SHAPED, value).otherwise(wide)
+
+
 def _luhn(number: Column) -> Column:
     """Check sum of a number's digits, 0 if valid."""
     digits = F.split(F.reverse(F.regexp_replace(number, "[^0-9]", "")), "")
@@ -212,20 +232,31 @@ def _name(kind: Column, value: Column, hexes: Column, attempt: Column) -> Column
     return F.when(capital, F.upper(low)).otherwise(F.initcap(low))
 
 
-def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
+def _shaped(key: str, kind: Column, value: Column, attempt: Column, shape: Column) -> Column:
     hexes = _digits(key, kind, value, attempt)
     return (
         F.when(kind.isin(*KEPT), value)
-        .when(kind == "mail", _mail(value, hexes))
-        .when(kind == "address", _address(value, hexes))
-        .when(kind == "card", _card(value, hexes))
-        .when(kind == "account", _account(value, hexes))
-        .when(kind == "phone", _phone(value, hexes))
-        .when(kind == "identity", _like(value, hexes))
+        .when(kind == "mail", _mail(shape, hexes))
+        .when((kind == "address") & (attempt >= 2 * SHAPED), _long_address(hexes))
+        .when(kind == "address", _address(shape, hexes))
+        .when(kind == "card", _card(shape, hexes))
+        .when(kind == "account", _account(shape, hexes))
+        .when(kind == "phone", _phone(shape, hexes))
+        .when(kind == "identity", _like(shape, hexes))
         .otherwise(_name(kind, value, hexes, attempt))
     )
 
 
+def surrogate(key: str, kind: Column, value: Column, attempt: Column | int) -> Column:
+    if isinstance(attempt, int):
+        if attempt < SHAPED:
+            return _shaped(key, kind, value, F.lit(attempt), value)
+        attempt = F.lit(attempt)
+    # One evaluation of the shape, which is used many times.
+    once = F.array(F.struct(attempt.alias("attempt"), _pattern(kind, value, attempt).alias("shape")))
+    return F.element_at(F.transform(once, lambda x: _shaped(key, kind, value, x["attempt"], x["shape"])), 1)
+
+
 # The table of values
 
 
@@ -240,14 +271,16 @@ def attempts_of(values: DataFrame, key: str) -> DataFrame:
     """(kind, value, attempt) of the values whose first surrogate is taken.
 
     Of values with the same surrogate the smallest keeps it. A value moves on while its surrogate is a value of the data
-    or kept by another value. Names of all kinds share one space, so that no name stands for two people.
+    or kept by another value. Names of all kinds share one space, so that no name stands for two people. From attempt
+    `SHAPED` on every attempt has at least ten times the room of the one before (addresses: 156^4, then 16^24), so even
+    values that fill their shape are settled after a few more.
     """
     space = F.when(F.col("kind").isin("male", "female", "family"), "name").otherwise(F.col("kind"))
     real = values.select(space.alias("space"), F.col("value").alias("surrogate")).distinct()
     waiting = values.withColumn("attempt", F.lit(0))
     kept = None
-    for attempt in range(ATTEMPTS):
-        made = surrogate(key, F.col("kind"), F.col("value"), F.lit(attempt))
+    for attempt in count():
+        made = surrogate(key, F.col("kind"), F.col("value"), attempt)
         tried = waiting.select("kind", "value", F.lit(attempt).alias("attempt"), space.alias("space"), made.alias("surrogate"))
         first = F.row_number().over(Window.partitionBy("space", "surrogate").orderBy("kind", "value"))
         tried = stage(tried.withColumn("place", first), "tried")
@@ -258,7 +291,6 @@ def attempts_of(values: DataFrame, key: str) -> DataFrame:
         waiting = stage(tried.join(free.select("kind", "value"), ["kind", "value"], "left_anti").select("kind", "value"), "waiting")
         if waiting.isEmpty():
             return kept.where("attempt > 0").select("kind", "value", "attempt")
-    raise ValueError(f"no free surrogates for some values after {ATTEMPTS} attempts")
 
 
 def _rewritten(text: Column, found: Column, made) -> Column:
@@ -284,7 +316,7 @@ def replace(documents: DataFrame, key: str) -> DataFrame:
     base = documents.select(*names, "text", found.alias("_found"))
 
     def first(kind: Column, value: Column) -> Column:
-        return surrogate(key, kind, value, F.lit(0))
+        return surrogate(key, kind, value, 0)
 
     def shown(df: DataFrame, made) -> DataFrame:
         text = F.when(F.size("_found") > 0, _rewritten(F.col("text"), F.col("_found"), made)).otherwise(F.col("text"))

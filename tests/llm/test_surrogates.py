@@ -103,3 +103,32 @@ def test_no_python_in_the_plan(spark):
 def test_more_formats_are_found(spark, text):
     got = replaced(spark, [f"<{text}>"])[0]
     assert got.n_entities == 1 and text not in got.text and len(got.text) == len(text) + 2
+
+
+def test_full_shapes_get_more_room(spark):
+    # All mail addresses of their shape, so none of it is free, and one without a letter or digit to change.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [*(f"{a}@{b}.com" for a in letters for b in letters), "_@-.com"]
+    got = replaced(spark, [" , ".join(values[i::8]) for i in range(8)])
+    pairs = {}
+    for i in range(8):
+        pairs |= dict(zip(values[i::8], got[i].text.split(" , "), strict=True))
+    assert len(pairs) == len(values) == len(set(pairs.values())) and not set(pairs.values()) & set(values)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.com", pairs[v]) for v in values[:-1])
+
+
+def test_more_room_keeps_the_type(spark):
+    values = ["4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00", "1.2.3.4"]
+    rows = [("card", values[0]), ("account", values[1]), ("address", values[2])]
+    frame = spark.createDataFrame(rows, "kind string, value string").crossJoin(spark.range(8, 24).withColumnRenamed("id", "attempt"))
+    new = surrogates.surrogate("k", surrogates.F.col("kind"), surrogates.F.col("value"), surrogates.F.col("attempt").cast("int"))
+    got = frame.select("kind", "attempt", new.alias("s")).collect()
+    assert len({r.s for r in got}) == len(got) == 48
+    for r in got:
+        if r.kind == "card":
+            assert luhn(r.s) == 0 and r.s.startswith("4")
+        elif r.kind == "account":
+            whole = (r.s[4:] + r.s[:4]).replace(" ", "")
+            assert r.s.startswith("DE") and int("".join(str(int(c, 36)) for c in whole)) % 97 == 1
+        else:
+            assert ":" in r.s if r.attempt >= 16 else all(0 <= int(x) <= 255 for x in r.s.split("."))
