@@ -173,3 +173,105 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coale
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+OP12 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{SPACED}') AS w
+  FROM documents
+),
+marks AS (SELECT doc_id, max(quality) FILTER (quality = 1) AS good, max(toxic) FILTER (toxic = 1) AS toxic FROM labels GROUP BY 1),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(w) < 50)::INT AS a, (100 * len(list_distinct(w)) < 65 * len(w))::INT AS b,
+         (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t))::INT AS c,
+         regexp_matches(t, '[#$%&*|]')::INT AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS e
+  FROM d LEFT JOIN marks USING (doc_id)
+),
+cells AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM failed GROUP BY ALL
+),
+filters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+orders(name, bits) AS (
+  SELECT '', 0 UNION ALL SELECT name || letter, bits | bit FROM orders JOIN filters ON bits & bit = 0
+),
+steps AS (
+  SELECT o.name AS filter_order, s.step::INT AS step, f.letter, f.bit, b.bits AS before
+  FROM orders o, range(1, 6) s(step), filters f, orders b
+  WHERE length(o.name) = 5 AND f.letter = o.name[s.step] AND b.name = o.name[1:s.step - 1]
+),
+done AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM steps, cells GROUP BY ALL
+)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM done
+"""
+
+
+def op13(phrases, templates, percent: int, block: int, step: int) -> str:
+    """Every block against every template."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    table = lambda rows: ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in rows)
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({lowered("text")}, '{PLAIN}') AS w FROM documents),
+phrases AS (
+  SELECT label, regexp_extract_all({lowered("phrase")}, '{PLAIN}') AS p FROM (VALUES {table(phrases)}) x(label, phrase)
+),
+templates AS (
+  SELECT label, list_distinct(regexp_extract_all({lowered("phrase")}, '{PLAIN}')) AS t
+  FROM (VALUES {table(templates)}) x(label, phrase)
+),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM d),
+places AS (SELECT doc_id, label, s - 1 AS s FROM starts JOIN phrases ON w[s] = p[1] AND w[s:s + len(p) - 1] = p),
+base AS (
+  SELECT doc_id, count(*) AS n, min(s) AS low, max(s) AS high, list(DISTINCT label) AS labels FROM places GROUP BY doc_id
+),
+blocks AS (
+  SELECT doc_id, w[s + 1:s + {block}] AS b
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(ceil((len(w) - {block}) / {step}), 0)::BIGINT * {step} + 1, {step})) AS s FROM d)
+),
+matches AS (
+  SELECT doc_id, label, len(list_intersect(b, t)) AS shared, len(t) AS size FROM blocks, templates
+  WHERE 100 * len(list_intersect(b, t)) >= {percent} * len(t)
+),
+method AS (SELECT doc_id, list(DISTINCT label) AS labels, max(shared / size) AS score FROM matches GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, low::BIGINT AS first_word, high::BIGINT AS last_word,
+       array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(method.labels, []))), ',') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id)
+"""

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from hourgrid.llm import (
     decontaminate,
+    filter_audit,
+    hard_negatives,
     host_reputation,
     html_text,
+    license_scan,
     ngram_join,
     oracle,
     packing,
@@ -117,6 +120,32 @@ def op10_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", count, items, "contaminated")
 
 
+def op11_hilbert_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.scaled(vectors.select("vec_id", shifted.alias("label"), "embedding"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.cells(read(spark, folder, "documents"), read(spark, folder, "labels")))
+
+
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.scan(read(spark, folder, "documents"))
+    labels = F.array_union("base_labels", F.col("matches.label"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(F.array_sort(labels), ",").alias("labels"),
+        F.coalesce(F.array_max("matches.containment"), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -130,6 +159,9 @@ QUERIES: dict[str, Query] = {
         op8_best_fit_packing,
         op9_minimax_sharding,
         op10_positional_index,
+        op11_hilbert_hard_negatives,
+        op12_filter_interaction_audit,
+        op13_license_scan,
     )
 }
 #: Packing, sharding, extraction, surrogates and robust estimates have no plain counterpart: tests use brute force.
@@ -141,4 +173,7 @@ ORACLE: dict[str, str] = {
         RULES, LIMIT, Z, host_reputation.STRENGTH_RANGE, host_reputation.TWO_LABEL_SUFFIXES
     ),
     "op10_positional_index": oracle.OP10,
+    "op11_hilbert_hard_negatives": oracle.OP11,
+    "op12_filter_interaction_audit": oracle.OP12,
+    "op13_license_scan": oracle.op13(license_scan.PHRASES, license_scan.TEMPLATES, 90, license_scan.BLOCK, license_scan.STEP),
 }

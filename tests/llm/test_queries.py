@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     with duckdb.connect() as other:
-        for table in ("documents", "pages", "benchmark", "labels"):
+        for table in ("documents", "embeddings", "pages", "benchmark", "labels"):
             other.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
         want = other.execute(ORACLE[name])
         columns = [c[0] for c in want.description]
