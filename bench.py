@@ -22,9 +22,11 @@ HEADLINE = (
     "profile_raw", "raw_csv_roundtrip", "station_hour", "station_locations", "reindexed", "iqr_caps", "quality_counts",
     "cleaned", "features", "features_range", "split_counts", "baseline_metrics", "baseline_by_station",
     "hourly_profile", "weekday_hour_pivot", "top_stations", "volatility", "peak_hours", "map_table", "station_slice",
-    "crowding_alerts", "summary", "gbt_predictions", "gbt_encoding_of_many",
+    "crowding_alerts", "summary", "gbt_encoding_of_many", "gbt_default_predictions", "gbt_boosted",
     "daily_station_day", "daily_caps", "daily_cleaned", "daily_features", "daily_baseline_metrics", "daily_volatility",
     "daily_borough_totals", "supplier_grid_totals",
+    # The first of these runs the search of 18 trials, the second the final fit; the last reads what they stored.
+    "gbt_trials", "gbt_predictions", "gbt_metrics",
 )
 
 

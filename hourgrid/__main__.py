@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--raw", help="raw CSV file or folder (stage prepare)")
     parser.add_argument("--name", default="summary", help="report name (stage report)")
     parser.add_argument("--trials", type=int, default=18, help="search budget (stage tune)")
-    parser.add_argument("--parallelism", type=int, default=1, help="trials at the same time (stage tune)")
+    parser.add_argument("--startup", type=int, default=10, help="random trials before the model-based ones (stage tune)")
     parser.add_argument("--station", help="station name (reports of one station)")
     parser.add_argument("--start", help="first date (reports of one station)")
     parser.add_argument("--end", help="last date (reports of one station)")
@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         work.split()
         work.table("split_counts").show(truncate=False)
     elif args.stage == "tune":
-        work.tune(n_trials=args.trials, parallelism=args.parallelism).show(truncate=False)
+        work.tune(n_trials=args.trials, startup=args.startup).show(truncate=False)
     elif args.stage == "train":
         work.train_default()
         work.train_final()

@@ -1,25 +1,22 @@
-"""Gradient-boosted trees: encoding, trials with early stopping, search, final fit, scoring."""
+"""Gradient-boosted trees over feature rows: encoding, trials with early stopping, search, final fit, scoring."""
 
 from __future__ import annotations
 
 import math
 import random
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, fields, replace
+from dataclasses import dataclass, fields
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourgrid.operators import baseline
+from hourgrid.operators import baseline, boosting, sampler
+from hourgrid.operators.boosting import Feature, Grown
 from hourgrid.spec import DemandSpec
-from hourgrid.staging import ensure_checkpoint_dir, stage
+from hourgrid.staging import stage
 
-LABEL, FEATURES, PREDICTION = "_label", "_features", "pred_model"
+PREDICTION = "pred_model"
 
 # Seed, number of trials, patience in trees, and the search ranges.
 SEED = 42
@@ -35,9 +32,10 @@ SEARCH_RANGES = {
     "bagging_fraction": (0.5, 1.0),
 }
 LOG_UNIFORM = ("learning_rate",)
+WHOLE = ("num_leaves", "max_depth", "n_estimators", "min_data_in_leaf")
 
-# Histogram bins per feature; all features are numbers, so no category needs a bin of its own.
-MAX_BINS = 64
+#: Trials drawn at random before the model-based draws, and draws that are made at once from then on.
+STARTUP_TRIALS, DRAWS = 10, 4
 # Rows of the overall mean that are added to each value's own in the target means.
 SMOOTHING = 20.0
 
@@ -46,44 +44,29 @@ PARAMS_SCHEMA = (
     "feature_fraction double, bagging_fraction double"
 )
 TRIAL_SCHEMA = f"trial int, {PARAMS_SCHEMA}, best_iteration int, val_mae double, val_rmse double"
+#: A leaf has no feature. A numeric node sends values up to `threshold`, and nulls, to the left; a text node sends `categories` to the
+#: left, or with `others_left` all but them.
+NODE_SCHEMA = (
+    "tree int, node int, depth int, feature string, threshold double, categories array<string>, others_left boolean, "
+    "left int, right int, gain double, value double, n_rows bigint"
+)
 
 
 @dataclass(frozen=True)
 class BoostingParams:
     """Parameters under the names of the stored JSON, so an existing parameter file can be read.
 
-    Spark grows trees level by level: the leaf budget is honoured as a bound on depth.
+    Trees grow leaf by leaf up to `num_leaves`; a `max_depth` of 0 or less sets no bound.
     """
 
     num_leaves: int = 31
-    max_depth: int = 5
+    max_depth: int = -1
     learning_rate: float = 0.1
     n_estimators: int = 100
     min_data_in_leaf: int = 20
     feature_fraction: float = 1.0
     bagging_fraction: float = 1.0
 
-    @property
-    def depth(self) -> int:
-        return max(1, min(self.max_depth, math.ceil(math.log2(self.num_leaves))))
-
-    def regressor(self, seed: int = SEED) -> GBTRegressor:
-        return GBTRegressor(
-            labelCol=LABEL,
-            featuresCol=FEATURES,
-            predictionCol=PREDICTION,
-            maxIter=self.n_estimators,
-            maxDepth=self.depth,
-            stepSize=self.learning_rate,
-            minInstancesPerNode=self.min_data_in_leaf,
-            featureSubsetStrategy="all" if self.feature_fraction >= 1.0 else str(self.feature_fraction),
-            subsamplingRate=self.bagging_fraction,
-            maxBins=MAX_BINS,
-            # Residuals are cut from their lineage every few trees, through the shared folder.
-            checkpointInterval=10,
-            seed=seed,
-        )
-
 
 @dataclass(frozen=True)
 class Encoder:
@@ -107,21 +90,25 @@ class Encoder:
         encoded = reduce(joined, spec.categorical, df)
         return encoded.fillna(self.prior, [f"{c}_mean" for c in spec.categorical])
 
-    def vectors(self, df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
-        inputs = [*spec.numeric_features, *(f"{c}_mean" for c in spec.categorical)]
-        return VectorAssembler(inputCols=inputs, outputCol=FEATURES).transform(self.columns(df, spec))
-
-    def encode(self, df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
-        """Label and feature vector of the training rows."""
-        return self.vectors(df, spec).select(F.col(spec.target).cast("double").alias(LABEL), FEATURES)
-
 
 @dataclass(frozen=True)
 class DemandModel:
-    """Encoder and trees, which together score feature rows."""
+    """The trees as rows of `NODE_SCHEMA`, the mean they start from, and the columns they may use.
+
+    With an encoder the text columns are used as target means, else as sets of values.
+    """
+
+    nodes: tuple[tuple, ...]
+    prior: float
+    columns: tuple[str, ...]
+    encoder: Encoder | None = None
+
+    def table(self) -> DataFrame:
+        return SparkSession.active().createDataFrame(list(self.nodes), NODE_SCHEMA)
 
-    encoder: Encoder
-    booster: GBTRegressionModel
+    @property
+    def n_trees(self) -> int:
+        return 1 + max((n[0] for n in self.nodes), default=-1)
 
 
 def target_means(df: DataFrame, prior: float, spec: DemandSpec = DemandSpec(), smoothing: float = SMOOTHING) -> DataFrame:
@@ -144,23 +131,65 @@ def fit_encoder(df: DataFrame, spec: DemandSpec = DemandSpec(), smoothing: float
     return Encoder(stage(target_means(df, prior, spec, smoothing), "means"), prior)
 
 
-def fit(
-    train: DataFrame, params: BoostingParams = BoostingParams(), spec: DemandSpec = DemandSpec(), seed: int = SEED
-) -> DemandModel:
-    """Encoder and trees in one model that scores feature rows."""
-    ensure_checkpoint_dir(train.sparkSession)
-    encoder = fit_encoder(train, spec)
-    # Every tree passes over the encoded rows once per level.
-    rows = stage(encoder.encode(train, spec), "encoded").persist()
-    try:
-        return DemandModel(encoder, params.regressor(seed).fit(rows))
-    finally:
-        rows.unpersist()
+def node_rows(trees: Sequence[boosting.Tree], features: Sequence[Feature]) -> list[tuple]:
+    """Trees as rows of `NODE_SCHEMA`, with values of the columns in place of bins."""
+    rows = []
+    for t, tree in enumerate(trees):
+        for node in range(len(tree.feature)):
+            name = threshold = categories = others = left = right = None
+            if tree.feature[node] >= 0:
+                feature, bins = features[tree.feature[node]], set(tree.left_bins[node])
+                name, left, right = feature.name, tree.left[node], tree.right[node]
+                if feature.is_category:
+                    others = 0 in bins
+                    categories = [v for b, v in enumerate(feature.values, 1) if (b in bins) != others]
+                else:
+                    threshold = feature.edges[max(bins) - 1] if max(bins) else -math.inf
+            rows.append((
+                t, node, tree.depth[node], name, threshold, categories, others, left, right, tree.gain[node], tree.value[node],
+                tree.rows[node],
+            ))
+    return rows
+
+
+def fit_many(
+    train: DataFrame,
+    params: Sequence[BoostingParams],
+    spec: DemandSpec = DemandSpec(),
+    seed: int = SEED,
+    encoding: str = "sets",
+    bagging: bool = True,
+    columns: Sequence[str] | None = None,
+) -> list[DemandModel]:
+    """A model for each parameter set; all grow from the same passes over the rows.
+
+    `encoding`: text columns as "sets" of values, where values beyond the most frequent `boosting.MAX_CATEGORIES` stand
+    together, or as target "means", which keep any number of values apart.
+    """
+    if encoding not in ("sets", "means"):
+        raise ValueError(f"encoding must be sets or means, got {encoding!r}")
+    used = list(columns or spec.feature_columns)
+    text = [c for c in used if c in spec.categorical]
+    numeric = [c for c in used if c not in text]
+    encoder = None
+    if encoding == "means":
+        encoder = fit_encoder(train, spec)
+        train, numeric, text = encoder.columns(train, spec), [*numeric, *(f"{c}_mean" for c in text)], []
+    features = boosting.fit_features(train, numeric, text)
+    blocks = boosting.binned_blocks(train, features, spec.target)
+    grown = boosting.grow(blocks, features, params, seed, bagging=bagging)
+    names = tuple(f.name for f in features)
+    return [DemandModel(tuple(node_rows(g.trees, features)), g.prior, names, encoder) for g in grown]
+
+
+def fit(train: DataFrame, params: BoostingParams = BoostingParams(), spec: DemandSpec = DemandSpec(), **how) -> DemandModel:
+    """One model that scores feature rows."""
+    return fit_many(train, [params], spec, **how)[0]
 
 
 def fit_default(train_val: DataFrame, spec: DemandSpec = DemandSpec(), seed: int = SEED, **overrides) -> DemandModel:
     """The comparator before tuning."""
-    return fit(train_val, BoostingParams(**overrides), spec, seed)
+    return fit(train_val, BoostingParams(**overrides), spec, seed=seed)
 
 
 def fit_final(
@@ -174,7 +203,7 @@ def fit_final(
 
     Rows are sampled per tree only in the trials, unless `bagging` asks for it here as well.
     """
-    return fit(train_val, params if bagging else replace(params, bagging_fraction=1.0), spec, seed)
+    return fit(train_val, params, spec, seed=seed, bagging=bagging)
 
 
 def best_iteration(curve: Sequence[float], patience: int = PATIENCE) -> int:
@@ -188,34 +217,15 @@ def best_iteration(curve: Sequence[float], patience: int = PATIENCE) -> int:
     return best + 1
 
 
-def fit_trial(
-    train: DataFrame,
-    validation: DataFrame,
-    params: BoostingParams,
-    patience: int = PATIENCE,
-    seed: int = SEED,
-) -> dict:
-    """Fit encoded rows and stop by the validation MAE.
-
-    A fifth more trees than the patience are grown first, and twice as many each time the best count is still within
-    the patience of the end. The first trees of a larger fit are those of a smaller one, so the result is that of growing
-    all `n_estimators` trees, and a trial that peaks early costs few of them.
-    """
-    size = min(patience + -(-patience // 5), params.n_estimators)
-    while True:
-        booster = replace(params, n_estimators=size).regressor(seed).fit(train)
-        absolute = booster.evaluateEachIteration(validation, "absolute")
-        count = best_iteration(absolute, patience)
-        if size == params.n_estimators or count + patience <= size:
-            break
-        size = min(2 * size, params.n_estimators)
-    squared = booster.evaluateEachIteration(validation, "squared")
-    return {
-        **asdict(params),
-        "best_iteration": count,
-        "val_mae": float(absolute[count - 1]),
-        "val_rmse": math.sqrt(squared[count - 1]),
-    }
+def best_iterations(curves: DataFrame, key: str, order: str, error: str, patience: int = PATIENCE) -> DataFrame:
+    """(key, best_iteration): the same over a table of curves, one row per tree in the given order."""
+    along = Window.partitionBy(key).orderBy(order)
+    earlier = F.min(error).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    steps = curves.withColumns({"_at": F.row_number().over(along), "_earlier": earlier})
+    better = steps.where(F.col("_earlier").isNull() | (F.col(error) < F.col("_earlier")))
+    better = better.withColumn("_next", F.lead("_at").over(Window.partitionBy(key).orderBy("_at")))
+    ends = better.where(F.col("_next").isNull() | (F.col("_next") - F.col("_at") > patience))
+    return ends.groupBy(key).agg(F.min("_at").alias("best_iteration"))
 
 
 def sample_params(
@@ -223,12 +233,11 @@ def sample_params(
 ) -> list[BoostingParams]:
     """Seeded random draws: whole numbers uniform, rates uniform or log-uniform."""
     bounds = {**SEARCH_RANGES, **(ranges or {})}
-    whole = {f.name for f in fields(BoostingParams) if f.type == "int"}
     rng = random.Random(seed)
 
     def draw(name: str) -> float:
         low, high = bounds[name]
-        if name in whole:
+        if name in WHOLE:
             return rng.randint(int(low), int(high))
         if name in LOG_UNIFORM:
             return math.exp(rng.uniform(math.log(low), math.log(high)))
@@ -237,6 +246,19 @@ def sample_params(
     return [BoostingParams(**{name: draw(name) for name in SEARCH_RANGES}) for _ in range(n_trials)]
 
 
+def next_params(
+    trials: DataFrame, ranges: dict[str, tuple[float, float]] | None = None, draws: int = 1
+) -> DataFrame:
+    """The next `draws` parameter sets that the trial log suggests, one row each (`draw` from 1)."""
+    return sampler.suggest(trials, {**SEARCH_RANGES, **(ranges or {})}, LOG_UNIFORM, WHOLE, draws=draws)
+
+
+def trial_row(number: int, params: BoostingParams, grown: Grown) -> tuple:
+    count = boosting.best_count(grown.mae) if grown.mae else 0
+    errors = (grown.mae[count - 1], grown.rmse[count - 1]) if count else (None, None)
+    return (number, *(getattr(params, f.name) for f in fields(params)), count, *errors)
+
+
 def search(
     train: DataFrame,
     validation: DataFrame,
@@ -245,30 +267,29 @@ def search(
     patience: int = PATIENCE,
     seed: int = SEED,
     ranges: dict[str, tuple[float, float]] | None = None,
-    parallelism: int = 1,
+    startup: int = STARTUP_TRIALS,
+    draws: int = DRAWS,
 ) -> DataFrame:
-    """Bounded random search on a chronological validation set: one row per trial.
+    """Bounded search on a chronological validation set: one row per trial.
 
-    Every fit is distributed over the cluster; `parallelism` lets several trials share it. Both sets are encoded
-    and cached once for all trials.
+    The first `startup` trials are random; then `draws` at a time follow the densities of good and bad trials so far
+    (`startup=n_trials` is a plain random search). Rows are binned once, and trials of one batch grow side by side.
     """
     spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
-    encoder = fit_encoder(train, spec)
-    rows, checks = (stage(encoder.encode(df, spec), "encoded").persist() for df in (train, validation))
-
-    def run(item: tuple[int, BoostingParams]) -> dict:
-        number, params = item
-        return {"trial": number, **fit_trial(rows, checks, params, patience, seed)}
-
-    try:
-        with ThreadPool(max(1, parallelism)) as pool:
-            results = pool.map(inheritable_thread_target(spark)(run), enumerate(sample_params(n_trials, seed, ranges)))
-    finally:
-        rows.unpersist()
-        checks.unpersist()
-    names = [part.split()[0] for part in TRIAL_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in results], TRIAL_SCHEMA)
+    text = list(spec.categorical)
+    features = boosting.fit_features(train, spec.numeric_features, text)
+    columns = [*spec.feature_columns, spec.target]
+    rows = train.select(*columns, F.lit(False).alias("held")).union(validation.select(*columns, F.lit(True)))
+    blocks = boosting.binned_blocks(rows, features, spec.target, F.col("held"))
+    log: list[tuple] = []
+    batch = sample_params(min(startup, n_trials), seed, ranges)
+    while batch:
+        grown = boosting.grow(blocks, features, batch, seed, patience)
+        log += [trial_row(len(log) + i, p, g) for i, (p, g) in enumerate(zip(batch, grown, strict=True))]
+        table = spark.createDataFrame(log, TRIAL_SCHEMA)
+        left = min(draws, n_trials - len(log))
+        batch = all_params(next_params(table, ranges, left)) if left > 0 else []
+    return spark.createDataFrame(log, TRIAL_SCHEMA)
 
 
 def best_params(trials: DataFrame) -> DataFrame:
@@ -284,16 +305,59 @@ def best_params(trials: DataFrame) -> DataFrame:
     )
 
 
+def all_params(table: DataFrame) -> list[BoostingParams]:
+    return [BoostingParams(**{f.name: row[f.name] for f in fields(BoostingParams)}) for row in table.collect()]
+
+
 def params_of(row_table: DataFrame) -> BoostingParams:
     """Parameters from a one-row table."""
-    row = row_table.first()
-    return BoostingParams(**{f.name: row[f.name] for f in fields(BoostingParams)})
+    return all_params(row_table.limit(1))[0]
+
+
+def _tree_sql(nodes: dict[int, tuple], inputs: dict[str, str], node: int = 0) -> str:
+    """One tree as nested conditions."""
+    _, _, _, feature, threshold, categories, others, left, right, _, value, _ = nodes[node]
+    if feature is None:
+        return f"{value!r}D"
+    x = inputs[feature]
+    if categories is None:
+        fits = f"{x} <= " + ("double('-Infinity')" if threshold == -math.inf else f"{threshold!r}D")
+    else:
+        listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in categories)
+        inside = f"coalesce({x} IN ({listed}), false)" if listed else "false"
+        fits = f"NOT {inside}" if others else inside
+    return f"CASE WHEN {fits} THEN {_tree_sql(nodes, inputs, left)} ELSE {_tree_sql(nodes, inputs, right)} END"
 
 
 def score(model: DemandModel, df: DataFrame, column: str = PREDICTION, spec: DemandSpec = DemandSpec()) -> DataFrame:
-    """Add the prediction; helper columns of the model are dropped."""
-    scored = model.booster.transform(model.encoder.vectors(df, spec))
-    return scored.select(*df.columns, F.col(PREDICTION).alias(column))
+    """Add the prediction: the trees as one expression over the columns, without a Python worker.
+
+    Null and NaN count as the smallest number, as in the fit.
+    """
+    rows = model.encoder.columns(df, spec) if model.encoder else df
+    taken = set(rows.columns)
+    inputs: dict[str, str] = {}
+    prepared = []
+    texts = {n[3] for n in model.nodes if n[5] is not None}
+    for name in sorted({n[3] for n in model.nodes if n[3] is not None}):
+        short = f"x{len(inputs)}"
+        while short in taken:
+            short += "_"
+        inputs[name] = short
+        number = F.col(name).cast("double")
+        number = F.when(number.isNull() | F.isnan(number), float("-inf")).otherwise(number)
+        prepared.append((F.col(name).cast("string") if name in texts else number).alias(short))
+    by_tree: dict[int, dict[int, tuple]] = {}
+    for n in model.nodes:
+        by_tree.setdefault(n[0], {})[n[1]] = n
+    total = " + ".join([f"{model.prior!r}D", *(_tree_sql(nodes, inputs) for _, nodes in sorted(by_tree.items()))])
+    if inputs:
+        # Whole-stage code would put all trees into one method, which may not exceed 64 KB. A projection with a function on
+        # arrays stays out of it and is compiled in small methods, one or more a tree.
+        given = ", ".join(inputs.values())
+        total = f"CASE WHEN NOT exists(array(struct({given})), x -> x IS NULL) THEN {total} END"
+    chosen = [F.col(f"`{c}`") for c in df.columns]
+    return rows.select(*rows.columns, *prepared).select(*chosen, F.expr(total).alias(column))
 
 
 def prediction_table(
@@ -315,25 +379,28 @@ def attach_predictions(df: DataFrame, predictions: DataFrame, spec: DemandSpec =
     return df.join(predictions.select(spec.series_id, spec.ts, *columns), [spec.series_id, spec.ts], "inner")
 
 
-def importance(model: DemandModel, spec: DemandSpec = DemandSpec()) -> DataFrame:
-    """Share of the total gain per feature, smallest first."""
-    names = spec.feature_columns
-    rows = [(name, float(value)) for name, value in zip(names, model.booster.featureImportances.toArray(), strict=True)]
-    spark = SparkSession.active()
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy("importance", "feature")
+def importance(model: DemandModel) -> DataFrame:
+    """Total gain of the splits on each feature, smallest first; a feature without a split has 0."""
+    names = SparkSession.active().createDataFrame([(c,) for c in model.columns], "feature string")
+    gains = model.table().where("feature is not null").groupBy("feature").agg(F.sum("gain").alias("importance"))
+    return names.join(gains, "feature", "left").fillna(0.0, ["importance"]).orderBy("importance", "feature")
 
 
 def save(model: DemandModel, path: str) -> None:
-    """Trees, target means and the overall mean, each in its own folder under `path`."""
-    model.booster.write().overwrite().save(f"{path}/trees")
-    prior = F.lit(model.encoder.prior).alias("prior")
-    model.encoder.means.write.mode("overwrite").parquet(f"{path}/means")
-    SparkSession.active().range(1).select(prior).write.mode("overwrite").parquet(f"{path}/prior")
+    """Tree rows, what they start from, and target means if any, each in its own folder under `path`."""
+    model.table().coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+    rest = [(model.prior, list(model.columns), model.encoder.prior if model.encoder else None)]
+    rest = SparkSession.active().createDataFrame(rest, "prior double, columns array<string>, encoder_prior double")
+    rest.coalesce(1).write.mode("overwrite").parquet(f"{path}/prior")
+    if model.encoder:
+        model.encoder.means.write.mode("overwrite").parquet(f"{path}/means")
 
 
 def load(path: str) -> DemandModel:
     spark = SparkSession.active()
-    prior = spark.read.parquet(f"{path}/prior").first()["prior"]
-    return DemandModel(
-        Encoder(spark.read.parquet(f"{path}/means"), prior), GBTRegressionModel.load(f"{path}/trees")
-    )
+    rest = spark.read.parquet(f"{path}/prior").first()
+    nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/trees").orderBy("tree", "node").collect()
+    encoder = None
+    if rest.encoder_prior is not None:
+        encoder = Encoder(spark.read.parquet(f"{path}/means"), rest.encoder_prior)
+    return DemandModel(tuple(map(tuple, nodes)), rest.prior, tuple(rest.columns), encoder)

@@ -182,6 +182,83 @@ BEST_TRIAL = """SELECT num_leaves, max_depth, learning_rate, n_estimators, min_d
           round(avg(l_quantity), 3) AS val_mae FROM lineitem GROUP BY 1)
   ORDER BY val_mae, trial LIMIT 1"""
 
+
+def _boosted(numeric: list[str], text: list[str], trees: int, leaves: int, rate: float, least: int) -> list[str]:
+    """Best-first trees as SQL: each split is the best one of all leaves. Ends with `fitted` (score s) and `gains`."""
+    names = [*numeric, *text]
+    parts = [f"""b0 AS MATERIALIZED (
+      SELECT {", ".join([f"{c}::DOUBLE AS {c}" for c in numeric] + text)}, entries::DOUBLE AS y, avg(entries) OVER () AS s
+      FROM labelled WHERE split <> 'test')"""]
+    for t in range(1, trees + 1):
+        parts.append(f"t{t}_0 AS MATERIALIZED (SELECT *, y - s AS r, 0 AS leaf FROM b{t - 1})")
+        for k in range(1, leaves):
+            now, new = f"t{t}_{k - 1}", f"t{t}_{k}"
+            cells = " UNION ALL ".join(
+                f"SELECT leaf, {i} AS f, {c if c in numeric else 'avg(r)'} AS x, {'NULL' if c in numeric else c} AS v, "
+                f"count(*)::DOUBLE AS n, sum(r) AS g FROM {now} GROUP BY leaf, {c}"
+                for i, c in enumerate(names)
+            )
+            goes = " ".join(
+                f"WHEN {i} THEN {f'{c} <= p.x' if c in numeric else f'list_contains((SELECT vs FROM l{new}), {c})'}"
+                for i, c in enumerate(names)
+            )
+            parts += [
+                f"c{new} AS MATERIALIZED ({cells})",
+                f"""w{new} AS (SELECT *, sum(n) OVER u AS ln, sum(g) OVER u AS lg, sum(n) OVER a AS an, sum(g) OVER a AS ag
+                  FROM c{new} WINDOW u AS (PARTITION BY leaf, f ORDER BY x, v), a AS (PARTITION BY leaf, f))""",
+                f"""p{new} AS MATERIALIZED (
+                  SELECT leaf AS at, f, x, v, lg * lg / ln + (ag - lg) * (ag - lg) / (an - ln) - ag * ag / an AS gain FROM w{new}
+                  WHERE ln >= {least} AND an - ln >= {least} ORDER BY gain DESC, f, x LIMIT 1)""",
+                f"""l{new} AS MATERIALIZED (SELECT list(c.v) AS vs FROM c{new} c JOIN p{new} p ON c.leaf = p.at AND c.f = p.f
+                  WHERE c.x < p.x OR c.x = p.x AND c.v <= p.v)""",
+                f"""{new} AS MATERIALIZED (SELECT t.* REPLACE (
+                  CASE WHEN leaf = p.at AND NOT CASE p.f {goes} END THEN {k} ELSE leaf END AS leaf) FROM {now} t CROSS JOIN p{new} p)""",
+            ]
+        value = f"s + {rate}::DOUBLE * avg(r) OVER (PARTITION BY leaf)"
+        parts.append(f"b{t} AS MATERIALIZED (SELECT {', '.join(names)}, y, {value} AS s FROM t{t}_{leaves - 1})")
+    found = " UNION ALL ".join(f"SELECT f, gain FROM pt{t}_{k}" for t in range(1, trees + 1) for k in range(1, leaves))
+    return [*parts, f"gains AS ({found})", f"fitted AS (SELECT * FROM b{trees})"]
+
+
+FEW = (["hour_of_day", "day_of_week", "month"], ["station_complex"])
+FEW_SCORES = (
+    "SELECT DISTINCT hour_of_day::INT AS hour_of_day, day_of_week::INT AS day_of_week, month::INT AS month, station_complex, "
+    "round(s, 6) AS pred_model FROM fitted"
+)
+
+
+def _next_draws(draws: int) -> str:
+    """Kernel densities of the good and the other trials at candidates around the good ones."""
+    scaled = {
+        "num_leaves": "(num_leaves - 15) / 240.0::DOUBLE",
+        "learning_rate": "(ln(learning_rate) - ln(0.01::DOUBLE)) / (ln(0.3::DOUBLE) - ln(0.01::DOUBLE))",
+        "feature_fraction": "(feature_fraction - 0.5::DOUBLE) / 0.5::DOUBLE",
+    }
+    points = " UNION ALL ".join(f"SELECT '{c}' AS name, good, size, {u} AS u FROM ranked" for c, u in scaled.items())
+    width = "(pow(size + 1, -0.2::DOUBLE) / 4)"
+    offsets = "[-1.6, -1.0, -0.6, -0.3, -0.1, 0.1, 0.3, 0.6, 1.0, 1.6]::DOUBLE[]"
+    density = "(coalesce(sum(k) FILTER ({0}), 0) + 1) / (count(*) FILTER ({0}) + 1)"
+    return f"""
+WITH log AS (
+  SELECT CAST(l_partkey % 50 AS INT) AS trial, sum(l_linenumber) % 241 + 15 AS num_leaves,
+         exp(-4.6::DOUBLE + (sum(l_suppkey) % 34)::DOUBLE / 10) AS learning_rate,
+         0.5::DOUBLE + (sum(l_orderkey) % 51)::DOUBLE / 100 AS feature_fraction, round(avg(l_quantity), 3) AS val_mae
+  FROM lineitem GROUP BY 1),
+placed AS (SELECT *, row_number() OVER (ORDER BY val_mae, trial) <= ceil(count(*) OVER () * 0.25::DOUBLE) AS good FROM log),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY good) AS size FROM placed),
+points AS ({points}),
+places AS (SELECT DISTINCT name, greatest(least(u + {width} * unnest({offsets}), 1), 0) AS c FROM points WHERE good),
+kernels AS (
+  SELECT name, c, good, exp(-pow((c - u) / {width}, 2) / 2) / ({width} * sqrt(2 * pi())) AS k FROM places JOIN points USING (name)),
+ratios AS (
+  SELECT name, c, round(ln({density.format("good")}) - ln({density.format("NOT good")}), 9) AS ratio FROM kernels GROUP BY name, c),
+best AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ratio DESC, c) AS draw FROM ratios)
+SELECT draw::INT AS draw, round(15 + max(c) FILTER (name = 'num_leaves') * 240)::INT AS num_leaves,
+       round(exp(ln(0.01::DOUBLE) + max(c) FILTER (name = 'learning_rate') * (ln(0.3::DOUBLE) - ln(0.01::DOUBLE))), 6) AS learning_rate,
+       round(0.5::DOUBLE + max(c) FILTER (name = 'feature_fraction') * 0.5::DOUBLE, 6) AS feature_fraction
+FROM best WHERE draw <= {draws} GROUP BY draw"""
+
+
 ORACLE: dict[str, str] = {
     "profile_raw": _with([HOURLY_RAW], PROFILE),
     "parsed_times": """SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS parsed
@@ -333,6 +410,16 @@ best AS (
         """SELECT DISTINCT hour_of_day, day_of_week, month, is_weekend, round(CASE WHEN
             CASE f WHEN 'hour_of_day' THEN hour_of_day WHEN 'day_of_week' THEN day_of_week WHEN 'month' THEN month
               ELSE is_weekend::INT END <= x THEN low ELSE high END, 6) AS pred_model FROM fit CROSS JOIN best"""),
+    "gbt_leafwise": _with([*HOURLY_SPLIT, *_boosted(*FEW, 1, 8, 1.0, 20)], FEW_SCORES),
+    "gbt_boosted": _with([*HOURLY_SPLIT, *_boosted(*FEW, 3, 4, 0.3, 20)], FEW_SCORES),
+    "gbt_category_set": _with([*HOURLY_SPLIT, *_boosted([], ["station_complex"], 1, 2, 1.0, 1)],
+        "SELECT DISTINCT station_complex, round(s, 6) AS pred_model FROM fitted"),
+    "gbt_gain": _with([*HOURLY_SPLIT, *_boosted(*FEW, 3, 4, 0.3, 20)], """SELECT name AS feature, round(coalesce(sum(gain), 0), 0) AS importance
+        FROM (SELECT unnest(['hour_of_day', 'day_of_week', 'month', 'station_complex']) AS name, unnest(range(4)) AS f)
+        LEFT JOIN gains USING (f) GROUP BY name"""),
+    "gbt_tree_table": _with([*HOURLY_SPLIT, *_boosted(*FEW, 1, 8, 1.0, 20)],
+        "SELECT count(*) AS n_rows, round(avg(r), 4) AS value FROM t1_7 GROUP BY leaf"),
+    "gbt_next_draws": _next_draws(3),
     "gbt_prediction_rows": _with(HOURLY_SPLIT, """SELECT * REPLACE (round(pred_rolling_avg_24h, 6) AS pred_rolling_avg_24h),
         true AS predicted FROM predictions"""),
     "gbt_best_trial": BEST_TRIAL,

@@ -112,7 +112,7 @@ class Workspace:
         return self.parts()
 
     def tune(self, **options: object) -> DataFrame:
-        """Random search; stores the trial log and the best parameters."""
+        """Search; stores the trial log and the best parameters."""
         parts = self.parts()
         trials = self._store(model.search(parts["train"], parts["val"], self.spec, **options), "trials")
         best = model.best_params(trials)
@@ -150,7 +150,7 @@ class Workspace:
         return tables.read_metrics(self.spark, self.path("evaluation_metrics"))
 
     def importance(self) -> DataFrame:
-        return model.importance(model.load(self.path("model_final")), self.spec)
+        return model.importance(model.load(self.path("model_final")))
 
     def report(
         self, name: str, station: str | None = None, start: str | None = None, end: str | None = None

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.functions.timegrid import parse_timestamp
-from hourgrid.operators import baseline, clean, features, metrics, model, profile, reports, split
+from hourgrid.operators import baseline, clean, features, metrics, model, profile, reports, sampler, split
 from hourgrid.plans.pipeline import Prepared
 from hourgrid.sources import raw as raw_source
 from hourgrid.sources import tables
@@ -20,10 +19,11 @@ from hourgrid.staging import scratch_path, stage
 Query = Callable[[SparkSession, str], DataFrame]
 
 BASELINES = [baseline.naive_column(), baseline.rolling_column(HOURLY)]
-# `gbt_trials` runs the whole budget; the comparison of models tunes with fewer trials.
-METRICS_TRIALS = 2
-# One split: what SQL can follow.
-STUMP = model.BoostingParams(num_leaves=2, max_depth=1, n_estimators=1, min_data_in_leaf=1)
+# Trees that SQL can follow: one split, a tree of eight leaves, three trees of four.
+STUMP = model.BoostingParams(num_leaves=2, learning_rate=1.0, n_estimators=1, min_data_in_leaf=1)
+ONE_TREE = model.BoostingParams(num_leaves=8, learning_rate=1.0, n_estimators=1, min_data_in_leaf=20)
+FEW_TREES = model.BoostingParams(num_leaves=4, learning_rate=0.3, n_estimators=3, min_data_in_leaf=20)
+FEW_COLUMNS = ["hour_of_day", "day_of_week", "month", "station_complex"]
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -368,41 +368,64 @@ def _parts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return split.by_time(stage(_features(spark, folder), "features"), HOURLY)
 
 
-def _trials(parts: dict[str, DataFrame], n_trials: int = model.N_TRIALS) -> DataFrame:
-    return stage(model.search(parts["train"], parts["val"], HOURLY, n_trials=n_trials, parallelism=4), "trials")
+#: Results that several queries read, by application and folder.
+_shared: dict[tuple[str, str, str], object] = {}
 
 
-def _tuned(parts: dict[str, DataFrame]) -> model.DemandModel:
-    best = model.params_of(model.best_params(_trials(parts, METRICS_TRIALS)))
-    return model.fit_final(split.train_and_validation(parts), best, HOURLY)
+def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], object]):
+    """What `make` gives, computed by the first query that asks for it."""
+    key = spark.sparkContext.applicationId, folder, name
+    if key not in _shared:
+        _shared[key] = make()
+    return _shared[key]
+
+
+def _trials(spark: SparkSession, folder: str) -> DataFrame:
+    def run() -> DataFrame:
+        parts = _parts(spark, folder)
+        return stage(model.search(parts["train"], parts["val"], HOURLY), "trials")
+
+    return _once(spark, folder, "trials", run)
+
+
+def _models(spark: SparkSession, folder: str) -> dict[str, model.DemandModel]:
+    """The default model and the best of the whole search, both on train and validation."""
+
+    def run() -> dict[str, model.DemandModel]:
+        best = model.params_of(model.best_params(_trials(spark, folder)))
+        rows = split.train_and_validation(_parts(spark, folder))
+        fitted = model.fit_many(rows, [model.BoostingParams(), best], HOURLY, bagging=False)
+        return dict(zip(("pred_model_default", model.PREDICTION), fitted, strict=True))
+
+    return _once(spark, folder, "models", run)
 
 
 def gbt_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Default model and the best of a search against both baselines."""
-    parts = _parts(spark, folder)
-    fitted = {
-        "pred_model_default": model.fit_default(split.train_and_validation(parts), HOURLY),
-        model.PREDICTION: _tuned(parts),
-    }
-    predictions = stage(model.prediction_table(fitted, parts["test"], HOURLY), "predictions")
+    """Default model and the best of the search against both baselines."""
+    fitted = _models(spark, folder)
+    predictions = stage(model.prediction_table(fitted, _parts(spark, folder)["test"], HOURLY), "predictions")
     return metrics.compare_models(predictions, [*fitted, *BASELINES], (), HOURLY)
 
 
 def gbt_trials(spark: SparkSession, folder: str) -> DataFrame:
-    return _trials(_parts(spark, folder))
+    return _trials(spark, folder)
 
 
-def _default_model(parts: dict[str, DataFrame]) -> model.DemandModel:
-    return model.fit_default(split.train_and_validation(parts), HOURLY)
+def gbt_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of the tuned model and of the baselines on the test range."""
+    fitted = {model.PREDICTION: _models(spark, folder)[model.PREDICTION]}
+    return model.prediction_table(fitted, _parts(spark, folder)["test"], HOURLY)
 
 
-def gbt_predictions(spark: SparkSession, folder: str) -> DataFrame:
+def gbt_default_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Fit and predictions of the default model."""
     parts = _parts(spark, folder)
-    return model.prediction_table({model.PREDICTION: _default_model(parts)}, parts["test"], HOURLY)
+    fitted = model.fit_default(split.train_and_validation(parts), HOURLY)
+    return model.prediction_table({model.PREDICTION: fitted}, parts["test"], HOURLY)
 
 
 def gbt_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return model.importance(_default_model(_parts(spark, folder)), HOURLY)
+    return model.importance(_models(spark, folder)[model.PREDICTION])
 
 
 def actual_vs_predicted(spark: SparkSession, folder: str) -> DataFrame:
@@ -410,6 +433,41 @@ def actual_vs_predicted(spark: SparkSession, folder: str) -> DataFrame:
     return reports.actual_vs_predicted(predictions, [model.PREDICTION, *BASELINES], HOURLY)
 
 
+def _few(spark: SparkSession, folder: str, params: model.BoostingParams, columns: list[str]) -> tuple[DataFrame, model.DemandModel]:
+    rows = stage(split.train_and_validation(_parts(spark, folder)), "fit")
+    return rows, model.fit(rows, params, HOURLY, columns=columns)
+
+
+def _scored(rows: DataFrame, fitted: model.DemandModel, columns: list[str]) -> DataFrame:
+    return rounded(model.score(fitted, rows, spec=HOURLY).select(*columns, model.PREDICTION).distinct(), model.PREDICTION)
+
+
+def gbt_leafwise(spark: SparkSession, folder: str) -> DataFrame:
+    """One tree of eight leaves, split best first, over numbers and sets of stations."""
+    return _scored(*_few(spark, folder, ONE_TREE, FEW_COLUMNS), FEW_COLUMNS)
+
+
+def gbt_boosted(spark: SparkSession, folder: str) -> DataFrame:
+    """Three trees of four leaves, each on what the ones before it left."""
+    return _scored(*_few(spark, folder, FEW_TREES, FEW_COLUMNS), FEW_COLUMNS)
+
+
+def gbt_category_set(spark: SparkSession, folder: str) -> DataFrame:
+    """One split over stations alone: the two sets of least squared error."""
+    return _scored(*_few(spark, folder, STUMP, ["station_complex"]), ["station_complex"])
+
+
+def gbt_gain(spark: SparkSession, folder: str) -> DataFrame:
+    """Total gain of each feature in the three trees."""
+    return rounded(model.importance(_few(spark, folder, FEW_TREES, FEW_COLUMNS)[1]), "importance", digits=0)
+
+
+def gbt_tree_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves of the tree of eight as rows of the stored table: training rows and value."""
+    nodes = _few(spark, folder, ONE_TREE, FEW_COLUMNS)[1].table()
+    return rounded(nodes.where("feature is null").select("n_rows", "value"), "value", digits=4)
+
+
 def gbt_encoding(spark: SparkSession, folder: str) -> DataFrame:
     """Target means of the training rows, on the rows of the test range."""
     parts = _parts(spark, folder)
@@ -431,14 +489,8 @@ def _stump(parts: dict[str, DataFrame]) -> model.DemandModel:
 
 def gbt_stump(spark: SparkSession, folder: str) -> DataFrame:
     """One tree of one split over calendar columns: the two means that the best split by squared error gives."""
-    train = split.train_and_validation(_parts(spark, folder))
     names = HOURLY.calendar_columns
-    rows = VectorAssembler(inputCols=names, outputCol=model.FEATURES).transform(
-        train.withColumn(model.LABEL, F.col(HOURLY.target).cast("double"))
-    )
-    fitted = STUMP.regressor().fit(rows.select(model.LABEL, model.FEATURES))
-    scored = fitted.transform(rows).select(*names, model.PREDICTION).distinct()
-    return rounded(scored, model.PREDICTION)
+    return _scored(*_few(spark, folder, STUMP, names), names)
 
 
 def gbt_prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -448,10 +500,10 @@ def gbt_prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(table.withColumn("predicted", F.col(model.PREDICTION).isNotNull()).drop(model.PREDICTION), BASELINES[1])
 
 
-def gbt_best_trial(spark: SparkSession, folder: str) -> DataFrame:
-    """The winner of a trial log that is made from order lines."""
+def _made_up_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A trial log made from order lines."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    log = lines.groupBy((F.col("l_partkey") % 50).cast("int").alias("trial")).agg(
+    return lines.groupBy((F.col("l_partkey") % 50).cast("int").alias("trial")).agg(
         F.max("l_linenumber").cast("int").alias("num_leaves"),
         F.min("l_linenumber").cast("int").alias("max_depth"),
         F.max("l_discount").cast("double").alias("learning_rate"),
@@ -463,18 +515,34 @@ def gbt_best_trial(spark: SparkSession, folder: str) -> DataFrame:
         F.round(F.avg("l_quantity"), 3).alias("val_mae"),
         F.round(F.max("l_quantity"), 3).cast("double").alias("val_rmse"),
     )
-    return model.best_params(log)
+
+
+def gbt_best_trial(spark: SparkSession, folder: str) -> DataFrame:
+    """The winner of a trial log."""
+    return model.best_params(_made_up_log(spark, folder))
+
+
+def gbt_next_draws(spark: SparkSession, folder: str) -> DataFrame:
+    """The three next parameter sets after a log of 50 trials whose parameters are sums over order lines."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    log = lines.groupBy((F.col("l_partkey") % 50).cast("int").alias("trial")).agg(
+        (F.sum("l_linenumber") % 241 + 15).cast("int").alias("num_leaves"),
+        (F.exp(F.lit(-4.6) + (F.sum("l_suppkey") % 34) / 10)).alias("learning_rate"),
+        (F.lit(0.5) + (F.sum("l_orderkey") % 51) / 100).alias("feature_fraction"),
+        F.round(F.avg("l_quantity"), 3).cast("double").alias("val_mae"),
+    )
+    ranges = {p: model.SEARCH_RANGES[p] for p in ("num_leaves", "learning_rate", "feature_fraction")}
+    found = sampler.suggest(log, ranges, model.LOG_UNIFORM, model.WHOLE, draws=3)
+    return rounded(found, "learning_rate", "feature_fraction")
 
 
 def gbt_early_stop(spark: SparkSession, folder: str) -> DataFrame:
-    """Where patience ends a validation curve, for the daily totals of every order status as curves."""
+    """Where patience ends a validation curve, for the monthly totals of every order status as curves."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     curve = orders.groupBy("o_orderstatus", F.date_trunc("month", "o_orderdate").alias("m")).agg(
         F.round(F.avg("o_totalprice"), 2).alias("e")
     )
-    curves = curve.groupBy("o_orderstatus").agg(F.sort_array(F.collect_list(F.struct("m", "e"))).alias("c")).collect()
-    found = [(r.o_orderstatus, model.best_iteration([x.e for x in r.c], 10)) for r in curves]
-    return spark.createDataFrame(found, "o_orderstatus string, best_iteration int")
+    return model.best_iterations(curve, "o_orderstatus", "m", "e", patience=10)
 
 
 # Stored tables
@@ -611,7 +679,8 @@ QUERIES: dict[str, Query] = {
         hourly_profile, hourly_mean, weekday_hour_pivot, weekday_ratio, top_stations, top_stations_by_id,
         borough_totals, busiest_station, station_list, volatility, volatile_stations, summary, station_hourly,
         peak_hours, map_table, date_bounds, station_slice, crowding_alerts, baseline_series,
-        gbt_metrics, gbt_trials, gbt_importance, gbt_predictions, actual_vs_predicted,
+        gbt_metrics, gbt_trials, gbt_importance, gbt_predictions, gbt_default_predictions, actual_vs_predicted,
+        gbt_leafwise, gbt_boosted, gbt_category_set, gbt_gain, gbt_tree_table, gbt_next_draws,
         gbt_encoding, gbt_encoding_of_many, gbt_stump, gbt_prediction_rows, gbt_best_trial, gbt_early_stop,
         stored_features, stored_metrics, stored_params, stored_model,
         supplier_lineage, supplier_grid_totals,

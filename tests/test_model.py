@@ -1,5 +1,4 @@
 import json
-import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,9 +67,9 @@ def test_model_store(tmp_path, fitted, parts):
 
 
 def test_importance_covers_all_features(fitted):
-    rows = model.importance(fitted, SPEC).collect()
+    rows = model.importance(fitted).collect()
     assert sorted(r["feature"] for r in rows) == sorted(SPEC.feature_columns)
-    assert sum(r["importance"] for r in rows) == pytest.approx(1.0)
+    assert sum(r["importance"] for r in rows) == pytest.approx(sum(n[9] for n in fitted.nodes))
     assert [r["importance"] for r in rows] == sorted(r["importance"] for r in rows)
 
 
@@ -100,20 +99,6 @@ def test_many_stations_take_the_same_encoding(spark):
     assert encoder.columns(rows, SPEC).select("station_complex_mean").distinct().count() > 1900
 
 
-def test_growing_by_doubling_gives_the_whole_trial(parts):
-    encoder = model.fit_encoder(parts["train"], SPEC)
-    rows, checks = (encoder.encode(parts[p], SPEC).persist() for p in ("train", "val"))
-    params = model.BoostingParams(num_leaves=8, n_estimators=14, min_data_in_leaf=5, learning_rate=0.5)
-    whole = model.fit_trial(rows, checks, params, patience=14)
-    assert model.fit_trial(rows, checks, params, patience=3)["best_iteration"] <= 14
-    curve = params.regressor().fit(rows).evaluateEachIteration(checks, "absolute")
-    for patience in (1, 2, 3, 14):
-        got = model.fit_trial(rows, checks, params, patience=patience)
-        assert got["best_iteration"] == model.best_iteration(curve, patience)
-        assert got["val_mae"] == pytest.approx(curve[got["best_iteration"] - 1])
-    assert whole["val_mae"] == pytest.approx(min(curve))
-
-
 def test_patience():
     assert model.best_iteration([5, 4, 3, 3.5, 3.4, 2], patience=50) == 6
     assert model.best_iteration([5, 4, 3, 3.5, 3.4, 2], patience=2) == 3
@@ -126,14 +111,13 @@ def test_search_ranges_and_seed():
     for params in draws:
         for name, (low, high) in model.SEARCH_RANGES.items():
             assert low <= getattr(params, name) <= high
-        assert params.depth <= params.max_depth and params.depth <= math.ceil(math.log2(params.num_leaves))
 
 
 def test_search_logs_trials_and_best_parameters_survive_a_file(spark, tmp_path, parts):
     ranges = {"n_estimators": (2, 3), "max_depth": (2, 2), "learning_rate": (0.1, 0.3)}
-    trials = model.search(parts["train"], parts["val"], SPEC, n_trials=2, ranges=ranges, parallelism=2)
+    trials = model.search(parts["train"], parts["val"], SPEC, n_trials=5, ranges=ranges, startup=2, draws=2)
     rows = trials.orderBy("trial").collect()
-    assert [r["trial"] for r in rows] == [0, 1] and all(1 <= r["best_iteration"] <= r["n_estimators"] for r in rows)
+    assert [r["trial"] for r in rows] == [0, 1, 2, 3, 4] and all(1 <= r["best_iteration"] <= r["n_estimators"] for r in rows)
     best = model.best_params(trials)
     winner = min(rows, key=lambda r: r["val_mae"])
     assert best.first()["n_estimators"] == winner["best_iteration"]
@@ -146,10 +130,41 @@ def test_an_indented_parameter_file_is_read(spark, tmp_path):
               "feature_fraction": 0.75, "bagging_fraction": 0.5}
     (tmp_path / "best.json").write_text(json.dumps(stored, indent=2))
     params = model.params_of(tables.read_json(spark, str(tmp_path / "best.json"), model.PARAMS_SCHEMA))
-    assert params == model.BoostingParams(**stored) and params.depth == 4
+    assert params == model.BoostingParams(**stored)
 
 
 def test_stored_predictions_join_back(fitted, parts):
     table = model.prediction_table({"pred_model": fitted}, parts["test"], SPEC)
     joined = model.attach_predictions(parts["test"], table, SPEC)
     assert joined.count() == parts["test"].count() and "pred_model" in joined.columns
+
+
+def test_target_means_as_encoding(parts):
+    train = split.train_and_validation(parts)
+    fitted = model.fit(train, TINY, SPEC, encoding="means")
+    assert "station_complex_mean" in fitted.columns and not any(n[5] for n in fitted.nodes)
+    assert model.score(fitted, parts["test"], spec=SPEC).filter("pred_model IS NULL").count() == 0
+    with pytest.raises(ValueError, match="encoding"):
+        model.fit(train, TINY, SPEC, encoding="other")
+
+
+def test_a_model_with_an_encoder_is_stored(tmp_path, parts):
+    fitted = model.fit(parts["train"], TINY, SPEC, encoding="means")
+    model.save(fitted, str(tmp_path / "m"))
+    both = model.score(model.load(str(tmp_path / "m")), model.score(fitted, parts["test"], "a", SPEC), "b", SPEC)
+    assert both.filter("a <> b").count() == 0
+
+
+def test_best_iterations_over_a_table(spark):
+    curves = {"a": [5, 4, 3, 3.5, 3.4, 2], "b": [1.0], "c": [2, 2, 1, 1, 1, 0], "d": [3, 4, 4, 4, 2]}
+    rows = [(k, i, float(e)) for k, c in curves.items() for i, e in enumerate(c)]
+    table = spark.createDataFrame(rows, "k string, i int, e double")
+    for patience in (1, 2, 3, 50):
+        got = dict(values(model.best_iterations(table, "k", "i", "e", patience), "k", "best_iteration"))
+        assert got == {k: model.best_iteration(c, patience) for k, c in curves.items()}
+
+
+def test_many_trees_are_scored_outside_whole_stage_code(spark, parts):
+    fitted = model.fit(parts["train"], model.BoostingParams(num_leaves=31, n_estimators=60, min_data_in_leaf=2), SPEC)
+    assert fitted.n_trees == 60 and len(fitted.nodes) > 60 * 20
+    assert model.score(fitted, parts["test"], spec=SPEC).filter("pred_model IS NULL").count() == 0

@@ -12,7 +12,7 @@ from hourgrid.plans.queries import QUERIES
 duckdb = pytest.importorskip("duckdb")
 FOLDER = f"{DATA}/sf0.01"
 # Trees of many levels have no SQL; their parts have.
-TREES = {"gbt_metrics", "gbt_trials", "gbt_importance", "gbt_predictions", "actual_vs_predicted"}
+TREES = {"gbt_metrics", "gbt_trials", "gbt_importance", "gbt_predictions", "gbt_default_predictions", "actual_vs_predicted"}
 MEASURES = {"entries", "total_entries", "avg_entries", "upper_cap", "mae", "value", "transfers"}
 
 
