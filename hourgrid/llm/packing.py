@@ -9,6 +9,7 @@ fullest one when too many are open. What a task holds does not grow with its inp
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -34,20 +35,22 @@ class Encoder:
     """Token ids of a text by a byte-level vocabulary.
 
     `vocabulary` is the JSON file of the tokenizer; `ranks` the same vocabulary as ranks, from which the same ids come
-    several times faster. Text that looks like a special token is ordinary text.
+    several times faster. Texts that hold one of the file's added tokens are left to the JSON file, which reads them as such.
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str):
         self.vocabulary, self.whole = vocabulary, None
+        with open(vocabulary, encoding="utf-8") as file:
+            self.added = [t["content"] for t in json.load(file).get("added_tokens", ())]
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if len(text) > LONG_RUN and max(map(len, text.split()), default=0) > LONG_RUN:
+        long = len(text) > LONG_RUN and max(map(len, text.split()), default=0) > LONG_RUN
+        if long or any(token in text for token in self.added):
             if self.whole is None:
                 self.whole = Tokenizer.from_file(self.vocabulary)
-                self.whole.encode_special_tokens = True
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self.fast.encode_ordinary(text), "<u4")
 

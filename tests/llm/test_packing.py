@@ -13,18 +13,21 @@ SCHEMA = "doc_id bigint, text string"
 
 def ids_of(text):
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     return [*whole.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def test_ids_are_those_of_the_tokenizer(spark):
     encode = packing.Encoder(*ENCODER)
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(60).collect()
-    odd = ["", " ", "a" * 9000, "x  y\n\n z", "日本語 テキスト", "<|endoftext|> it's 12345", "  é\U0001f600"]
+    odd = ["", " ", "a" * 9000, "x  y\n\n z", "日本語 テキスト", "<|endoftext|> it's 12345", "a <|endoftext|> b", "<|endoftext|>" * 3, "<|endoftext" + "x" * 5000, "  é\U0001f600"]
     for text in [r.text for r in rows] + odd:
         assert encode(text).tolist() == ids_of(text)[:-1]
 
 
+def test_added_tokens_are_read_as_such():
+    assert packing.Encoder(*ENCODER)("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+
+
 def check_places(got, capacity):
     """Sequences are filled without gap or overlap."""
     places = {}
