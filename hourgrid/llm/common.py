@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.staging import scratch_path, stage
 
-__all__ = ["WordCodes", "arrow_rows", "column_or_null", "mix", "read", "scratch_path", "stage", "text_bytes"]
+__all__ = ["WordCodes", "arrow_rows", "column_or_null", "fresh", "mix", "read", "scratch_path", "stage", "text_bytes"]
 
 #: Words kept in a task's word-to-code cache; beyond it the cache starts anew, so memory stays bounded.
 CACHE_WORDS = 400_000
@@ -26,6 +26,17 @@ def column_or_null(df: DataFrame, name: str, kind: str):
     return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, each lengthened until no column of `df` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class WordCodes(dict):
     """64-bit code of a word, the same in every task."""
 

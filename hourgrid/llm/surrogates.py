@@ -2,31 +2,40 @@
 
 Mail addresses, phone numbers, network addresses, payment cards, bank accounts, identity numbers and names after a title
 are found by patterns. Every distinct value gets a surrogate from a keyed hash, so it is the same wherever the value
-stands; parts of names are values of their own, so a later mention by family name matches. Checks over the distinct
-values make sure that no two values share a surrogate and that none is itself a value of the data: the values
+stands. The words of a name are values of their own, whatever their case; in a text that names someone with a title,
+every further capitalised mention of one of these words is replaced as well, with or without a title. Checks over the
+distinct values make sure that no two values share a surrogate and that none is itself a value of the data: the values
 concerned take the next attempt. After some attempts surrogates grow, so there always is a free one.
 
 Only DataFrame functions are used. Texts are rewritten where they are read; only values that needed a further attempt
-are joined, to the texts that hold them.
+are joined, to the texts that hold them, and only texts with names are taken apart into words. Patterns repeat groups a
+bounded number of times, so no text makes them recurse; a mail address may have up to 126 labels.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import stage
+from hourgrid.llm.common import fresh, stage
 
 # Titles by gender, most used languages first.
 MALE = ("Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "г-н", "Κύριος", "Κος")
+NEUTRAL = ("Dr", "Doctor", "Prof", "Professor", "Rev", "Mx", "Доктор", "Профессор", "Δρ")
 FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Señorita", "Sra", "Srta", "Madame", "Mme", "Mlle", "Госпожа", "г-жа", "Κυρία", "Κα")
 
-_TITLES = "|".join(sorted(MALE + FEMALE, key=lambda t: (-len(t), t)))
-_WORD = r"\p{Lu}[\p{L}\p{M}'’-]*\p{Ll}[\p{L}\p{M}'’-]*"
+TITLES = sorted(MALE + FEMALE + NEUTRAL, key=lambda t: (-len(t), t))
+_TITLES = "|".join(TITLES)
+_LETTER = r"[\p{L}\p{M}'’-]"
+_WORD = rf"\p{{Lu}}{_LETTER}+"
+#: Where a run of letters begins or ends.
+EDGE = rf"(?<={_LETTER})(?!{_LETTER})|(?<!{_LETTER})(?={_LETTER})"
+POSSESSIVE = r"['’][sS]?$"
 PATTERNS = {
-    "mail": r"(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])",
+    "mail": r"(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}(?![\w-])",
     "account": r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])",
     "address": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\w]|\.[0-9])",
     "card": r"(?<![\w.+-])(?:(?:4[0-9]{3}|5[1-5][0-9]{2}|2[2-7][0-9]{2}|35[0-9]{2}|6[045][0-9]{2})(?:[ -]?[0-9]{4}){3}"
@@ -38,7 +47,7 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 #: Texts without this have nothing to find; it costs a fraction of the patterns.
-HINT = rf"[@0-9]|(?=[{''.join(sorted({t[0] for t in MALE + FEMALE}))}])(?:{_TITLES})\.? \p{{Lu}}"
+HINT = rf"[@0-9]|(?=[{''.join(sorted({t[0] for t in TITLES}))}])(?:{_TITLES})\.? \p{{Lu}}"
 #: Attempts in the exact shape of the value; further ones use more digits or letters, so no space is ever full.
 SHAPED = 8
 
@@ -52,10 +61,12 @@ SCRIPTS = {
     "greek": ("β γ δ ζ θ κ λ μ ν π ρ σ τ φ χ ψ".split(), "α ε η ι ο υ ω ου".split()),
 }
 ENDINGS = {
-    "latin": {"male": "n", "female": "na", "family": "r"},
-    "cyrillic": {"male": "н", "female": "на", "family": "р"},
-    "greek": {"male": "ος", "female": "ια", "family": "ης"},
+    "latin": {"male": "n", "female": "na", "given": "l", "family": "r"},
+    "cyrillic": {"male": "н", "female": "на", "given": "ль", "family": "р"},
+    "greek": {"male": "ος", "female": "ια", "given": "ι", "family": "ης"},
 }
+#: Kinds of the words of a name; a word that is a given name anywhere in a text is one in all of it.
+NAME_KINDS = ("male", "female", "given", "family")
 
 
 def spans(text: Column) -> Column:
@@ -78,15 +89,20 @@ def kind_of(value: Column) -> Column:
     )
 
 
+def stem(word: Column) -> Column:
+    """A name's word in small letters, without the ending of a possessive."""
+    return F.lower(F.regexp_replace(word, POSSESSIVE, ""))
+
+
 def parts_of(value: Column) -> Column:
-    """array<struct<kind, value>>: a name gives its title and words, anything else itself."""
+    """array<struct<kind, value>>: a name gives its title and words in small letters, anything else itself."""
     words = F.split(value, " ")
     title = F.regexp_replace(F.element_at(words, 1), r"\.$", "")
-    gender = F.when(title.isin(*FEMALE), "female").otherwise("male")
+    gender = F.when(title.isin(*FEMALE), "female").when(title.isin(*MALE), "male").otherwise("given")
     given = F.transform(
         words,
         lambda w, i: F.struct(
-            F.when(i == 0, "title").when(i == F.size(words) - 1, "family").otherwise(gender).alias("kind"), w.alias("value")
+            F.when(i == 0, "title").when(i == F.size(words) - 1, "family").otherwise(gender).alias("kind"), stem(w).alias("value")
         ),
     )
     alone = F.array(F.struct(kind_of(value).alias("kind"), value.alias("value")))
@@ -211,7 +227,7 @@ def _phone(value: Column, hexes: Column) -> Column:
 
 
 def _name(kind: Column, value: Column, hexes: Column, attempt: Column) -> Column:
-    """A made-up name of the script and gender; further attempts make it longer."""
+    """A made-up name of the script and gender in small letters; further attempts make it longer."""
     script = F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").when(value.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
     def made(name: str) -> Column:
@@ -227,9 +243,7 @@ def _name(kind: Column, value: Column, hexes: Column, attempt: Column) -> Column
             ending = F.when(kind == k, e).otherwise(ending)
         return F.concat(F.array_join(syllables, ""), ending)
 
-    low = F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
-    capital = value.rlike(r"^[^\p{Ll}]{2,}$")
-    return F.when(capital, F.upper(low)).otherwise(F.initcap(low))
+    return F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
 
 
 def _shaped(key: str, kind: Column, value: Column, attempt: Column, shape: Column) -> Column:
@@ -275,7 +289,7 @@ def attempts_of(values: DataFrame, key: str) -> DataFrame:
     `SHAPED` on every attempt has at least ten times the room of the one before (addresses: 156^4, then 16^24), so even
     values that fill their shape are settled after a few more.
     """
-    space = F.when(F.col("kind").isin("male", "female", "family"), "name").otherwise(F.col("kind"))
+    space = F.when(F.col("kind").isin(*NAME_KINDS), "name").otherwise(F.col("kind"))
     real = values.select(space.alias("space"), F.col("value").alias("surrogate")).distinct()
     waiting = values.withColumn("attempt", F.lit(0))
     kept = None
@@ -294,50 +308,104 @@ def attempts_of(values: DataFrame, key: str) -> DataFrame:
 
 
 def _rewritten(text: Column, found: Column, made) -> Column:
-    """`text` with each detected string replaced by what `made` gives for its parts."""
+    """`text` with each detected string but names replaced by what `made` gives for its kind and value."""
     between = F.split(text, ANY, -1)
-    new = F.transform(found, lambda s: F.array_join(F.transform(parts_of(s), lambda p: made(p["kind"], p["value"])), " "))
-    pieces = F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(new, i), F.lit(""))))
-    return F.array_join(pieces, "")
+    new = F.transform(found, lambda s: F.when(kind_of(s).isin("name", "other"), s).otherwise(made(kind_of(s), s)))
+    # Zipped: inside a lambda function the other list would be made anew for every piece.
+    return F.array_join(F.zip_with(between, new, lambda b, n: F.concat(b, F.coalesce(n, F.lit("")))), "")
+
 
+def _like_case(word: Column, name: Column) -> Column:
+    """The name in capitals if the word is, with the word's possessive ending."""
+    bare = F.regexp_replace(word, POSSESSIVE, "")
+    capital = bare.rlike(r"^[^\p{Ll}]{2,}$")
+    return F.concat(F.when(capital, F.upper(name)).otherwise(F.initcap(name)), F.regexp_extract(word, POSSESSIVE, 0))
 
-def replace(documents: DataFrame, key: str) -> DataFrame:
-    """`documents` with surrogates in `text`, and `n_entities`, the number of strings replaced.
 
-    Texts without personal data, empty and null ones stay as they are (null with 0 entities), and all other columns too.
-    Long numbers whose check digits are wrong are no cards or accounts and stay.
-    Repeated rows stay repeated and alike. An empty table gives no rows. A column that is named n_entities already is
-    replaced.
+def _named_texts(texts: DataFrame, moved: DataFrame, key: str) -> DataFrame:
+    """(id, text, n): texts (id, text, found, later) with names replaced wherever their words stand, and how many were.
+
+    The words of a text meet the names of that text by an equality of (id, word), so neither many names nor long texts
+    meet each other pair by pair.
     """
-    names = [c for c in documents.columns if c not in ("text", "n_entities")]
-    moved = attempts_of(stage(values_of(documents), "values"), key)
-    moved = stage(moved, "moved")
-    found = spans(F.col("text"))
-    base = documents.select(*names, "text", found.alias("_found"))
+    rank = F.array_position(F.array(*map(F.lit, NAME_KINDS)), F.col("p.kind"))
+    parts = texts.select("id", F.explode("found").alias("span")).where(kind_of(F.col("span")) == "name")
+    parts = parts.select("id", F.explode(parts_of(F.col("span"))).alias("p")).where(F.col("p.kind") != "title")
+    parts = parts.groupBy("id", F.col("p.value").alias("value")).agg(F.min(rank).cast("int").alias("rank"))
+    parts = parts.withColumn("kind", F.element_at(F.array(*map(F.lit, NAME_KINDS)), F.col("rank")))
+    parts = parts.join(moved, ["kind", "value"], "left").select(
+        "id", "value", surrogate(key, F.col("kind"), F.col("value"), F.coalesce("attempt", F.lit(0))).alias("name")
+    )
+    plain = _rewritten(F.col("text"), F.col("found"), lambda kind, value: _again(key, F.col("later"), kind, value))
+    words = texts.select("id", F.posexplode(F.split(plain, EDGE, -1)).alias("pos", "word"))
+    words = words.withColumn("value", F.when(F.col("word").rlike(r"^\p{Lu}"), stem(F.col("word"))))
+    new = words.join(parts, ["id", "value"], "left").select(
+        "id", "pos", F.when(F.col("name").isNotNull(), _like_case(F.col("word"), F.col("name"))).otherwise(F.col("word")).alias("word"),
+        F.col("name").isNotNull().alias("replaced"),
+    )
+    joined = new.groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("words"), F.count_if("replaced").cast("int").alias("names")
+    )
+    whole = F.array_join(F.transform("words", lambda w: w["word"]), "")
+    return joined.select("id", whole.alias("text"), F.col("names").alias("n"))
 
-    def first(kind: Column, value: Column) -> Column:
-        return surrogate(key, kind, value, 0)
 
-    def shown(df: DataFrame, made) -> DataFrame:
-        text = F.when(F.size("_found") > 0, _rewritten(F.col("text"), F.col("_found"), made)).otherwise(F.col("text"))
-        count = F.size(F.filter("_found", lambda s: kind_of(s) != "other"))
-        return df.select(*names, text.alias("text"), count.alias("n_entities"))
+def _again(key: str, later: Column, kind: Column, value: Column) -> Column:
+    """The surrogate of a value by the attempt that `later` lists for it."""
+    attempt = F.coalesce(F.try_element_at(later, F.concat_ws("\u0001", kind, value)), F.lit(0))
+    return surrogate(key, kind, value, attempt)
 
-    if moved.isEmpty():
-        return shown(base, first)
-    # Texts that hold a moved value, by hash; the others need no join.
-    parts = documents.select(F.xxhash64("text").alias("_text"), F.explode(found).alias("span"))
-    parts = parts.select("_text", F.explode(parts_of(F.col("span"))).alias("p")).select("_text", "p.kind", "p.value").distinct()
-    later = parts.join(moved, ["kind", "value"]).groupBy("_text").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\u0001", "kind", "value"), "attempt"))).alias("_later")
-    )
-    later = stage(later, "later")
 
-    def again(kind: Column, value: Column) -> Column:
-        attempt = F.coalesce(F.try_element_at(F.col("_later"), F.concat_ws("\u0001", kind, value)), F.lit(0))
-        return surrogate(key, kind, value, attempt)
+def replace(documents: DataFrame, key: str, count_column: str = "n_entities") -> DataFrame:
+    """`documents` with surrogates in `text`, and `count_column`, the number of strings replaced.
+
+    A name after a title is one string; each further mention of its words is another. Texts without personal data, empty and
+    null ones stay as they are (null with 0 entities), and all other columns too, whatever their names. Long numbers whose
+    check digits are wrong are no cards or accounts and stay. Repeated rows stay repeated and alike. An empty table
+    gives no rows. A column that is named as `count_column` already is replaced.
+    """
+    names = [c for c in documents.columns if c not in ("text", count_column)]
+    values = stage(values_of(documents), "values")
+    moved = stage(attempts_of(values, key), "moved")
+    id_, found_, later_ = fresh(documents, "text_id", "found", "later")
+    found = spans(F.col("text"))
+    base = documents.select(*names, "text", found.alias(found_))
 
-    keyed = base.withColumn("_text", F.xxhash64("text"))
-    held = shown(keyed.join(later, "_text"), again)
-    rest = shown(keyed.join(later.select("_text"), "_text", "left_anti"), first)
-    return rest.unionByName(held)
+    def shown(df: DataFrame, made) -> DataFrame:
+        text = F.when(F.size(found_) > 0, _rewritten(F.col("text"), F.col(found_), made)).otherwise(F.col("text"))
+        count = F.size(F.filter(found_, lambda s: kind_of(s) != "other"))
+        return df.select(*names, text.alias("text"), count.alias(count_column))
+
+    def first(df: DataFrame) -> DataFrame:
+        return shown(df, lambda kind, value: surrogate(key, kind, value, 0))
+
+    with_names = not values.where(F.col("kind").isin(*NAME_KINDS)).isEmpty()
+    if moved.isEmpty() and not with_names:
+        return first(base)
+    # Texts that hold a moved value or a name, by hash; the others need no join.
+    parts = documents.select(F.xxhash64("text").alias("id"), F.explode(found).alias("span"))
+    parts = parts.select("id", F.explode(parts_of(F.col("span"))).alias("p")).select("id", "p.kind", "p.value").distinct()
+    later = parts.join(moved, ["kind", "value"]).groupBy("id").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\u0001", "kind", "value"), "attempt"))).alias("later")
+    )
+    later = stage(later, "later")
+    out = []
+    if with_names:
+        # A pattern of its own tells quickly which texts may hold names.
+        may = F.coalesce(F.col("text").rlike(PATTERNS["name"]), F.lit(False))
+        named = base.where(may).withColumn(id_, F.xxhash64("text"))
+        texts = named.select(F.col(id_).alias("id"), "text", F.col(found_).alias("found")).dropDuplicates(["id"])
+        texts = stage(_named_texts(stage(texts.join(later, "id", "left"), "named"), moved, key), "renamed")
+        texts = texts.select(F.col("id").alias(id_), F.col("text").alias(later_), F.col("n").alias(count_column))
+        inside = F.transform(F.filter(found_, lambda s: kind_of(s) == "name"), lambda s: F.size(parts_of(s)) - 2)
+        count = F.size(F.filter(found_, lambda s: kind_of(s) != "other"))
+        single = F.size(F.filter(found_, lambda s: kind_of(s) == "name"))
+        extra = F.col(count_column) - F.aggregate(inside, F.lit(0), lambda a, x: a + x) - single
+        out.append(named.join(texts, id_).select(*names, F.col(later_).alias("text"), (count + extra).alias(count_column)))
+        base = base.where(~may)
+    if moved.isEmpty():
+        return reduce(DataFrame.unionByName, [first(base), *out])
+    keyed = base.withColumn(id_, F.xxhash64("text"))
+    held = later.select(F.col("id").alias(id_), F.col("later").alias(later_))
+    out.append(shown(keyed.join(held, id_), lambda kind, value: _again(key, F.col(later_), kind, value)))
+    return reduce(DataFrame.unionByName, [first(keyed.join(held.select(id_), id_, "left_anti")), *out])

@@ -132,3 +132,71 @@ def test_more_room_keeps_the_type(spark):
             assert r.s.startswith("DE") and int("".join(str(int(c, 36)) for c in whole)) % 97 == 1
         else:
             assert ":" in r.s if r.attempt >= 16 else all(0 <= int(x) <= 255 for x in r.s.split("."))
+
+
+def test_names_leave_no_mention_behind(spark):
+    texts = [
+        "Dr Smith met Mr. John Smith. Smith left. John Smith said Mr SMITH was late. Prof. Jones",
+        "JOHN spoke; Mr John Smith's car, Smith’s house, smith and Blacksmith stay. john.smith@x.org",
+        "Smith and John alone are not known.",
+        "Mr. Lee wrote to lee@x.org from 1.2.3.4. LEE!",
+    ]
+    got = replaced(spark, texts)
+    assert "Smith" not in got[0].text and "SMITH" not in got[0].text and "John" not in got[0].text and "Jones" not in got[0].text
+    family, given, same, also, again, capital, other = re.fullmatch(
+        r"Dr (\w+) met Mr\. (\w+) (\w+)\. (\w+) left\. (?:\w+) (\w+) said Mr ([A-Z]+) was late\. Prof\. (\w+)", got[0].text
+    ).groups()
+    assert family == same == also == again == capital.capitalize() != other and given.endswith("n") and family.endswith("r")
+    # Dr Smith, Mr. John Smith, Smith, John, Smith, Mr SMITH, Prof. Jones.
+    assert got[0].n_entities == 7
+    car = re.fullmatch(r"([A-Z]+) spoke; Mr (\w+) (\w+)'s car, (\w+)’s house, smith and Blacksmith stay\. (\S+)@(\w)\.org", got[1].text)
+    assert car and car[1].capitalize() == car[2] == given and car[3] == car[4] == family
+    assert got[2].text == texts[2] and got[2].n_entities == 0
+    lee = re.fullmatch(r"Mr\. (\w+) wrote to [a-z]{3}@[a-z]\.org from [0-9.]{7}\. ([A-Z]+)!", got[3].text)
+    assert lee and lee[1].upper() == lee[2] and got[3].n_entities == 4 and "lee" not in got[3].text.lower()
+
+
+def test_many_names_and_moved_names(spark, monkeypatch):
+    # One syllable pair only: all names of a kind meet until they grow.
+    monkeypatch.setattr(surrogates, "SCRIPTS", {k: ((v[0][:1] * 16), (v[1][:1] * 8)) for k, v in surrogates.SCRIPTS.items()})
+    people = [f"Mr. {a}o {b}er" for a in ("Al", "Ben", "Cal") for b in ("Fish", "Garn", "Hunt")]
+    texts = [f"{p}. Then {p.split()[2]} and {p.split()[1].upper()} at {i}.2.3.4." for i, p in enumerate(people)]
+    got = replaced(spark, texts)
+    pairs = {}
+    for i, person in enumerate(people):
+        given, family, again, loud = re.fullmatch(r"Mr\. (\w+) (\w+)\. Then (\w+) and ([A-Z]+) at [0-9.]+\.", got[i].text).groups()
+        assert family == again and given.upper() == loud and got[i].n_entities == 4
+        for old, new in zip(person.split()[1:], (given, family), strict=True):
+            assert pairs.setdefault(old, new) == new
+    assert len(set(pairs.values())) == len(pairs) == 6
+
+
+def test_worst_texts_for_the_patterns(spark):
+    """Runs on which a pattern could recurse or go back over and over."""
+    runs = ["a@" + "b." * 100_000 + "com", "a@" + "bb." * 100_000 + "com", "x" * 1_000_000, "@" * 200_000, "a.b" * 200_000 + "@",
+            "1." * 200_000, "1 " * 200_000, "+1 2" * 50_000, "DE89 " + "3704 " * 100_000, "4111 " * 100_000, "Mr " * 100_000,
+            "Mr. " + "A" * 500_000, "Mr. " + "Aa " * 100_000, "(212) " * 50_000, "123-45-" * 50_000, "Mr. Smith " + "Smith " * 50_000]
+    got = replaced(spark, runs)
+    assert all(got[i].text is not None for i in range(len(runs)))
+    assert got[0].text == runs[0] and got[2].text == runs[2] and "Smith" not in got[15].text
+    # The name after the title has three words.
+    assert got[15].n_entities == 1 + 50_001 - 3
+
+
+def test_any_column_name_is_kept(spark):
+    names = ["_text", "_found", "_later", "text_id", "found", "later", "id", "pos", "word", "kind", "value", "attempt", "surrogate", "N", "Found"]
+    schema = "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names if n != "Found")
+    own = [n for n in names if n != "Found"]
+    many = [f"{a}@{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    rows = [(i, f"Mr. John Smith, {v}", *(f"{n}{i}" for n in own)) for i, v in enumerate(many)]
+    got = surrogates.replace(spark.createDataFrame(rows, schema), "k").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert [r[n] for n in own] == [f"{n}{r.doc_id}" for n in own] and r.n_entities == 2 and "Smith" not in r.text
+    assert len({r.text for r in got}) == len(rows)
+
+
+def test_count_column(spark):
+    frame = spark.createDataFrame([(1, "a@b.org", 7)], "doc_id bigint, text string, n_entities int")
+    (row,) = surrogates.replace(frame, "k", "n_found").collect()
+    assert row.n_entities == 7 and row.n_found == 1
