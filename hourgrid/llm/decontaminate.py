@@ -15,7 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import stage
+from hourgrid.llm.common import fresh, stage
 
 #: Lists that are intersected before a phrase is compared as a whole.
 LISTS = 3
@@ -163,8 +163,9 @@ def _same(id_a: str, key_a: str, id_b: str, key_b: str) -> Column:
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of `documents` without a benchmark phrase, as they are."""
     phrases = stage(phrases_of(benchmark, window), "phrases")
-    hit = phrase_matches(documents, phrases).select(F.col("doc_id").alias("_hit_id"), F.col("key").alias("_hit_key")).distinct()
+    hit_id, hit_key = fresh(documents, "hit_id", "hit_key")
+    hit = phrase_matches(documents, phrases).select(F.col("doc_id").alias(hit_id), F.col("key").alias(hit_key)).distinct()
     hit = stage(hit, "contaminated")
     few = hit.count() <= BROADCAST_KEYS
-    same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (F.xxhash64("text") == F.col("_hit_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(hit_id)) & (F.xxhash64("text") == F.col(hit_key))
     return documents.join(F.broadcast(hit) if few else hit, same, "left_anti")

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import column_or_null, stage
+from hourgrid.llm.common import column_or_null, fresh, stage
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -285,8 +285,9 @@ BROADCAST_ROWS = 1_000_000
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """The rows of `documents` that are kept, as they are."""
-    rejected = judge(documents).where("not kept").select(F.col("doc_id").alias("_hit_id"), F.col("key").alias("_hit_key"))
+    hit_id, hit_key = fresh(documents, "hit_id", "hit_key")
+    rejected = judge(documents).where("not kept").select(F.col("doc_id").alias(hit_id), F.col("key").alias(hit_key))
     rejected = stage(rejected.distinct(), "rejected")
     few = rejected.count() <= BROADCAST_ROWS
-    same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (F.xxhash64("text") == F.col("_hit_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(hit_id)) & (F.xxhash64("text") == F.col(hit_key))
     return documents.join(F.broadcast(rejected) if few else rejected, same, "left_anti")
