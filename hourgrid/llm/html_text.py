@@ -3,9 +3,14 @@
 Every element gets the number of characters and tags below it and the part of both inside links. Its density is
 characters per tag, lowered by links with a logarithm whose base grows with the page's own share of link text. The
 element whose children have the largest sum of densities holds the text; it is widened to its ancestors as long as they
-are at least as dense as the body is, up to the enclosing article. Text may stand in several elements: the smallest
-density on the path from that element to the body is the threshold, and other articles, or without articles other
-elements of the body, that reach it give their text as well.
+are at least as dense as the body is. Text may stand in several elements: the smallest density on the path from that
+element to the body is the threshold, and other elements of the body that reach it give their text as well, and so do
+headings and paragraphs beside the path.
+
+Marked articles are believed where they hold a fair part of the text: the densest one counts, with siblings that are about as
+large. Small articles inside an article are reader comments or teasers. Names of elements say what is no text only where they
+are plain (comments, adverts, notices); others (menu, share, related) are evidence that must be borne out by links, and
+lower the density of what stands outside articles.
 
 Pages are read one by one, in a single pass over their markup; nothing grows with the table.
 """
@@ -44,11 +49,17 @@ SILENT = frozenset(
 FURNITURE = SILENT | frozenset("aside dialog fieldset footer form head label menu nav title".split())
 RAW = frozenset("iframe noscript script style textarea title xmp".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-_NAMES = (
-    "ads?|advert\\w*|banner|breadcrumbs?|comments?|consent|cookies?|disclaimer|disqus|footer|menu|modal|nav|navbar|"
-    "navigation|newsletter|notices?|popup|promo|promotion|related|replies|share|sharing|sidebar|social|sponsor\\w*|subscribe"
+_PLAIN_NAMES = (
+    "ads?|advert\\w*|banner|breadcrumbs?|\\w*comments?|cookies?|disclaimer|disqus|footer|newsletter|notices?|popup|promo|"
+    "replies|sidebar|sponsor\\w*|subscribe|(?:reader|user|visitor)s?[_-]?(?:letters|opinions?|posts|responses|reviews)"
 )
-NAMED = re.compile(rf"(?:^|[\s_-])(?:{_NAMES})(?:$|[\s_-])", re.I)
+NAMED = re.compile(rf"(?:^|[\s_-])(?:{_PLAIN_NAMES})(?:$|[\s_-])", re.I)
+_VAGUE_NAMES = "consent|legal|menu|modal|nav|navbar|navigation|promotion|related|share|sharing|social|teasers?"
+VAGUE = re.compile(rf"(?:^|[\s_-])(?:{_VAGUE_NAMES})(?:$|[\s_-])", re.I)
+#: Link share from which a vaguely named element is no text, and characters below which it is none outside articles.
+LINK_SHARE, SHORT = 0.25, 140
+#: Words of notices; a short block beside the text that has one is no text.
+NOTICE = re.compile(r"©|\(c\) ?[12][0-9]{3}|copyright|all rights reserved|privacy policy|terms of (?:use|service)|cookies", re.I)
 TOP_NAMED = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)
 #: A start tag ends an open element of these kinds, up to the nearest of the limits.
 ENDS = {
@@ -60,6 +71,9 @@ ENDS = {
     "th": (frozenset("td th".split()), frozenset("table tr".split())),
 }
 ARTICLE = frozenset("article main".split())
+TEXTUAL = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
+#: Part of the text that a marked article holds at least, and size of a sibling in articles.
+FAIR_PART, SIBLING_PART = 0.25, 0.5
 
 
 class Page:
@@ -74,6 +88,7 @@ class Page:
         self.skipped: list[str] = []
         self.held: list[str] = []
         self.links_open = 0
+        self.vague: set[int] = set()
         self._read(source)
 
     def _flush(self) -> None:
@@ -132,6 +147,13 @@ class Page:
                 return True
         return False
 
+    @staticmethod
+    def _vague(tag: str, rest: str) -> bool:
+        if tag in ("html", "body") or tag in ARTICLE or not rest:
+            return False
+        found = ((f["name"].lower(), f[2] or f[3] or f[4] or "") for f in ATTRIBUTE.finditer(rest))
+        return any(name in ("class", "id") and VAGUE.search(value) for name, value in found)
+
     def _start(self, tag: str, rest: str) -> None:
         closed = rest.endswith("/") or tag in VOID
         if self.skipped:
@@ -151,6 +173,8 @@ class Page:
             if not closed:
                 self.skipped.append(tag)
             return
+        if self._vague(tag, rest):
+            self.vague.add(len(self.tags))
         self.tags.append(tag)
         self.parents.append(self.stack[-1])
         for counts in (self.chars, self.linked):
@@ -203,22 +227,37 @@ class Page:
         self._flush()
 
     def text(self) -> str:
-        below = self._subtree(self._main())
+        chosen, dropped = self._main()
+        below = self._subtree(chosen, dropped)
         return "\n".join(text for i, text in self.blocks if i in below)
 
-    def _subtree(self, tops: set[int]) -> set[int]:
+    def _subtree(self, tops: set[int], without: set[int]) -> set[int]:
         inside = set(tops)
         for i in range(min(tops) + 1, len(self.tags)):
-            if self.parents[i] in inside:
+            if self.parents[i] in inside and i not in without:
                 inside.add(i)
-        return inside
+        return inside - without
+
+    def _articles(self) -> list[int]:
+        """The nearest article (or main without articles in the page) at or above each element, else 0."""
+        kinds = ("article",) if "article" in self.tags else ("main",)
+        near = [0] * len(self.tags)
+        for i in range(1, len(self.tags)):
+            near[i] = i if self.tags[i] in kinds else near[self.parents[i]]
+        return near
 
-    def _main(self) -> set[int]:
-        """The elements whose text is the page's."""
+    def _main(self) -> tuple[set[int], set[int]]:
+        """The elements whose text is the page's, and elements below them that are none."""
         n = len(self.tags)
         chars, linked, links, marks = self.chars[:], self.linked[:], self.links[:], [0] * n
+        article, dropped = self._articles(), set()
         for i in range(n - 1, 0, -1):
             p = self.parents[i]
+            if i in self.vague and (
+                linked[i] > LINK_SHARE * chars[i] or not article[i] and chars[i] < SHORT
+            ):
+                dropped.add(i)
+                chars[i] = linked[i] = 0
             chars[p] += chars[i]
             linked[p] += linked[i]
             links[p] += links[i]
@@ -233,7 +272,8 @@ class Page:
             base = math.log(chars[i] / plain * linked[i] + share * chars[i] + math.e)
             ratio = chars[i] / max(linked[i], 1) * many / max(links[i], 1)
             # Without links the base is e: the logarithm below stays defined for all link shares.
-            return chars[i] / many * max(math.log(max(ratio, 1.0)), 1e-9) / max(math.log(max(base, 1 + 1e-9)), 1.0)
+            dense = chars[i] / many * max(math.log(max(ratio, 1.0)), 1e-9) / max(math.log(max(base, 1 + 1e-9)), 1.0)
+            return dense / 4 if i in self.vague and not article[i] else dense
 
         dense = [density(i) for i in range(n)]
         sums = [0.0] * n
@@ -243,21 +283,22 @@ class Page:
         best = max((i for i in range(n) if self.tags[i] not in INLINE), key=lambda i: (sums[i], dense[i], -i))
         if not sums[best] and best:
             best = body
+        marked = self._marked(article, chars, sums, dense, dropped)
+        if marked and (article[best] or max(chars[i] for i in marked) >= FAIR_PART * chars[best]):
+            return marked, dropped
+
         path = [best]
         while path[-1] not in (0, body):
             path.append(self.parents[path[-1]])
         root, least = path[-1], min(dense[i] for i in path)
-        # From the top: the outermost article around each element, and its ancestors below the body no thinner than it.
-        article, wide = [0] * n, list(range(n))
+        if best == root:
+            return {best}, dropped
+        # From the top: the ancestors of each element below the body that are no thinner than it.
+        wide = list(range(n))
         for i in range(1, n):
             p = self.parents[i]
-            article[i] = article[p] or (i if self.tags[i] in ARTICLE else 0)
             if p > 0 and p != body and dense[p] >= dense[body]:
                 wide[i] = wide[p]
-        if article[best]:
-            return {article[best]} | {i for i in range(1, n) if article[i] == i and chars[i] and dense[i] >= least}
-        if best == root:
-            return {best}
         # From the bottom: the element of the largest sum in each.
         top = list(range(n))
         for i in range(n - 1, 0, -1):
@@ -271,8 +312,41 @@ class Page:
                 chosen.add(wide[top[i]])
         # Nothing left out: text between the elements belongs to them.
         if all(i in chosen for i in range(root + 1, n) if self.parents[i] == root and chars[i]):
-            return {root}
-        return chosen
+            chosen = {root}
+        # Headings, paragraphs and the like beside the path.
+        steps = {*path, *(self.parents[i] for i in chosen)} - {best}
+        for i in range(1, n):
+            if self.tags[i] in TEXTUAL and self.parents[i] in steps and chars[i] and linked[i] <= chars[i] / 2:
+                chosen.add(i)
+        words: dict[int, list[str]] = {}
+        for i, text in self.blocks:
+            while i and i != root:
+                if i in chosen and i != wide[best]:
+                    words.setdefault(i, []).append(text)
+                i = self.parents[i]
+        dropped |= {
+            i for i, texts in words.items() if chars[i] < chars[best] and chars[i] < 1000 and NOTICE.search(" ".join(texts))
+        }
+        return chosen, dropped
+
+    def _marked(self, article: list[int], chars: list[int], sums: list[float], dense: list[float], dropped: set[int]) -> set[int]:
+        """The densest article with its siblings of about its size; small articles inside articles are dropped."""
+        outer = set()
+        for i in range(1, len(self.tags)):
+            if article[i] != i or not chars[i]:
+                continue
+            around = article[self.parents[i]]
+            if around and chars[i] < SIBLING_PART * chars[around]:
+                dropped.add(i)
+            elif not around:
+                outer.add(i)
+        if not outer:
+            return outer
+        best = max(outer, key=lambda i: (max(sums[i], dense[i]), chars[i], -i))
+        return {
+            i for i in outer
+            if i == best or self.parents[i] == self.parents[best] and chars[i] >= SIBLING_PART * chars[best]
+        }
 
 
 def main_text(source: str | None) -> str:

@@ -94,3 +94,38 @@ def test_text_between_the_elements_of_the_body():
     block = f"<div>{f'<p>{paragraph}</p>' * 4}</div>"
     got = html_text.main_text(f"<html><body>{block}Loose text.{block}</body></html>")
     assert got.split("\n") == [paragraph.strip()] * 4 + ["Loose text."] + [paragraph.strip()] * 4
+
+
+PARAGRAPH = ("A paragraph of the article says what happened, when it did and why. " * 6).strip()
+
+
+def page(*parts):
+    return "<html><body>" + "".join(parts) + "</body></html>"
+
+
+@pytest.mark.parametrize(
+    "parts,want",
+    [
+        # One paragraph in the article and a notice of its length beside it.
+        ([f"<article><p>{PARAGRAPH}</p></article>", f"<div class='legal'><p>{PARAGRAPH[::-1]}</p></div>"], [PARAGRAPH]),
+        ([f"<div class='text'><p>{PARAGRAPH}</p></div>", f"<div class='legal'><p>{PARAGRAPH[:-1]}</p></div>"][:1], [PARAGRAPH]),
+        # Comments and teasers as articles.
+        ([f"<article><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></article>", "<section id='reader-opinions'><article><p>I think so too.</p></article></section>"], [PARAGRAPH] * 2),
+        ([f"<main><article><p>{PARAGRAPH}</p></article>", "<article class='card'><a href=x>More news of today</a></article>" * 5, "</main>"], [PARAGRAPH]),
+        ([f"<article><p>{PARAGRAPH}</p><article><p>A reader was there.</p></article></article>"], [PARAGRAPH]),
+        ([f"<article><p>{PARAGRAPH}</p><div class='usercomments'><p>{PARAGRAPH}</p></div></article>"], [PARAGRAPH]),
+        (["<article><a href=1>Card one of two</a></article>" * 2, f"<div><p>{PARAGRAPH}</p>" * 3, "</div>" * 3], [PARAGRAPH] * 3),
+        # Named sections of the article.
+        ([f"<article><p>{PARAGRAPH}</p><section id='related-work'><p>Others tried it.</p></section></article>"], [PARAGRAPH, "Others tried it."]),
+        ([f"<article><p>{PARAGRAPH}</p><div class='share prices'><p>Shares fell.</p></div></article>"], [PARAGRAPH, "Shares fell."]),
+        ([f"<article><section class='menu'><p>Soup, bread.</p></section><p>{PARAGRAPH}</p></article>"], ["Soup, bread.", PARAGRAPH]),
+        ([f"<article><p>{PARAGRAPH}</p><ul class='related'><li><a href=1>Read this</a><li><a href=2>And that</a></ul></article>"], [PARAGRAPH]),
+        # No article: what stands beside the text.
+        (["<h1>The title</h1>", f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>", "<p>The last words.</p>"], ["The title", PARAGRAPH, PARAGRAPH, "The last words."]),
+        (["<div><h1>The title</h1>", f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div></div>"], ["The title", PARAGRAPH, PARAGRAPH]),
+        ([f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>", "<div>© 2024 The company. All rights reserved.</div>"], [PARAGRAPH] * 2),
+        ([f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>", "<div><p>By reading this site, which is long and has many words to say it, you accept our terms of use and all else.</p></div>"], [PARAGRAPH] * 2),
+    ],
+)
+def test_density_decides_and_names_are_evidence(parts, want):
+    assert html_text.main_text(page(*parts)).split("\n") == want
