@@ -81,8 +81,8 @@ WHERE pa.page_id IS NULL OR pb.page_id IS NULL OR pa.h <> pb.h
 """
 
 
-def op7(rules: list[tuple[str, str]], limit: float, z: float, strengths: tuple[float, float], suffixes) -> str:
-    """Rules, and the shrinkage from suffix over domain to host."""
+def op7(rules: list[tuple[str, str]], tail: float, strengths: tuple[float, float], suffixes) -> str:
+    """Rules, and the shrinkage from suffix over domain to host; beta distributions as cells over the angle."""
     fits = []
     for verdict, rule in rules:
         name, _, rest = rule.partition("/")
@@ -140,13 +140,30 @@ seen AS (
 ),
 counted AS (SELECT host, domain, suffix, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad FROM placed LEFT JOIN seen USING (host)),
 everything AS (SELECT sum(n) AS n, sum(bad) AS bad, 0.5::DOUBLE AS prior, 1.0::DOUBLE AS strength FROM counted),{",".join(parts)},
-m_host AS (SELECT host, (bad + strength * prior) / (n + strength) AS prior, n + strength AS size FROM k_host),
+m_host AS (SELECT host, n, bad, bad + strength * prior AS a, n + strength - (bad + strength * prior) AS b FROM k_host),
+bounds AS (
+  SELECT *, greatest(asin(sqrt(a / (a + b))) - 4 / sqrt(a + b + 1), 0) AS lo,
+         least(asin(sqrt(a / (a + b))) + 4 / sqrt(a + b + 1), pi() / 2) AS hi FROM m_host
+),
+angles AS (SELECT *, (hi - lo) / 256 AS h, unnest(range(256)) AS k FROM bounds),
+logs AS (
+  SELECT *, (2 * a - 1) * ln(sin(lo + (k + 0.5::DOUBLE) * h)) + (2 * b - 1) * ln(cos(lo + (k + 0.5::DOUBLE) * h)) AS f FROM angles
+),
+cells AS (SELECT *, exp(f - max(f) OVER (PARTITION BY host)) AS w FROM logs),
+runs AS (
+  SELECT *, sum(w) OVER (PARTITION BY host ORDER BY k) AS run, {tail}::DOUBLE * sum(w) OVER (PARTITION BY host) AS goal FROM cells
+),
+known AS (
+  SELECT host, any_value(n) AS n, any_value(bad) AS bad, any_value(a / (a + b)) AS share,
+         arg_min(pow(sin(lo + (k + (goal - run + w) / w) * h), 2), k) AS low
+  FROM runs WHERE run >= goal GROUP BY host
+),
 rules AS ({" UNION ALL ".join(fits)}),
 best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM rules GROUP BY page_id)
 SELECT page_id, host, path, rule,
-       coalesce(action, CASE WHEN prior - {z} * sqrt(prior * (1 - prior) / (size + 1)) > {limit} THEN 'block' ELSE 'allow' END)
-         AS verdict
-FROM p JOIN m_host USING (host) LEFT JOIN best USING (page_id)
+       coalesce(action, CASE WHEN low > (SELECT sum(bad) / sum(n) FROM known) THEN 'block' ELSE 'allow' END) AS verdict,
+       round(share, 6) AS share, round(low, 6) AS low
+FROM p JOIN known USING (host) LEFT JOIN best USING (page_id)
 """
 
 

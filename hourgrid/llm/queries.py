@@ -35,9 +35,8 @@ ENCODER = (
     public_tokenizers.path("byte_bpe_50k.tiktoken"),
     public_tokenizers.PATTERN,
 )
-#: Hosts are blocked if more than this share of their pages is bad, by the lower posterior bound.
-LIMIT = 0.3
-Z = 1.645
+#: Hosts are blocked if the 5 % quantile of their share of bad pages lies above the share of all pages.
+TAIL = 0.05
 RULES = [
     ("allow", "com/"),
     ("block", "example.com/en/"),
@@ -101,8 +100,9 @@ def page_outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
-    judged = host_reputation.judge(read(spark, folder, "pages"), page_outcomes(spark, folder), RULES, LIMIT, Z)
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    judged = host_reputation.judge(read(spark, folder, "pages"), page_outcomes(spark, folder), RULES, None, TAIL)
+    shown = (F.round(c, 6).alias(c) for c in ("share", "low"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", *shown)
 
 
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,9 +169,7 @@ ORACLE: dict[str, str] = {
     "op2_substring_dedup": oracle.OP2,
     "op3_ngram_jaccard_join": oracle.OP3,
     "op4_merkle_fixity_audit": oracle.OP4,
-    "op7_host_reputation": oracle.op7(
-        RULES, LIMIT, Z, host_reputation.STRENGTH_RANGE, host_reputation.TWO_LABEL_SUFFIXES
-    ),
+    "op7_host_reputation": oracle.op7(RULES, TAIL, host_reputation.STRENGTH_RANGE, host_reputation.SUFFIXES),
     "op10_positional_index": oracle.OP10,
     "op11_hilbert_hard_negatives": oracle.OP11,
     "op12_filter_interaction_audit": oracle.OP12,

@@ -96,3 +96,35 @@ def test_edge_cases(spark):
     outcomes = spark.createDataFrame([(1, 1), (1, None), (None, 1), (77, 1)], OUTCOMES)
     got = host_reputation.judge(spark.createDataFrame(rows, schema), outcomes, RULES).collect()
     assert len(got) == 4 and {r.verdict for r in got} <= {"allow", "block"}
+
+
+def test_quantiles_of_beta_distributions(spark):
+    import random
+
+    draw = random.Random(3)
+    cases = [(1.0, 1.0), (2.0, 2.0), (0.4, 6.0), (3.5, 40.0), (300.0, 1700.0), (50_000.0, 950_000.0), (20.0, 0.7)]
+    frame = spark.createDataFrame(cases, "a double, b double")
+    for tail in (0.05, 0.5, 0.9):
+        for r in host_reputation.beta_quantile(frame, "a", "b", tail, "q").collect():
+            drawn = sorted(draw.betavariate(r.a, r.b) for _ in range(20_000))
+            below = sum(x <= r.q for x in drawn) / len(drawn)
+            assert abs(below - tail) < 0.02
+    exact = host_reputation.beta_quantile(frame, "a", "b", 0.05, "q").where("a = 1").first().q
+    assert abs(exact - 0.05) < 1e-4
+
+
+def test_without_a_limit_hosts_are_held_against_the_average(spark):
+    pages = [(i, f"http://h{i % 4}.org/{i}") for i in range(400)]
+    outcomes = [(i, int(i % 4 == 3 and i % 8 == 3 or i % 37 == 0)) for i in range(400)]
+    by_host = {r.host: r.verdict for r in judged(spark, pages, outcomes, limit=None).values()}
+    assert by_host == {"h0.org": "allow", "h1.org": "allow", "h2.org": "allow", "h3.org": "block"}
+    assert {r.verdict for r in judged(spark, pages, [], limit=None).values()} == {"allow"}
+
+
+def test_a_suffix_table_as_parameter(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame([("a.b.c.d.e",), ("c.d.e",), ("x.co.uk",)], "h string")
+    table = ("d.e", "c.d.e")
+    got = frame.select(host_reputation.domain_of(F.col("h"), table).alias("d"), host_reputation.suffix_of(F.col("h"), table).alias("s"))
+    assert [tuple(r) for r in got.collect()] == [("b.c.d.e", "c.d.e"), ("c.d.e", "c.d.e"), ("co.uk", "uk")]
