@@ -24,7 +24,7 @@ from hourgrid.llm import (
     surrogates,
     warc_fixity,
 )
-from hourgrid.llm.common import read
+from hourgrid.llm.common import read, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,22 +60,38 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
-def damaged(pages: DataFrame) -> DataFrame:
-    """A replica of `pages` with bytes changed, records cut short, lost and added, all by page_id."""
-    page, html = F.col("page_id"), F.col("html")
+def replicas(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`pages` as an archive, and a replica with bytes changed, records cut short, lost, added and moved, all by page_id."""
+    page, url, html = F.col("page_id").cast("bigint"), F.col("url"), F.col("html")
     changed = (
         F.when(page % 97 == 13, F.concat(F.lit("#"), F.substr(html, F.lit(2))))
         .when(page % 389 == 11, F.substr(html, F.lit(1), F.floor(F.length(html) / 2).cast("int")))
         .otherwise(html)
     )
-    kept = pages.where("page_id % 211 != 7").select("page_id", "url", changed.alias("html"))
-    added = pages.where("page_id % 307 = 5").select((-page - 1).alias("page_id"), "url", "html")
-    return kept.unionByName(added)
+    written = {
+        "": warc_fixity.record(page, url, html),
+        "_b": warc_fixity.record(page, url, changed),
+        "_new": F.when(page % 307 == 5, warc_fixity.record(-page - 1, url, html)),
+    }
+    rows = pages.select(
+        page.alias("number"),
+        *(F.octet_length(r).cast("bigint").alias(f"bytes{k}") for k, r in written.items()),
+        *(F.sha2(r, 256).alias(f"digest{k}") for k, r in written.items()),
+    )
+    first = stage(warc_fixity.laid_out(rows), "archive")
+    moved = F.when(F.col("number") % 401 == 9, F.col("offset") + 7).otherwise(F.col("offset")).alias("offset")
+    kept = first.where("number % 211 != 7").select("number", moved, F.col("bytes_b").alias("bytes"), F.col("digest_b").alias("digest"))
+    added = first.where("number % 307 = 5").select(
+        (-F.col("number") - 1).alias("number"),
+        (F.col("offset") + F.col("bytes")).alias("offset"),
+        F.col("bytes_new").alias("bytes"),
+        F.col("digest_new").alias("digest"),
+    )
+    return first.select("number", "offset", "bytes", "digest"), kept.unionByName(added)
 
 
 def op4_merkle_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
-    pages = read(spark, folder, "pages").select("page_id", "url", "html")
-    return warc_fixity.audit(warc_fixity.records(pages), warc_fixity.records(damaged(pages)))
+    return warc_fixity.audit(*replicas(read(spark, folder, "pages").select("page_id", "url", "html")))
 
 
 def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
