@@ -70,13 +70,59 @@ def test_contaminated_rows_go(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 2, 4]
 
 
-def test_proximity(spark):
-    docs = [(1, "alpha beta gamma delta"), (2, "alpha x beta y gamma delta"), (3, "alpha q q q q q q beta gamma"), (4, None)]
-    items = [(1, "alpha beta gamma delta")]
-    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
-    near = {r.doc_id for r in decontaminate.proximity_matches(*frames, window=4, slop=2).collect()}
-    exact = {r.doc_id for r in decontaminate.proximity_matches(*frames, window=4, slop=0).collect()}
-    assert near == {1, 2} and exact == {1}
+def near_brute(docs, items, window, slop, percent):
+    out = {}
+    for i, text in docs:
+        w = brute.plain_words(text)
+        for item, phrase in items:
+            v = brute.plain_words(phrase)
+            last = max(len(v) - window, 0)
+            for b in {*range(0, last + 1, window), last} if v else ():
+                own = v[b : b + window]
+                need = -(-percent * len(own) // 100)
+                for s in range(len(w)):
+                    n = sum(any(x == t for x in w[max(s + k - slop, 0) : max(s + k + slop + 1, 0)]) for k, t in enumerate(own))
+                    if n >= need:
+                        out[i, item] = max(out.get((i, item), 0), n)
+    return out
+
+
+def near(spark, docs, items, **how):
+    got = decontaminate.proximity_matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), **how).collect()
+    assert len(got) == len({(r.doc_id, r.key, r.item_id) for r in got})
+    return {(r.doc_id, r.item_id): r.n_places for r in got}
+
+
+@pytest.mark.parametrize("window,slop,percent", [(10, 3, 80), (4, 1, 75), (6, 0, 100), (3, 2, 50)])
+def test_proximity_with_changed_lost_and_moved_words(spark, window, slop, percent):
+    rng = random.Random(window)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 33)))) for i in range(10)] + [(90, None), (91, "... "), (92, "rare")]
+    docs = [(900, None), (901, ""), (902, "rare")]
+    for i in range(50):
+        own = rng.choice(items[:10])[1].split()
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(own))
+            kind = rng.randrange(4)
+            if kind == 0:
+                own[at] = f"unseen{i}"
+            elif kind == 1 and len(own) > 1:
+                del own[at]
+            elif kind == 2:
+                own.insert(at, rng.choice(words))
+            else:
+                other = min(at + rng.randrange(3), len(own) - 1)
+                own[at], own[other] = own[other], own[at]
+        docs.append((i, " ".join([rng.choice(words) for _ in range(rng.randrange(12))] + own + [rng.choice(words) for _ in range(5)])))
+    want = near_brute(docs, items, window, slop, percent)
+    assert len(want) > 15 and near(spark, docs, items, window=window, slop=slop, percent=percent) == want
+
+
+def test_a_changed_word_that_occurs_nowhere_and_three_words_of_ten(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = [(1, "x " + item.replace("five", "quux") + " y"), (2, "one two three and nothing else"), (3, item)]
+    assert near(spark, docs, [(7, item)]) == {(1, 7): 9, (3, 7): 10}
+    assert near(spark, docs, []) == near(spark, [], [(7, item)]) == {}
 
 
 def test_no_python_in_the_plan(spark, tmp_path):
