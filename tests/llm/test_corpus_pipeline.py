@@ -67,5 +67,5 @@ def test_whole_run_is_its_stages(spark, stages):
 
 
 def test_every_operator_has_its_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLE) <= set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLE) <= set(QUERIES)
     assert len(ENCODER) == 3 and decontaminate.LISTS >= 2
