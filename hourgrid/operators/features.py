@@ -77,6 +77,32 @@ def rolling_by_running_sum(w: int, window: WindowSpec) -> Column:
     return F.when(change(RUNNING_COUNT) == w, change(RUNNING_SUM) / w)
 
 
+def history_in_blocks(blocks: DataFrame, columns: list[str], exact: bool, spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """`columns`, lags and rolling means of the rows that a block owns.
+
+    The input has BLOCK, OWN and POSITION and, in front of a block's own rows, copies of the `spec.history` rows
+    before them. `exact` says that the target is whole, so that running sums may serve all windows.
+    """
+    window = _window(spec)
+    history = {spec.lag_name(k): lag_expr(spec, k, window) for k in spec.lags}
+    if exact and spec.windows:
+        sofar = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        blocks = blocks.withColumns({
+            RUNNING_SUM: F.coalesce(F.sum(spec.target).over(sofar), F.lit(0)),
+            RUNNING_COUNT: F.count(spec.target).over(sofar),
+        })
+        history |= {spec.rolling_name(w): rolling_by_running_sum(w, window) for w in spec.windows}
+    else:
+        history |= {spec.rolling_name(w): rolling_by_frame(spec, w, window) for w in spec.windows}
+    history["_before"] = F.lag(POSITION, 1).over(window)
+    consecutive = F.col("_before").isNull() | (F.col("_before") == F.col(POSITION) - 1)
+    checked = F.when(consecutive, F.col(OWN)).otherwise(
+        F.raise_error(F.concat(F.lit("series is not a gap-free grid: "), F.col(spec.series_id)))
+    )
+    with_history = blocks.withColumns(history)
+    return with_history.filter(checked).select(*columns, *spec.lag_columns, *spec.rolling_columns)
+
+
 def add_history(df: DataFrame, spec: DemandSpec = DemandSpec(), gap_free: bool = True) -> DataFrame:
     """Lags and rolling means of the target, counted in rows of the series.
 
@@ -91,27 +117,9 @@ def add_history(df: DataFrame, spec: DemandSpec = DemandSpec(), gap_free: bool =
         positioned = df.withColumn(POSITION, step_index(F.col(spec.ts), spec.step))
     else:
         positioned = _with_row_position(df, spec)
-    blocks = _in_blocks(positioned, spec)
-    window = _window(spec)
-    columns = {spec.lag_name(k): lag_expr(spec, k, window) for k in spec.lags}
     # Running sums are exact for whole numbers only.
     exact = isinstance(df.schema[spec.target].dataType, T.IntegralType)
-    if exact and spec.windows:
-        sofar = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        blocks = blocks.withColumns({
-            RUNNING_SUM: F.coalesce(F.sum(spec.target).over(sofar), F.lit(0)),
-            RUNNING_COUNT: F.count(spec.target).over(sofar),
-        })
-        columns |= {spec.rolling_name(w): rolling_by_running_sum(w, window) for w in spec.windows}
-    else:
-        columns |= {spec.rolling_name(w): rolling_by_frame(spec, w, window) for w in spec.windows}
-    columns["_before"] = F.lag(POSITION, 1).over(window)
-    with_history = blocks.withColumns(columns)
-    consecutive = F.col("_before").isNull() | (F.col("_before") == F.col(POSITION) - 1)
-    checked = F.when(consecutive, F.col(OWN)).otherwise(
-        F.raise_error(F.concat(F.lit("series is not a gap-free grid: "), F.col(spec.series_id)))
-    )
-    return with_history.filter(checked).select(*df.columns, *spec.lag_columns, *spec.rolling_columns)
+    return history_in_blocks(_in_blocks(positioned, spec), df.columns, exact, spec)
 
 
 def add_lags(df: DataFrame, spec: DemandSpec = DemandSpec(), gap_free: bool = True) -> DataFrame:
