@@ -217,23 +217,25 @@ def iqr_caps(grid: DataFrame, spec: DemandSpec = DemandSpec(), min_cap: float |
     return _caps(histogram.withColumn("n_zero", F.lit(0)), spec, min_cap)
 
 
-def iqr_caps_of_sums(
-    station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec(), min_cap: float | None = None
-) -> DataFrame:
-    """The same caps from the sums *before* the grid is completed.
+def value_counts(station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """How many sums of each station have each clipped value; counts of disjoint ranges of time add up.
 
-    Steps without taps are not generated to be counted: their number is the number of steps of all stations of the
-    series minus the sums that lie on the grid.
+    Sums that the grid cannot hold are listed with count 0, so that their series still gets its zeros.
     """
     counted = _has_station(spec) & on_grid(F.col(spec.ts), F.col(FIRST), spec.step)
-    # Sums that the grid cannot hold are listed with count 0, so that their series still gets its zeros.
     value = F.when(counted, clip_lower(F.coalesce(spec.target, F.lit(0)))).otherwise(0)
-    histogram = (
+    return (
         _with_first_step(station_step, bounds)
         .withColumns({"value": value.cast("bigint"), "counted": counted})
         .groupBy(*spec.station_keys, "value")
         .agg(F.count_if("counted").alias("n"))
     )
+
+
+def caps_of_counts(
+    histogram: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec(), min_cap: float | None = None
+) -> DataFrame:
+    """Caps from `value_counts` of the whole history."""
     # Stations of a series and its counted sums, in two levels so that no series is one task's work.
     per_station = histogram.groupBy(*spec.station_keys).agg(F.sum("n").alias("n"))
     per_series = per_station.groupBy(spec.series_id).agg(F.count(F.lit(1)).alias("tuples"), F.sum("n").alias("counted"))
@@ -241,6 +243,17 @@ def iqr_caps_of_sums(
     return _caps(histogram.join(per_series.select(spec.series_id, zeros), spec.series_id), spec, min_cap)
 
 
+def iqr_caps_of_sums(
+    station_step: DataFrame, bounds: DataFrame, spec: DemandSpec = DemandSpec(), min_cap: float | None = None
+) -> DataFrame:
+    """The same caps from the sums *before* the grid is completed.
+
+    Steps without taps are not generated to be counted: their number is the number of steps of all stations of the
+    series minus the sums that lie on the grid.
+    """
+    return caps_of_counts(value_counts(station_step, bounds, spec), bounds, spec, min_cap)
+
+
 def cap_outliers(df: DataFrame, caps: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """Lower the target to its series' cap. The second measure is never capped.
 
