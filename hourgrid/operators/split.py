@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.functions.timegrid import steps_between, timestamp_literal
@@ -138,6 +138,55 @@ def spec_with_cuts(
     return spec.with_(train_end=train_end, validation_end=str(second))
 
 
+def day_scores(
+    df: DataFrame, spec: DemandSpec = DemandSpec(), weeks: int = 4, limit: float = 4.0, floor: float = 0.01
+) -> DataFrame:
+    """One row per date: the network total, what is usual, and whether the day is unusual.
+
+    Usual is the lower median of the totals of the same weekday at most `weeks` weeks away, so week and season drop out.
+    A day is unusual if its relative deviation exceeds `limit` robust deviations: 1.4826 times the median absolute
+    deviation of all days, at least `floor`. Days with fewer rows than the fullest day are not whole: they count
+    neither as usual nor as unusual. The same holds for a day whose usual total is 0. One row per day of the calendar.
+    """
+    totals = daily_totals(df, spec).filter("date is not null")
+    whole = totals.filter(F.col("n_rows") == totals.agg(F.max("n_rows").alias("n")).scalar())
+    near = Window.partitionBy(F.weekday("date")).orderBy(F.unix_date("date")).rangeBetween(-7 * weeks, 7 * weeks)
+    sorted_totals = F.sort_array(F.collect_list("total_entries").over(near))
+    usual = F.element_at(sorted_totals, F.floor((F.size(sorted_totals) + 1) / 2).cast("int"))
+    scored = whole.withColumn("usual_entries", usual).withColumn(
+        "deviation", F.try_divide(F.col("total_entries") - F.col("usual_entries"), F.col("usual_entries"))
+    )
+    middle = scored.agg(F.median(F.abs("deviation")).alias("m"))
+    scale = F.greatest(F.lit(1.4826) * middle.scalar(), F.lit(floor))
+    unusual = F.coalesce(F.abs("deviation") > F.lit(limit) * scale, F.lit(False))
+    return scored.select("date", "total_entries", "usual_entries", "deviation", unusual.alias("unusual"))
+
+
+def quiet_cut(df: DataFrame, cut: str, spec: DemandSpec = DemandSpec(), ahead: int = 7, **how: float) -> DataFrame:
+    """One row: the proposed cut and the first midnight from it on that begins `ahead` days without an unusual one.
+
+    So a cut in the days after a holiday moves past the next holiday of the same season, and the part after it begins
+    in ordinary days. Without such a day in the data the proposed cut stays. `how` goes to `day_scores`.
+    """
+    scores = day_scores(df, spec, **how)
+    blocked = scores.filter("unusual").select(
+        F.explode(F.sequence(F.date_sub("date", ahead - 1), F.col("date"))).alias("date")
+    )
+    at = timestamp_literal(cut)
+    quiet = scores.filter(F.col("date").cast("timestamp_ntz") >= at).join(blocked, "date", "left_anti")
+    moved = F.coalesce(F.min("date").cast("timestamp_ntz"), at)
+    return quiet.agg(moved.alias("train_end")).select(at.alias("proposed"), "train_end")
+
+
+def spec_with_quiet_cuts(
+    df: DataFrame, fractions: tuple[float, float] = (0.8, 0.1), spec: DemandSpec = DemandSpec(), **how: float
+) -> DemandSpec:
+    """`spec_with_cuts` whose first cut keeps off unusual days by itself."""
+    proposed = str(proportional_cuts(df, fractions, spec).first()["train_end"])
+    row = quiet_cut(df, proposed, spec, **how).first()
+    return spec_with_cuts(df, fractions, spec, None if row["train_end"] == row["proposed"] else str(row["train_end"]))
+
+
 def daily_totals(df: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     """Network total per date: shows holidays near a cut point."""
     date = F.col(spec.ts).cast("date").alias("date")
