@@ -139,6 +139,36 @@ def _with(parts: list[str], query: str) -> str:
 
 
 ERRORS = "round(avg(abs(entries - p)), 6) AS mae, round(sqrt(avg((entries - p) * (entries - p))), 6) AS rmse"
+
+DATE_TOTALS = """SELECT CAST(transit_timestamp AS DATE) AS date, CAST(sum(entries) AS BIGINT) AS total_entries,
+  count(*) AS n_rows FROM cleaned GROUP BY 1"""
+
+def _quiet_days(limit: float = 4.0, weeks: int = 4) -> str:
+    return f"""
+days AS (SELECT * FROM ({DATE_TOTALS}) WHERE n_rows = (SELECT max(n_rows) FROM ({DATE_TOTALS}))),
+sorted AS (
+  SELECT a.date, any_value(a.total_entries) AS total_entries, list_sort(list(b.total_entries)) AS near
+  FROM days a JOIN days b ON abs(date_diff('day', a.date, b.date)) <= {7 * weeks} AND isodow(a.date) = isodow(b.date)
+  GROUP BY a.date),
+usual AS (SELECT date, total_entries, near[(len(near) + 1) // 2] AS usual_entries FROM sorted),
+deviations AS (
+  SELECT *, CASE WHEN usual_entries <> 0 THEN (total_entries - usual_entries) / usual_entries::DOUBLE END AS deviation FROM usual),
+scores AS (
+  SELECT *, coalesce(abs(deviation) > {limit}::DOUBLE * greatest(1.4826::DOUBLE
+      * (SELECT median(abs(deviation)) FROM deviations), 0.01::DOUBLE), false) AS unusual FROM deviations)
+"""
+
+
+def _quiet_cut(cut: str, ahead: int) -> str:
+    return f"""SELECT TIMESTAMP '{cut}' AS proposed, coalesce(CAST(min(s.date) AS TIMESTAMP), TIMESTAMP '{cut}') AS train_end
+  FROM scores s WHERE s.date >= TIMESTAMP '{cut}' AND NOT EXISTS (SELECT 1 FROM scores u
+    WHERE u.unusual AND u.date >= s.date AND date_diff('day', s.date, u.date) < {ahead})"""
+
+
+DAILY_VALIDATION = f"""SELECT {_rounded('rolling_mean_3d rolling_mean_7d').replace('* REPLACE', '* EXCLUDE (split) REPLACE')}
+  FROM labelled WHERE split = 'val'"""
+DAY_SCORES = "SELECT * REPLACE (round(deviation, 6) AS deviation) FROM scores"
+SKETCHED = "SELECT station_complex_id, q1, q3, true AS q1_within, true AS q3_within FROM caps"
 PROFILE = """SELECT count(*) AS n_rows, min(transit_timestamp) AS min_ts, max(transit_timestamp) AS max_ts,
   count(*) FILTER (transit_timestamp IS NULL) AS n_ts_parse_fail,
   count(DISTINCT station_complex_id) AS n_stations FROM raw"""
@@ -161,8 +191,6 @@ QUALITY = """SELECT count(*) AS n_rows,
 LINEAGE = """SELECT (SELECT count(*) FROM raw) AS n_raw, (SELECT count(*) FROM sums) AS n_station_step,
   count(*) AS n_grid, count(*) - (SELECT count(*) FROM sums) AS n_gaps_filled FROM grid"""
 TOTAL = "SELECT {key}, CAST(sum(entries) AS BIGINT) AS total_entries FROM cleaned GROUP BY 1"
-DATE_TOTALS = """SELECT CAST(transit_timestamp AS DATE) AS date, CAST(sum(entries) AS BIGINT) AS total_entries,
-  count(*) AS n_rows FROM cleaned GROUP BY 1"""
 
 SPLIT_CHECK = _with(HOURLY_SPLIT, """SELECT
         min(transit_timestamp) FILTER (split = 'train') AS train_first,
@@ -437,6 +465,16 @@ best AS (
     "supplier_lineage": _with([SUPPLIER_RAW, _prep("DAY")], LINEAGE),
     "supplier_grid_totals": _with([SUPPLIER_RAW, _prep("DAY")], """SELECT station_complex_id, count(*) AS n_days,
         count(*) FILTER (entries = 0) AS n_empty, CAST(sum(entries) AS BIGINT) AS total_entries FROM grid GROUP BY 1"""),
+    "monthly_updated": _with(DAILY_FEATURES, f"SELECT {_rounded('rolling_mean_3d rolling_mean_7d')} FROM features"),
+    "monthly_caps": _with(DAILY_CLEAN, "SELECT station_complex_id, upper_cap FROM caps"),
+    "monthly_range": _with(DAILY_SPLIT, DAILY_VALIDATION),
+    "monthly_computed_range": _with(DAILY_SPLIT, DAILY_VALIDATION),
+    "sketch_caps": _with(HOURLY_CLEAN, SKETCHED),
+    "daily_sketch_caps": _with(DAILY_CLEAN, SKETCHED),
+    "unusual_days": _with([*HOURLY_CLEAN, _quiet_days()], DAY_SCORES),
+    "daily_unusual_days": _with([*DAILY_CLEAN, _quiet_days()], DAY_SCORES),
+    "quiet_cut": _with([*HOURLY_CLEAN, _quiet_days()], _quiet_cut(HOURLY_CUTS[1], 2)),
+    "daily_quiet_cut": _with([*DAILY_CLEAN, _quiet_days()], _quiet_cut("2000-04-21 00:00:00", 7)),
     "daily_station_day": _with([DAILY_RAW, _prep("DAY")], "SELECT * FROM sums"),
     "daily_caps": _with(DAILY_CLEAN, CAPS),
     "daily_cleaned": _with(DAILY_CLEAN, "SELECT * FROM cleaned"),

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.functions.timegrid import parse_timestamp
-from hourgrid.operators import baseline, clean, features, metrics, model, profile, reports, sampler, split
+from hourgrid.operators import baseline, clean, features, metrics, model, onepass, profile, reports, sampler, sketches, split
+from hourgrid.plans.monthly import MonthlyStore
 from hourgrid.plans.pipeline import Prepared
 from hourgrid.sources import raw as raw_source
 from hourgrid.sources import tables
@@ -39,13 +40,18 @@ def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return _prepared(spark, folder).cleaned()
 
 
+def _features_of(prepared: Prepared, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Sums to features in one shuffle."""
+    return onepass.features_of_sums(prepared.sums, prepared.bounds, prepared.spec, start, end)
+
+
 def _features(spark: SparkSession, folder: str) -> DataFrame:
-    return features.build_features(_cleaned(spark, folder), HOURLY)
+    return _features_of(_prepared(spark, folder))
 
 
 def _test_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """Baseline predictions of the test range. Only this range and its look-back leave the cleaned table."""
-    test = features.build_features(_cleaned(spark, folder), HOURLY, start=HOURLY.validation_end)
+    """Baseline predictions of the test range. Only this range and its look-back are filled."""
+    test = _features_of(_prepared(spark, folder), start=HOURLY.validation_end)
     return baseline.baseline_predictions(test, HOURLY)
 
 
@@ -198,9 +204,7 @@ def features_by_row(spark: SparkSession, folder: str) -> DataFrame:
 
 def features_range(spark: SparkSession, folder: str) -> DataFrame:
     """Features of the validation range only, from this range and its look-back."""
-    part = features.build_features(
-        _cleaned(spark, folder), HOURLY, start=HOURLY.train_end, end=HOURLY.validation_end
-    )
+    part = _features_of(_prepared(spark, folder), HOURLY.train_end, HOURLY.validation_end)
     return rounded(part, *HOURLY.rolling_columns)
 
 
@@ -619,18 +623,18 @@ def _daily_capped(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_features(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(features.build_features(_daily_capped(spark, folder), DAILY), *DAILY.rolling_columns)
+    return rounded(_features_of(_daily(spark, folder)), *DAILY.rolling_columns)
 
 
 def daily_baseline_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    test = features.build_features(_daily_capped(spark, folder), DAILY, start=DAILY.validation_end)
+    test = _features_of(_daily(spark, folder), start=DAILY.validation_end)
     columns = [baseline.naive_column(), baseline.rolling_column(DAILY)]
     predictions = baseline.baseline_predictions(test, DAILY)
     return rounded(metrics.compare_models(predictions, columns, (), DAILY), "mae", "rmse")
 
 
 def daily_baseline_by_station(spark: SparkSession, folder: str) -> DataFrame:
-    test = features.build_features(_daily_capped(spark, folder), DAILY, start=DAILY.validation_end)
+    test = _features_of(_daily(spark, folder), start=DAILY.validation_end)
     columns = [baseline.naive_column(), baseline.rolling_column(DAILY)]
     predictions = baseline.baseline_predictions(test, DAILY)
     return rounded(metrics.compare_models(predictions, columns, [DAILY.series_id], DAILY), "mae", "rmse")
@@ -659,7 +663,7 @@ def daily_network_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_split_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return split.split_counts(stage(features.build_features(_daily_capped(spark, folder), DAILY), "features"), DAILY)
+    return split.split_counts(stage(_features_of(_daily(spark, folder)), "features"), DAILY)
 
 
 def daily_volatility(spark: SparkSession, folder: str) -> DataFrame:
@@ -667,6 +671,90 @@ def daily_volatility(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(table, "avg_entries", "std_entries", "cv")
 
 
+# Stored by month, taken in batches
+
+
+#: Order lines shipped before this day are the first batch.
+BATCH_CUT = "2000-05-17 00:00:00"
+
+
+def _monthly(spark: SparkSession, folder: str) -> MonthlyStore:
+    """Daily units in two batches."""
+
+    def build() -> MonthlyStore:
+        store = MonthlyStore(spark, scratch_path(spark, "monthly"), DAILY)
+        lines = daily_units(spark, folder)
+        early = F.col(DAILY.ts) < F.lit(BATCH_CUT).cast("timestamp_ntz")
+        store.update(lines.filter(early), "first")
+        store.update(lines.filter(~early), "second")
+        return store
+
+    return _once(spark, folder, "monthly", build)
+
+
+def monthly_updated(spark: SparkSession, folder: str) -> DataFrame:
+    """Features after an update: those of all rows."""
+    return rounded(_monthly(spark, folder).features(), *DAILY.rolling_columns)
+
+
+def monthly_caps(spark: SparkSession, folder: str) -> DataFrame:
+    """Caps from the counts that are stored by month."""
+    return _monthly(spark, folder).caps()
+
+
+def monthly_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored features of the validation range: only its months are read."""
+    return rounded(_monthly(spark, folder).features(DAILY.train_end, DAILY.validation_end), *DAILY.rolling_columns)
+
+
+def monthly_computed_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of the validation range from the sums of its months and its look-back."""
+    part = _monthly(spark, folder).compute_features(DAILY.train_end, DAILY.validation_end)
+    return rounded(part, *DAILY.rolling_columns)
+
+
+# Caps from sketches
+
+
+def _caps_checked(prepared: Prepared) -> DataFrame:
+    """Exact quartiles, and whether those of merged monthly sketches are within the stated error of rank."""
+    stored = stage(sketches.value_sketches(prepared.sums, prepared.bounds, prepared.spec), "sketches")
+    counts = clean.value_counts(prepared.sums, prepared.bounds, prepared.spec)
+    errors = sketches.rank_errors(sketches.caps_of_sketches(stored, prepared.bounds, prepared.spec), counts, prepared.bounds, prepared.spec)
+    exact = prepared.caps().select(prepared.spec.series_id, "q1", "q3")
+    bound = sketches.rank_error_bound()
+    within = [(F.col(f"{q}_error") <= bound).alias(f"{q}_within") for q in ("q1", "q3")]
+    return exact.join(errors, prepared.spec.series_id).select(*exact.columns, *within)
+
+
+def sketch_caps(spark: SparkSession, folder: str) -> DataFrame:
+    return _caps_checked(_prepared(spark, folder))
+
+
+def daily_sketch_caps(spark: SparkSession, folder: str) -> DataFrame:
+    return _caps_checked(_daily(spark, folder))
+
+
+# A cut that keeps off holidays
+
+
+def unusual_days(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(split.day_scores(_cleaned(spark, folder), HOURLY), "deviation")
+
+
+def daily_unusual_days(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(split.day_scores(_daily_capped(spark, folder), DAILY), "deviation")
+
+
+def quiet_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """The second cut, which lies before an unusual day, moves past it."""
+    return split.quiet_cut(_cleaned(spark, folder), HOURLY.validation_end, HOURLY, ahead=2)
+
+
+def daily_quiet_cut(spark: SparkSession, folder: str) -> DataFrame:
+    return split.quiet_cut(_daily_capped(spark, folder), "2000-04-21 00:00:00", DAILY)
+
+
 QUERIES: dict[str, Query] = {
     **{f.__name__: f for f in (
         profile_raw, parsed_times, profile_rollup, exclude_rows, station_hour, station_locations, location_points, reindexed,
@@ -687,6 +775,8 @@ QUERIES: dict[str, Query] = {
         daily_station_day, daily_caps, daily_cleaned, daily_features, daily_baseline_metrics, daily_split_counts,
         daily_volatility, daily_baseline_by_station, daily_quality_counts, daily_lineage, daily_top_stations,
         daily_borough_totals, daily_network_totals,
+        monthly_updated, monthly_caps, monthly_range, monthly_computed_range,
+        sketch_caps, daily_sketch_caps, unusual_days, daily_unusual_days, quiet_cut, daily_quiet_cut,
     )},
     "features": feature_table,
 }
