@@ -24,7 +24,9 @@ HEADLINE = (
     "hourly_profile", "weekday_hour_pivot", "top_stations", "volatility", "peak_hours", "map_table", "station_slice",
     "crowding_alerts", "summary", "gbt_encoding_of_many", "gbt_default_predictions", "gbt_boosted",
     "daily_station_day", "daily_caps", "daily_cleaned", "daily_features", "daily_baseline_metrics", "daily_volatility",
-    "daily_borough_totals", "supplier_grid_totals",
+    "daily_borough_totals", "supplier_grid_totals", "supplier_features",
+    # The first of these builds the store by month in two batches, the others read ranges of it.
+    "monthly_updated", "monthly_range", "monthly_computed_range",
     # The first of these runs the search of 18 trials, the second the final fit; the last reads what they stored.
     "gbt_trials", "gbt_predictions", "gbt_metrics",
 )

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import argparse
 
-from hourgrid.operators.split import spec_with_cuts
+from hourgrid.operators.split import spec_with_cuts, spec_with_quiet_cuts
+from hourgrid.plans.monthly import MonthlyStore
 from hourgrid.plans.pipeline import Workspace
 from hourgrid.session import get_spark
 from hourgrid.sources.raw import read_raw
 from hourgrid.spec import DemandSpec
 
-STAGES = ("prepare", "features", "split", "tune", "train", "baseline", "predict", "evaluate", "report")
+STAGES = ("prepare", "features", "split", "tune", "train", "baseline", "predict", "evaluate", "report", "update")
 
 
 def _spec(args: argparse.Namespace) -> DemandSpec:
@@ -29,7 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="hourgrid")
     parser.add_argument("stage", choices=STAGES)
     parser.add_argument("--out", required=True, help="folder of stored tables, shared by all executors")
-    parser.add_argument("--raw", help="raw CSV file or folder (stage prepare)")
+    parser.add_argument("--raw", help="raw CSV file or folder (stages prepare, update)")
+    parser.add_argument("--batch", help="name of the batch; a batch that is taken again replaces itself (stage update)")
     parser.add_argument("--name", default="summary", help="report name (stage report)")
     parser.add_argument("--trials", type=int, default=18, help="search budget (stage tune)")
     parser.add_argument("--startup", type=int, default=10, help="random trials before the model-based ones (stage tune)")
@@ -39,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--train-end", help="first time after the training part")
     parser.add_argument("--validation-end", help="first time after the validation part")
     parser.add_argument("--proportional", action="store_true", help="cut points by shares of the time range (stage split)")
+    parser.add_argument("--off-holidays", action="store_true", help="move the first of these cuts past unusual days")
     parser.add_argument("--exclude", action="append", metavar="COLUMN=VALUE,...", help="rows to drop; replaces the default")
     parser.add_argument("--latest-attributes", action="store_true", help="ids take the attributes of their latest step")
     args = parser.parse_args(argv)
@@ -50,11 +53,20 @@ def main(argv: list[str] | None = None) -> None:
         work.prepare(read_raw(spark, args.raw, spec=work.spec), args.latest_attributes)
         for name in ("profile", "unread", "ambiguous", "off_grid", "quality", "lineage"):
             work.table(name).show(truncate=False)
+    elif args.stage == "update":
+        if not (args.raw and args.batch):
+            parser.error("--raw and --batch are needed for update")
+        update = MonthlyStore(spark, work.path("monthly"), work.spec).update(read_raw(spark, args.raw, spec=work.spec), args.batch)
+        print(f"months in the batch: {len(update.touched)}, built again: {', '.join(map(str, update.rebuilt)) or 'none'}")
     elif args.stage == "features":
         work.build_features()
         work.table("feature_counts").show(truncate=False)
     elif args.stage == "split":
-        if args.proportional:
+        if args.off_holidays and (args.train_end or not args.proportional):
+            parser.error("--off-holidays moves the cut of --proportional and takes no --train-end")
+        if args.off_holidays:
+            work.spec = spec_with_quiet_cuts(work.table("features"), spec=work.spec)
+        elif args.proportional:
             work.spec = spec_with_cuts(work.table("features"), spec=work.spec, train_end=args.train_end)
         work.split()
         work.table("split_counts").show(truncate=False)

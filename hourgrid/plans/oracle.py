@@ -465,6 +465,11 @@ best AS (
     "supplier_lineage": _with([SUPPLIER_RAW, _prep("DAY")], LINEAGE),
     "supplier_grid_totals": _with([SUPPLIER_RAW, _prep("DAY")], """SELECT station_complex_id, count(*) AS n_days,
         count(*) FILTER (entries = 0) AS n_empty, CAST(sum(entries) AS BIGINT) AS total_entries FROM grid GROUP BY 1"""),
+    "supplier_features": _with(
+        [SUPPLIER_RAW, _prep("DAY"), CAPPED, _history("cleaned", (1, 7, 28), (3, 7), "d")],
+        """SELECT station_complex_id, count(*) AS n_rows, CAST(sum(entries) AS BIGINT) AS total_entries,
+        CAST(sum(lag_28d) AS BIGINT) AS total_lag, round(sum(rolling_mean_7d), 3) AS total_mean FROM features GROUP BY 1""",
+    ),
     "monthly_updated": _with(DAILY_FEATURES, f"SELECT {_rounded('rolling_mean_3d rolling_mean_7d')} FROM features"),
     "monthly_caps": _with(DAILY_CLEAN, "SELECT station_complex_id, upper_cap FROM caps"),
     "monthly_range": _with(DAILY_SPLIT, DAILY_VALIDATION),

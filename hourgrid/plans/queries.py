@@ -606,6 +606,20 @@ def supplier_grid_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def supplier_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of sparse series, summed per supplier."""
+    return rounded(
+        _features_of(_sparse(spark, folder)).groupBy(DAILY.series_id).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum("entries").alias("total_entries"),
+            F.sum("lag_28d").alias("total_lag"),
+            F.sum("rolling_mean_7d").alias("total_mean"),
+        ),
+        "total_mean",
+        digits=3,
+    )
+
+
 def daily_station_day(spark: SparkSession, folder: str) -> DataFrame:
     return clean.to_station_step(daily_units(spark, folder), DAILY)
 
@@ -771,7 +785,7 @@ QUERIES: dict[str, Query] = {
         gbt_leafwise, gbt_boosted, gbt_category_set, gbt_gain, gbt_tree_table, gbt_next_draws,
         gbt_encoding, gbt_encoding_of_many, gbt_stump, gbt_prediction_rows, gbt_best_trial, gbt_early_stop,
         stored_features, stored_metrics, stored_params, stored_model,
-        supplier_lineage, supplier_grid_totals,
+        supplier_lineage, supplier_grid_totals, supplier_features,
         daily_station_day, daily_caps, daily_cleaned, daily_features, daily_baseline_metrics, daily_split_counts,
         daily_volatility, daily_baseline_by_station, daily_quality_counts, daily_lineage, daily_top_stations,
         daily_borough_totals, daily_network_totals,

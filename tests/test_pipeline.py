@@ -84,3 +84,17 @@ def test_ids_with_several_names_are_named_or_take_the_latest(spark, tmp_path, ra
     assert work.table("ambiguous").count() == 0
     names = work.build_features().select("station_complex").distinct().collect()
     assert [r[0] for r in names] == ["new"] and work.table("cleaned").count() == 300
+
+
+def test_update_and_quiet_cuts_on_the_command_line(spark, tmp_path, raw_table, capsys):
+    rows = raw_table([(h, "1", 5 + h % 7, 0) for h in range(40 * 24)])
+    late = rows.filter(F.col("transit_timestamp") >= F.lit("2024-02-01").cast("timestamp_ntz"))
+    out = ["--out", str(tmp_path / "work")]
+    for name, part in (("all", rows), ("late", late)):
+        write_raw_csv(part, str(tmp_path / name))
+        main(["update", *out, "--raw", str(tmp_path / name), "--batch", name])
+    assert "built again: 2024-02-01" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["update", *out, "--raw", str(tmp_path / "all")])
+    with pytest.raises(SystemExit):
+        main(["split", *out, "--off-holidays"])
