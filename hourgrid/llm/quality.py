@@ -3,7 +3,12 @@
 Statistics become a vector: the logarithm of the mean word length, and the angles asin(sqrt(p)) of the shares of symbol
 characters, repeated words and repeated lines. For each group the minimum covariance determinant estimate is found by
 concentration steps from deterministic starts: the mean and covariance of the `SUPPORT` nearest rows give new distances,
-and so on; the start that ends with the smallest determinant wins. Rows beyond the chi-square quantile are rejected.
+and so on until nothing moves; the start that ends with the smallest determinant wins. All rows that it accepts are then
+weighed in once more. Rows beyond the chi-square quantile of the final estimate are rejected.
+
+Most texts have no symbols and repeat nothing, so shares have two parts: zeros, and values whose scatter is that of the
+accepted rows that have any. A statistic of a short text is noisy by itself: its deviation counts in units of the scatter
+of the group or of the text's own sampling noise, whichever is larger. No scale is a constant.
 
 Only DataFrame functions are used. A group is seen through sums and histograms of distances, which are partial before
 their shuffle, so a source with a third of all rows costs no more than any other. Vectors are whole thousandths and
@@ -29,15 +34,23 @@ REPEATED_PERCENT = 50
 SUPPORT = 0.75
 #: Rows a group needs for an estimate of its own; smaller ones use that of their language, then of all rows.
 GROUP_ROWS = 60
-STEPS = 6
+#: Concentration steps end when no estimate moves, or after so many.
+STEPS = 12
 #: Chi-square probability beyond which a clean vector of a normal group lies rarely.
 CUTOFF_TAIL = 0.001
-#: Least standard deviation of each part of the vector, at the grain of the data; above it the scatter of a group decides.
-#: Word length: that of the mean of 270 words, a median text, whose lengths vary by half their mean. Symbols: one in 2,500
-#: characters. Most rows of a group repeat nothing, so its nearest rows show no scatter of repeats, while single repeated
-#: lines are common: there it is the largest scale, in hundredths, at which a text that repeats half of its lines
-#: (asin(sqrt(0.5)) = 0.785) lies beyond the quantile by this part alone.
-FEATURES = {"word_length": 0.03, "symbol_share": 0.02, "repeat_share": 0.18, "line_share": 0.18}
+#: Sampling variance of each part of the vector: this number divided by a count of the text; for the word length, times the
+#: relative variance of word lengths within the texts of the group. A share of independent units has 1 / (4 n) as an
+#: angle; symbols come some 4 together, repeated words 12 (six words, twice), lines alone.
+FEATURES = {
+    "word_length": (1.0, "n_words"),
+    "symbol_share": (1.0, "word_chars"),
+    "repeat_share": (3.0, "n_words"),
+    "line_share": (0.25, "n_lines"),
+}
+#: Parts that are zero in most texts.
+SHARES = ("symbol_share", "repeat_share", "line_share")
+#: Rows that the sampling noise counts as in the scatter of the values above zero.
+PRIOR_ROWS = 10
 UNIT = 1000
 DISTANCE_BINS = 512
 
@@ -46,7 +59,8 @@ DISTANCE_BINS = 512
 
 
 def statistics(documents: DataFrame) -> DataFrame:
-    """doc_id, key, lang, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words of every row.
+    """doc_id, key, lang, source, n_words, word_chars, squares (of word lengths), n_symbols, n_lines, n_dup_lines,
+    n_repeat_words of every row.
 
     Null and empty texts have no words; `lang` or `source` may be missing or null. Rows stay as often as they come.
     """
@@ -80,6 +94,8 @@ def statistics(documents: DataFrame) -> DataFrame:
     widths = F.transform("p", lambda x, j: F.least(F.lit(3), F.coalesce(F.get("p", j + 1) - x, F.lit(3))))
     covered = F.aggregate(widths, F.lit(0).cast("bigint"), lambda a, x: a + x)
     long = "bigint"
+    lengths = F.transform("w", lambda x: F.length(x).cast(long))
+    squares = F.aggregate(lengths, F.lit(0).cast(long), lambda a, x: a + x * x)
     return rows.select(
         "doc_id",
         "key",
@@ -87,6 +103,7 @@ def statistics(documents: DataFrame) -> DataFrame:
         "source",
         F.size("w").cast(long).alias("n_words"),
         F.length(F.regexp_replace("t", SPACE + "+", "")).cast(long).alias("word_chars"),
+        squares.alias("squares"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast(long).alias("n_symbols"),
         F.size("lines").cast(long).alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast(long).alias("n_dup_lines"),
@@ -99,7 +116,8 @@ def base_failed() -> Column:
 
 
 def _vector() -> list[Column]:
-    """The parts of the vector in thousandths; rows that fail the base rules may have none."""
+    """The parts of the vector in thousandths, their sampling variances, and the relative variance of word lengths in
+    millionths; rows that fail the base rules may have none."""
 
     def angle(part: str, whole: str) -> Column:
         share = F.least(F.col(part) / F.col(whole), F.lit(1.0))
@@ -111,7 +129,10 @@ def _vector() -> list[Column]:
         "repeat_share": angle("n_repeat_words", "n_words"),
         "line_share": angle("n_dup_lines", "n_lines"),
     }
-    return [F.round(parts[name] * UNIT).cast("bigint").alias(name) for name in FEATURES]
+    values = [F.round(parts[name] * UNIT).cast("bigint").alias(name) for name in FEATURES]
+    noise = [F.ceil(UNIT**2 * size / F.col(n)).cast("bigint").alias(f"v_{a}") for a, (size, n) in FEATURES.items()]
+    relative = F.col("n_words") * F.col("squares") / (F.col("word_chars").cast("double") * F.col("word_chars")) - 1
+    return [*values, *noise, F.round(UNIT**2 * F.greatest(relative, F.lit(0.0))).cast("bigint").alias("spread")]
 
 
 # Estimates
@@ -140,7 +161,7 @@ def consistency(support: float, freedom: int) -> float:
 
 
 def _moments(names: list[str]) -> list[Column]:
-    """Exact sums of the vector's parts and their products."""
+    """Exact sums of the vector's parts, their products and their sampling variances, and counts of values above zero."""
     wide = {n: F.col(n).cast("decimal(18,0)") for n in names}
     sums = [F.sum(wide[n]).alias(f"s_{n}") for n in names]
     products = [
@@ -148,21 +169,45 @@ def _moments(names: list[str]) -> list[Column]:
         for i, a in enumerate(names)
         for b in names[: i + 1]
     ]
-    return [F.count("*").alias("held"), *sums, *products]
+    noise = [F.sum(f"v_{n}").alias(f"v_{n}") for n in names]
+    above = [F.count_if(F.col(n) > 0).alias(f"n_{n}") for n in SHARES]
+    return [F.count("*").alias("held"), *sums, *products, *noise, *above, F.sum("spread").alias("spread")]
+
+
+def _noise(variance: Column, part: str, spread: Column) -> Column:
+    """Sampling variance of a part, at least a unit of rounding."""
+    return F.greatest(variance if part in SHARES else variance * spread, F.lit(1.0))
+
 
+def _estimate(sums: DataFrame, keys: list[str], names: list[str], factor: float, two_parts: bool = False) -> DataFrame:
+    """keys, means, deviations, the Cholesky factor of the covariance, mean sampling variances, and the log determinant.
 
-def _estimate(sums: DataFrame, keys: list[str], names: list[str], factor: float) -> DataFrame:
-    """keys, means, the Cholesky factor of the covariance with its least deviations, and the log determinant."""
+    Variances are at least one unit of rounding, those of shares at least the mean sampling variance. With `two_parts`,
+    those of shares are the mean square of the values above zero, the sampling variance counting as `PRIOR_ROWS` of them.
+    """
     n = F.col("held").cast("double")
     means = {a: F.col(f"s_{a}").cast("double") / n for a in names}
-    out = sums.select(*keys, "held", *(means[a].alias(f"m_{a}") for a in names), *(
-        (factor * (F.col(f"s_{a}_{b}").cast("double") / n - means[a] * means[b])).alias(f"c_{a}_{b}")
+    spread = F.col("spread") / n / UNIT**2
+    noise = {a: _noise(F.col(f"v_{a}") / n, a, spread) for a in names}
+    least = {a: noise[a] if a in SHARES else F.lit(1.0) for a in names}
+    if two_parts:
+        for a in SHARES:
+            squares = F.col(f"s_{a}_{a}").cast("double")
+            least[a] = (squares + PRIOR_ROWS * noise[a]) / (F.col(f"n_{a}") + PRIOR_ROWS)
+    covariance = {
+        (a, b): factor * (F.col(f"s_{a}_{b}").cast("double") / n - means[a] * means[b])
         for i, a in enumerate(names)
         for b in names[: i + 1]
-    ))
-    out = out.withColumns(
-        {f"c_{a}_{a}": F.greatest(F.col(f"c_{a}_{a}"), F.lit((FEATURES[a] * UNIT) ** 2)) for a in names}
+    }
+    out = sums.select(
+        *keys,
+        "held",
+        spread.alias("k"),
+        *(means[a].alias(f"m_{a}") for a in names),
+        *(noise[a].alias(f"f_{a}") for a in names),
+        *((F.greatest(c, least[a]) if a == b else c).alias(f"c_{a}_{b}") for (a, b), c in covariance.items()),
     )
+    out = out.withColumns({f"d_{a}": F.sqrt(f"c_{a}_{a}") for a in names})
     for i, a in enumerate(names):
         for j, b in enumerate(names[: i + 1]):
             known = [F.col(f"l_{a}_{c}") * F.col(f"l_{b}_{c}") for c in names[:j]]
@@ -171,24 +216,34 @@ def _estimate(sums: DataFrame, keys: list[str], names: list[str], factor: float)
             out = out.withColumn(f"l_{a}_{b}", value)
     det = reduce(lambda x, y: x + y, [2 * F.log(F.col(f"l_{a}_{a}")) for a in names])
     factors = [f"l_{a}_{b}" for i, a in enumerate(names) for b in names[: i + 1]]
-    return out.select(*keys, "held", *(f"m_{a}" for a in names), *factors, det.alias("det"))
+    shown = ["k", *(f"{x}_{a}" for x in "mfd" for a in names)]
+    return out.select(*keys, "held", *shown, *factors, det.alias("det"))
+
 
+def distance(names: list[str], noisy: bool = False) -> Column:
+    """Squared Mahalanobis distance, by forward substitution.
 
-def distance(names: list[str]) -> Column:
-    """Squared Mahalanobis distance, by forward substitution."""
+    With `noisy`, parts whose sampling deviation exceeds that of the group count in units of the former.
+    """
     solved: dict[str, Column] = {}
     for i, a in enumerate(names):
         rest = F.col(a) - F.col(f"m_{a}")
+        if noisy:
+            rest = rest * F.least(F.lit(1.0), F.col(f"d_{a}") / F.sqrt(_noise(F.col(f"v_{a}"), a, F.col("k"))))
         for b in names[:i]:
             rest = rest - F.col(f"l_{a}_{b}") * solved[b]
         solved[a] = rest / F.col(f"l_{a}_{a}")
     return reduce(lambda x, y: x + y, [v * v for v in solved.values()])
 
 
+def _columns(names: list[str]) -> list[str]:
+    return [*names, *(f"v_{a}" for a in names), "spread"]
+
+
 def _nearest(rows: DataFrame, estimates: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """The rows of each group whose distance bin lies in the nearest `SUPPORT` of the group."""
     bin_ = F.floor(F.log2(1 + distance(names)) * DISTANCE_BINS).alias("bin")
-    placed = rows.join(estimates, keys).select(*keys, *names, bin_)
+    placed = rows.join(estimates, keys).select(*keys, *_columns(names), bin_)
     histogram = placed.groupBy(*keys, "bin").agg(F.count("*").alias("c"))
     group = Window.partitionBy(*keys)
     run = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -198,7 +253,7 @@ def _nearest(rows: DataFrame, estimates: DataFrame, keys: list[str], names: list
 
 
 def _first_estimates(rows: DataFrame, names: list[str], factor: float) -> DataFrame:
-    """Two starts per group: mean and covariance of all rows; median and least deviations."""
+    """Two starts per group: mean and covariance of all rows; median and sampling deviations."""
     whole = _estimate(rows.groupBy("group").agg(*_moments(names)), ["group"], names, 1.0)
     whole = whole.withColumn("start", F.lit("mean"))
     long = rows.select(
@@ -211,12 +266,15 @@ def _first_estimates(rows: DataFrame, names: list[str], factor: float) -> DataFr
     middle = summed.where("2 * upto >= all").groupBy("group", "name").agg(F.min("value").alias("value"))
     middle = middle.groupBy("group").pivot("name", names).agg(F.first("value"))
     zero = F.lit(0.0)
-    medians = middle.select(
+    medians = whole.select("group", "k", *(f"f_{a}" for a in names)).join(middle, "group").select(
         "group",
         F.lit(0).cast("bigint").alias("held"),
+        "k",
         *(F.col(a).cast("double").alias(f"m_{a}") for a in names),
+        *(F.col(f"f_{a}") for a in names),
+        *(F.sqrt(f"f_{a}").alias(f"d_{a}") for a in names),
         *(
-            (F.lit(FEATURES[a] * UNIT) if a == b else zero).alias(f"l_{a}_{b}")
+            (F.sqrt(f"f_{a}") if a == b else zero).alias(f"l_{a}_{b}")
             for i, a in enumerate(names)
             for b in names[: i + 1]
         ),
@@ -233,6 +291,10 @@ def _group(level: str) -> Column:
     return F.to_json(F.array(F.lit(level), *marked))
 
 
+def cutoff() -> float:
+    return chi_square_quantile(CUTOFF_TAIL, len(FEATURES))
+
+
 def estimates(vectors: DataFrame) -> DataFrame:
     """(lang, source, group) with means, factor and determinant of the estimate that each group uses."""
     names = list(FEATURES)
@@ -245,7 +307,7 @@ def estimates(vectors: DataFrame) -> DataFrame:
     )
     uses = stage(sizes.select("lang", "source", F.coalesce(level, _group("all")).alias("group")), "uses")
     levels = F.explode(F.array(*(_group(x) for x in ("source", "lang", "all")))).alias("group")
-    rows = vectors.select(levels, *names).join(uses.select("group").distinct(), "group", "left_semi")
+    rows = vectors.select(levels, *_columns(names)).join(uses.select("group").distinct(), "group", "left_semi")
     rows = stage(rows, "vectors")
 
     current = stage(_first_estimates(rows, names, factor), "estimates")
@@ -253,9 +315,16 @@ def estimates(vectors: DataFrame) -> DataFrame:
     both = rows.select("*", F.explode(F.array(F.lit("mean"), F.lit("median"))).alias("start"))
     for _ in range(STEPS):
         sums = _nearest(both, current, keys, names).groupBy(*keys).agg(*_moments(names))
-        current = stage(_estimate(sums, keys, names, factor), "estimates")
+        before, current = current, stage(_estimate(sums, keys, names, factor), "estimates")
+        earlier = before.select(*keys, F.col("det").alias("earlier"))
+        if current.join(earlier, keys).where("abs(det - earlier) > 1e-9").isEmpty():
+            break
     best = current.groupBy("group").agg(F.min(F.struct("det", "start")).alias("b")).select("group", "b.start")
-    return uses.join(current.join(best, keys).drop("start", "held"), "group")
+    raw = current.join(best, keys).drop("start", "held")
+    accepted = rows.join(raw, "group").where(distance(names, noisy=True) <= cutoff())
+    sums = accepted.groupBy("group").agg(*_moments(names))
+    final = _estimate(sums, ["group"], names, consistency(1 - CUTOFF_TAIL, len(names)), two_parts=True)
+    return uses.join(stage(final.drop("held"), "estimates"), "group")
 
 
 def judge(documents: DataFrame) -> DataFrame:
@@ -268,12 +337,15 @@ def judge(documents: DataFrame) -> DataFrame:
     """
     counted = statistics(documents).withColumn("base_failed", base_failed())
     names = list(FEATURES)
-    parts = [F.when(~F.col("base_failed"), part).alias(name) for name, part in zip(names, _vector(), strict=True)]
+    parts = [
+        F.when(~F.col("base_failed"), part).alias(name) for name, part in zip(_columns(names), _vector(), strict=True)
+    ]
     counted = stage(counted.select("*", *parts), "statistics")
     found = estimates(counted.where("not base_failed")).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    scored = counted.join(found, same, "left").withColumn("distance", F.when(~F.col("base_failed"), distance(names)))
-    near = F.col("distance") <= chi_square_quantile(CUTOFF_TAIL, len(names))
+    far = F.when(~F.col("base_failed"), distance(names, noisy=True))
+    scored = counted.join(found, same, "left").withColumn("distance", far)
+    near = F.col("distance") <= cutoff()
     kept = ~F.col("base_failed") & F.coalesce(near, F.lit(True))
     shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance"]
     return scored.select("doc_id", "key", *shown, kept.alias("kept"))

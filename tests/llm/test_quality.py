@@ -40,6 +40,7 @@ def test_statistics(spark):
 
 
 def vector(s, text):
+    """The parts, their sampling variances, and the relative variance of word lengths."""
     lines = sum(bool(brute.words(x)) for x in text.split("\n"))
     angle = lambda a, b: math.asin(math.sqrt(min(a / b, 1)))
     parts = (
@@ -48,31 +49,52 @@ def vector(s, text):
         angle(s["n_repeat_words"], s["n_words"]),
         angle(s["n_dup_lines"], lines),
     )
-    return [math.floor(x * quality.UNIT + 0.5) for x in parts]
-
-
-def mcd(x):
-    """Mean and covariance by concentration steps over all rows of a group."""
-    floors = (np.array(list(quality.FEATURES.values())) * quality.UNIT) ** 2
-    factor = quality.consistency(quality.SUPPORT, x.shape[1])
-
-    def moments(rows, factor):
-        cov = factor * np.cov(rows.T, bias=True)
-        np.fill_diagonal(cov, np.maximum(cov.diagonal(), floors))
-        return rows.mean(0), cov
-
-    best = None
+    noise = (1 / s["n_words"], 1 / s["word_chars"], 3 / s["n_words"], 0.25 / lines)
+    lengths = np.array([len(w) for w in brute.words(text)])
+    spread = lengths.var() / lengths.mean() ** 2
+    unit = quality.UNIT
+    return [math.floor(x * unit + 0.5) for x in parts] + [math.ceil(x * unit**2) for x in noise] + [round(spread * unit**2)]
+
+
+def mcd(rows):
+    """Mean and covariance of a group: concentration steps over all rows, then all rows that they accept."""
+    x, noise, spread = rows[:, :4], rows[:, 4:8], rows[:, 8]
+
+    def moments(held, factor, two_parts=False):
+        own, k = x[held], spread[held].mean() / quality.UNIT**2
+        typical = np.maximum(noise[held].mean(0) * [k, 1, 1, 1], 1)
+        cov = factor * np.cov(own.T, bias=True)
+        least = np.array([1, *typical[1:]])
+        if two_parts:
+            prior = quality.PRIOR_ROWS
+            least[1:] = (((own**2).sum(0) + prior * typical) / ((own > 0).sum(0) + prior))[1:]
+        np.fill_diagonal(cov, np.maximum(cov.diagonal(), least))
+        return own.mean(0), cov, k
+
+    def far(mean, cov, d):
+        return np.einsum("ij,jk,ik->i", d - mean, np.linalg.inv(cov), d - mean)
+
+    best, factor = None, quality.consistency(quality.SUPPORT, 4)
     median = np.sort(x, axis=0)[(len(x) + 1) // 2 - 1]
-    for mean, cov in (moments(x, 1.0), (median, np.diag(floors))):
+    mean, cov, k = moments(slice(None), 1.0)
+    start = np.maximum(noise.mean(0) * [k, 1, 1, 1], 1)
+    for mean, cov in ((mean, cov), (median, np.diag(start))):
         for _ in range(quality.STEPS):
-            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
-            bins = np.floor(np.log2(1 + d) * quality.DISTANCE_BINS)
+            bins = np.floor(np.log2(1 + far(mean, cov, x)) * quality.DISTANCE_BINS)
             limit = np.sort(bins)[math.ceil(len(x) * quality.SUPPORT) - 1]
-            mean, cov = moments(x[bins <= limit], factor)
+            mean, cov, k = moments(bins <= limit, factor)
         det = np.linalg.slogdet(cov)[1]
         if best is None or det < best[0] - 1e-9:
-            best = det, mean, cov
-    return best[1:]
+            best = det, mean, cov, k
+    held = np.array([judged(r, *best[1:]) for r in rows]) <= quality.cutoff()
+    return moments(held, quality.consistency(1 - quality.CUTOFF_TAIL, 4), True)
+
+
+def judged(row, mean, cov, k):
+    """Distance of a row whose own noise counts where it is larger than the scatter."""
+    shrink = np.minimum(1, np.sqrt(cov.diagonal() / np.maximum(row[4:8] * [k, 1, 1, 1], 1)))
+    d = (row[:4] - mean) * shrink
+    return float(d @ np.linalg.inv(cov) @ d)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -95,9 +117,8 @@ def test_verdicts_are_those_of_the_estimate(spark, seed):
             own = [j for j in vectors if place[j][0] == place[i][0]]
         if len(own) < quality.GROUP_ROWS:
             own = list(vectors)
-        mean, cov = mcd(np.array([vectors[j] for j in own], float))
-        d = np.array(vectors[i], float) - mean
-        want = float(d @ np.linalg.inv(cov) @ d)
+        estimate = mcd(np.array([vectors[j] for j in own], float))
+        want = judged(np.array(vectors[i], float), *estimate)
         assert got[i].distance == pytest.approx(want, rel=1e-6, abs=1e-6)
         assert got[i].kept == (want <= limit)
         rejected += not got[i].kept
