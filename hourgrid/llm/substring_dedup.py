@@ -253,8 +253,9 @@ def remove_repeated_passages(documents: DataFrame, window: int = 50) -> DataFram
 
     Windows are judged on the input, not on what is left. Words are what white space (ASCII) separates. Null and empty
     texts have no words; texts below `window` words stay whole. Rows without doc_id lose nothing but what another
-    copy of their own text loses, and remove nothing elsewhere. Of rows with the same doc_id none is smaller. Other
-    columns are ignored. An empty table gives no rows.
+    copy of their own text loses, and remove nothing elsewhere. Of rows with the same doc_id none is smaller. A doc_id is
+    a whole number, or text that holds one; other text stops the job. Other columns are ignored. An empty table gives no
+    rows.
     """
     documents = documents.select("doc_id", "text")
     key = F.xxhash64("text")
